@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The source job has no stream source, watermark, window or state; every
+input is a finished table.  Nothing is built here (see README).
+"""
