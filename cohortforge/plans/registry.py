@@ -24,7 +24,13 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every double column (for engine-independent comparison)."""
-    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+    """Round every double column (for engine-independent comparison).
+
+    ``round(x * 10^d) / 10^d`` on the binary value, which is how the oracle
+    engine rounds; Spark's ``round(x, d)`` rounds the decimal text instead
+    and can differ on exact-half cases.
+    """
+    scale = float(10 ** digits)
+    return df.select(*[(F.round(F.col(f"`{f.name}`") * scale) / scale).alias(f.name)
                        if isinstance(f.dataType, DoubleType) else F.col(f"`{f.name}`")
                        for f in df.schema.fields])
