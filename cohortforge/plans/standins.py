@@ -6,7 +6,8 @@
     bureau balance            <- lineitem        (bureau id l_orderkey, 30-day month offset)
     card / POS balance        <- events          (key user_id, 7-day month offset)
     instalments               <- orders x lineitem (due = order date / price,
-                                                  paid = ship date / discounted price)
+                                                  paid = ship date / discounted price
+                                                  in whole cents)
 
 Month offsets are negative and never 0: ``-(days before a fixed date div N + 1)``.
 Each stand-in has a Spark form and the same derivation as SQL text for the
@@ -62,17 +63,21 @@ def balance(spark, sf_dir) -> DataFrame:
         month_offset("ts", EVENTS_END, 7).alias("MONTHS_BALANCE"))
 
 
-def instalments(spark, sf_dir) -> DataFrame:
+def instalments(spark, sf_dir, with_version: bool = False) -> DataFrame:
+    """Instalment rows; ``with_version`` adds the line number as the version."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_discount",
-                                                 "l_shipdate")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice",
+                                                 "l_discount", "l_shipdate")
     end = F.lit(ORDERS_END).cast("date")
+    version = ([F.col("l_linenumber").cast("double").alias("NUM_INSTALMENT_VERSION")]
+               if with_version else [])
     return o.join(li, o.o_orderkey == li.l_orderkey).select(
-        "o_custkey", "o_orderkey",
+        "o_custkey", "o_orderkey", *version,
         F.datediff(F.col("o_orderdate").cast("date"), end).cast("double").alias("DAYS_INSTALMENT"),
         F.datediff(F.col("l_shipdate").cast("date"), end).cast("double").alias("DAYS_ENTRY_PAYMENT"),
         F.col("l_extendedprice").alias("AMT_INSTALMENT"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("AMT_PAYMENT"))
+        (F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")) * 100) / 100)
+        .alias("AMT_PAYMENT"))
 
 
 # The same stand-ins as SQL (DuckDB dialect), for oracle queries.
@@ -91,5 +96,37 @@ SQL_INS = ("(SELECT o_custkey, o_orderkey, "
            "AS DAYS_INSTALMENT, "
            f"CAST(date_diff('day', DATE '{ORDERS_END}', CAST(l_shipdate AS DATE)) AS DOUBLE) "
            "AS DAYS_ENTRY_PAYMENT, l_extendedprice AS AMT_INSTALMENT, "
-           "l_extendedprice * (1 - l_discount) AS AMT_PAYMENT "
+           "round(l_extendedprice * (1 - l_discount) * 100) / 100 AS AMT_PAYMENT "
            "FROM orders JOIN lineitem ON o_orderkey = l_orderkey)")
+
+SQL_INS_V = SQL_INS.replace("SELECT o_custkey, o_orderkey, ",
+                            "SELECT o_custkey, o_orderkey, "
+                            "CAST(l_linenumber AS DOUBLE) AS NUM_INSTALMENT_VERSION, ")
+
+
+def prev_with_credit(spark, sf_dir) -> DataFrame:
+    """Previous applications with amounts asked (order price) and received
+    (discounted line total; missing for an order without lines) and days."""
+    o = table(spark, sf_dir, "orders")
+    li = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+          .agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("AMT_CREDIT")))
+    days = F.datediff(F.col("o_orderdate").cast("date"), F.lit(ORDERS_END).cast("date"))
+    return o.join(li, o.o_orderkey == li.l_orderkey, "left").select(
+        "o_orderkey", "o_custkey", "o_orderstatus",
+        F.nullif(F.col("o_orderpriority"), F.lit(MISSING_PRIORITY)).alias("o_orderpriority"),
+        F.col("o_totalprice").alias("AMT_APPLICATION"), "AMT_CREDIT",
+        days.cast("bigint").alias("DAYS_DECISION"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit(365243).cast("bigint"))
+         .otherwise(days + 30).cast("bigint").alias("DAYS_FIRST_DUE"))
+
+
+SQL_PREV_CREDIT = (
+    "(SELECT o_orderkey, o_custkey, o_orderstatus, "
+    f"nullif(o_orderpriority, '{MISSING_PRIORITY}') AS o_orderpriority, "
+    "o_totalprice AS AMT_APPLICATION, li.AMT_CREDIT, "
+    f"CAST(date_diff('day', DATE '{ORDERS_END}', CAST(o_orderdate AS DATE)) AS BIGINT) AS DAYS_DECISION, "
+    "CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 365243 ELSE "
+    f"date_diff('day', DATE '{ORDERS_END}', CAST(o_orderdate AS DATE)) + 30 END AS BIGINT) "
+    "AS DAYS_FIRST_DUE "
+    "FROM orders LEFT JOIN (SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount)) AS AMT_CREDIT "
+    "FROM lineitem GROUP BY 1) li ON o_orderkey = li.l_orderkey)")
