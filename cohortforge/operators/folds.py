@@ -8,15 +8,20 @@ from pyspark.sql import functions as F
 from cohortforge.operators.rank import ROWS_PER_RANGE, ordered_position
 
 
+def hash32(id_col: str, seed: int) -> Column:
+    """First 32 bits of md5('seed:id') as a non-negative bigint."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)),
+                                                F.col(id_col).cast("string"))), 1, 8),
+                  16, 10).cast("bigint")
+
+
 def hash_fold(id_col: str, k: int = 5, seed: int = 2018) -> Column:
-    """Shuffled fold with a seed: first 32 bits of md5('seed:id') mod k.
+    """Shuffled fold with a seed: ``hash32`` mod k.
 
     Repeatable, needs no sort and no shuffle; fold sizes are equal only on
     average.
     """
-    h = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string"))),
-                           1, 8), 16, 10).cast("bigint")
-    return (h % k).cast("int")
+    return (hash32(id_col, seed) % k).cast("int")
 
 
 def hash_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 2018,
