@@ -42,8 +42,11 @@ def row_mean(cols) -> Column:
 
 
 def _central_sum(cs, mean: Column, power: int) -> Column:
-    return reduce(add, [F.coalesce(F.pow(c.cast("double") - mean, F.lit(power)), F.lit(0.0))
-                        for c in cs])
+    def term(c):
+        d = c.cast("double") - mean
+        p = d * d if power == 2 else (d * d) * (d * d)
+        return F.coalesce(p, F.lit(0.0))
+    return reduce(add, [term(c) for c in cs])
 
 
 def row_std(cols) -> Column:
@@ -77,3 +80,40 @@ def row_kurtosis(cols) -> Column:
     return (F.when(n < 4, F.lit(None).cast("double"))
             .when(den == 0, F.lit(0.0))
             .otherwise(num / den - adj))
+
+
+def _stage(df, cols, tag):
+    """Add the count and mean of the present values as their own columns.
+
+    Separate projections keep the mean from being re-expanded inside every
+    central-moment term (the optimizer does not inline a non-trivial
+    expression that is referenced many times).
+    """
+    cs = _cols(cols)
+    n, m = f"__{tag}_n", f"__{tag}_m"
+    df = df.withColumn(n, _n(cs))
+    df = df.withColumn(m, F.when(F.col(n) > 0, _sum(cs) / F.col(n)))
+    return df, cs, F.col(n), F.col(m)
+
+
+def with_row_std(df, cols, out: str):
+    """``df`` plus ``out`` = row-wise sample std (n-1) of ``cols`` (staged)."""
+    df, cs, n, m = _stage(df, cols, out)
+    df = df.withColumn(out, F.when(n >= 2, F.sqrt(_central_sum(cs, m, 2) / (n - 1))))
+    return df.drop(f"__{out}_n", f"__{out}_m")
+
+
+def with_row_kurtosis(df, cols, out: str):
+    """``df`` plus ``out`` = row-wise bias-corrected excess kurtosis (staged)."""
+    df, cs, n, m = _stage(df, cols, out)
+    m2c, m4c = f"__{out}_m2", f"__{out}_m4"
+    df = (df.withColumn(m2c, _central_sum(cs, m, 2))
+            .withColumn(m4c, _central_sum(cs, m, 4)))
+    m2, m4 = F.col(m2c), F.col(m4c)
+    num = _zero_small(n * (n + 1) * (n - 1) * m4)
+    den = _zero_small((n - 2) * (n - 3) * m2 * m2)
+    adj = 3 * (n - 1) * (n - 1) / ((n - 2) * (n - 3))
+    df = df.withColumn(out, F.when(n < 4, F.lit(None).cast("double"))
+                              .when(den == 0, F.lit(0.0))
+                              .otherwise(num / den - adj))
+    return df.drop(f"__{out}_n", f"__{out}_m", m2c, m4c)

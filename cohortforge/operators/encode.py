@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from cohortforge.functions.semantics import as_text
 from cohortforge.operators.join import BROADCAST_MAX_ROWS, sized_broadcast
-from cohortforge.session import checkpoint_dir
 
 NULL_TOKEN = "NULL"   # missing category token of the plain label encoder
 NAN_TOKEN = "nan"     # missing category token after a cast to text
@@ -46,8 +45,6 @@ def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: s
                 as_string: bool = False, max_rows: int = BROADCAST_MAX_ROWS,
                 suffix: str = "") -> DataFrame:
     """Replace each column by its code (or add ``col+suffix`` when ``suffix``)."""
-    checkpoint_dir(df.sparkSession)
-    table = table.checkpoint(eager=True)
     small = sized_broadcast(table, max_rows)
     out = df
     for c in cols:
@@ -111,8 +108,7 @@ def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str],
                    .agg(F.min(F.struct(*[F.col(o) for o in order_cols])).alias("__first")))
         w = Window.orderBy("__first", "__v")
         codes = first.select("__v", (F.dense_rank().over(w) - 1).cast("int").alias("__code"))
-        checkpoint_dir(df.sparkSession)
-        codes = sized_broadcast(codes.checkpoint(eager=True), max_rows)
+        codes = sized_broadcast(codes, max_rows)
         out = (out.join(codes, F.col(c) == F.col("__v"), "left")
                   .withColumn(c, F.coalesce(F.col("__code"), F.lit(-1)))
                   .drop("__v", "__code"))
@@ -166,8 +162,7 @@ def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL
     cols = list(cols)
     agg = (df.filter(F.col(key).isNotNull()).groupBy(key)
              .agg(*[mode_value(F.coalesce(F.col(c), F.lit(missing))).alias(c) for c in cols]))
-    checkpoint_dir(df.sparkSession)
-    table = sized_broadcast(code_table(df, cols, missing).checkpoint(eager=True), max_rows)
+    table = sized_broadcast(code_table(df, cols, missing), max_rows)
     for c in cols:
         codes = table.filter(F.col("column") == c).select(
             F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))

@@ -45,11 +45,16 @@ def left_join_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
 
-    The count runs one job over an already small side (a lookup or code
-    table); larger sides are returned as they are and joined by shuffle.
+    One job caches the side and counts it (a lost cached block is rebuilt
+    from its lineage); the broadcast then reads the cache.  A side above
+    the bound is uncached and returned as is, to be joined by shuffle.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    cached = df.cache()
+    n = cached.count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, out: str,

@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.functions.rowwise import row_kurtosis, row_mean, row_std, row_sum
+from cohortforge.functions.rowwise import row_mean, row_sum, with_row_kurtosis, with_row_std
 from cohortforge.functions.semantics import ratio
 from cohortforge.operators.aggregate import (
     AGGREGATES, agg_name, group_median, latest_struct, mode_value, numeric_columns,
@@ -32,7 +32,6 @@ from cohortforge.operators.aggregate import (
 from cohortforge.operators.encode import NULL_TOKEN, code_table
 from cohortforge.operators.join import BROADCAST_MAX_ROWS, lookup, sized_broadcast
 from cohortforge.plans.naming import MergeNames
-from cohortforge.session import checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Derived application features, history specs and suffixes of
@@ -140,7 +139,7 @@ def application_features(app: DataFrame, cfg: FeatureConfig) -> DataFrame:
         elif kind == "ratio_plus_one":
             out = out.withColumn(name, ratio(spec[2], F.lit(1) + F.col(spec[3])))
         elif kind == "kurtosis":
-            out = out.withColumn(name, row_kurtosis(groups[spec[2]]))
+            out = with_row_kurtosis(out, groups[spec[2]], name)
         elif kind == "sum":
             out = out.withColumn(name, row_sum(groups[spec[2]]))
         elif kind == "product":
@@ -152,8 +151,11 @@ def application_features(app: DataFrame, cfg: FeatureConfig) -> DataFrame:
         elif kind == "row_mean":
             out = out.withColumn(name, row_mean(groups[spec[2]]))
         elif kind == "row_std_filled":
-            out = out.withColumn(name, row_std(groups[spec[2]]))
-            mean = out.select(F.avg(name)).scalar()     # lazy scalar subquery
+            out = with_row_std(out, groups[spec[2]], name)
+            # global mean of the column, as a lazy scalar subquery over the
+            # raw rows (the row std needs no other derived column)
+            mean = with_row_std(app.select(*groups[spec[2]]), groups[spec[2]], "__s") \
+                .select(F.avg("__s")).scalar()
             out = out.withColumn(name, F.coalesce(F.col(name), mean))
         elif kind == "group_median":
             value, group = spec[2], spec[3]
@@ -193,9 +195,7 @@ def _mode_codes(agg: DataFrame, child: DataFrame, cats: list[str], temps: list[s
     """Map modal category texts to their sorted codes, as text."""
     if not cats:
         return agg
-    checkpoint_dir(agg.sparkSession)
-    table = code_table(child, cats, NULL_TOKEN).checkpoint(eager=True)
-    small = sized_broadcast(table, cfg.broadcast_max_rows)
+    small = sized_broadcast(code_table(child, cats, NULL_TOKEN), cfg.broadcast_max_rows)
     for c, t in zip(cats, temps):
         codes = small.filter(F.col("column") == c).select(
             F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cohortforge.functions.rowwise import row_kurtosis, row_mean, row_std, row_sum
+from cohortforge.functions.rowwise import row_mean, row_sum, with_row_kurtosis, with_row_std
 from cohortforge.functions.semantics import ratio, replace_inf, sentinel_to_null
 from cohortforge.operators.aggregate import group_median
 from cohortforge.operators.join import lookup
@@ -67,8 +67,11 @@ def row_stats(spark, d):
     li = S.table(spark, d, "lineitem")
     xs = [F.nullif(F.col("l_discount"), F.lit(0)), F.nullif(F.col("l_tax"), F.lit(0)),
           F.col("l_quantity") / 50]
-    out = li.select("l_orderkey", "l_linenumber", row_mean(xs).alias("row_mean"),
-                    row_std(xs).alias("row_std"), row_sum(xs).alias("row_sum"))
+    base = li.select("l_orderkey", "l_linenumber", *[x.alias(f"x{i}") for i, x in enumerate(xs)])
+    names = [f"x{i}" for i in range(len(xs))]
+    out = with_row_std(base, names, "row_std")
+    out = out.select("l_orderkey", "l_linenumber", row_mean(names).alias("row_mean"), "row_std",
+                     row_sum(names).alias("row_sum"))
     return rounded(fill_with_mean(out, "row_std"))
 
 
@@ -103,7 +106,9 @@ def row_kurtosis_q(spark, d):
              (c("l_discount") == 0).cast("int"),
              F.when(c("l_tax") != 0, (c("l_tax") > 0.04).cast("int")),
              (c("l_quantity") > 25).cast("int")]
-    return rounded(li.select("l_orderkey", "l_linenumber", row_kurtosis(flags).alias("kurt")))
+    base = li.select("l_orderkey", "l_linenumber", *[f.alias(f"f{i}") for i, f in enumerate(flags)])
+    out = with_row_kurtosis(base, [f"f{i}" for i in range(len(flags))], "kurt")
+    return rounded(out.select("l_orderkey", "l_linenumber", "kurt"))
 
 
 # --- A14 J16 ------------------------------------------------------------------
