@@ -146,3 +146,51 @@ def credit_card_balance(cc: DataFrame, key: str = "SK_ID_CURR", drop=("SK_ID_PRE
 
 def _strings(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+
+
+# Document flags dropped from the application table.
+DROPPED_DOC_FLAGS = [
+    "FLAG_DOCUMENT_2", "FLAG_DOCUMENT_4", "FLAG_DOCUMENT_7", "FLAG_DOCUMENT_9",
+    "FLAG_DOCUMENT_10", "FLAG_DOCUMENT_11", "FLAG_DOCUMENT_12", "FLAG_DOCUMENT_13",
+    "FLAG_DOCUMENT_15", "FLAG_DOCUMENT_17", "FLAG_DOCUMENT_19", "FLAG_DOCUMENT_20",
+    "FLAG_DOCUMENT_21",
+]
+BINARY_FEATURES = ["CODE_GENDER", "FLAG_OWN_CAR", "FLAG_OWN_REALTY"]
+
+
+def application_train_test(train: DataFrame, test: DataFrame, cfg=None, key: str = "SK_ID_CURR",
+                           sentinel_col: str | None = "DAYS_EMPLOYED", binary=None,
+                           drop=None, drop_gender_xna: bool = False):
+    """Application block: stack train and test (``is_train`` flag), sentinel
+    days to missing, derived ratio/row features, first-seen codes for binary
+    text features, drop unused document flags, label-encode text and
+    two-valued columns.  Returns ``(df, categorical_columns)``."""
+    from cohortforge.operators.encode import factorize
+    from cohortforge.plans.features import FeatureConfig, application_features
+    cfg = cfg or FeatureConfig(key=key)
+    binary = BINARY_FEATURES if binary is None else binary
+    drop = DROPPED_DOC_FLAGS if drop is None else drop
+    df = (train.withColumn("is_train", F.lit(True))
+               .unionByName(test.withColumn("is_train", F.lit(False)), allowMissingColumns=True))
+    if drop_gender_xna and "CODE_GENDER" in df.columns:
+        df = df.filter(F.col("CODE_GENDER").isNull() | (F.col("CODE_GENDER") != "XNA"))
+    if sentinel_col and sentinel_col in df.columns:
+        df = df.withColumn(sentinel_col, sentinel_to_null(sentinel_col))
+    df = application_features(df, cfg)
+    # first appearance: train rows before test rows, then key order
+    df = df.withColumn("__order", F.when(F.col("is_train"), 0).otherwise(1))
+    df = factorize(df, [b for b in binary if b in df.columns], ["__order", key]).drop("__order")
+    df = df.drop(*[c for c in drop if c in df.columns])
+    return encode_application(df, key)
+
+
+def encode_application(df: DataFrame, key: str):
+    """Label-encode (as text, missing ``nan``) the text columns and the
+    two-valued columns; the key, the label and ``is_train`` are not features."""
+    from cohortforge.operators.encode import label_encode, two_valued_columns
+    strings = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    feats = [c for c in df.columns if c not in (key, "TARGET", "is_train")]
+    two = set(two_valued_columns(df, [c for c in feats if c not in strings]))
+    cats = [c for c in feats if c in strings or c in two]
+    enc, _, _ = label_encode(df, cats, "nan", True)
+    return enc, cats

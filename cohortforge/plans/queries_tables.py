@@ -200,3 +200,90 @@ def feature_blocks_chain(spark, d):
               instalment_block_df(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
               card_block_df(spark, d).withColumnRenamed("user_id", "c_custkey")]
     return rounded(chain_left_joins(base, blocks, "c_custkey"))
+
+
+# --- E10 (U1 F1 M1-M8 J16 W3 P2 E4) ---------------------------------------------
+def _application_standin(spark, d):
+    c = S.table(spark, d, "customer")
+    col = F.col
+    base = c.select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+        F.when(col("c_acctbal") > 0, "Y").otherwise("N").alias("FLAG_OWN_CAR"),
+        (col("c_nationkey") < 10).cast("int").alias("FLAG_DOC_A"),
+        (col("c_acctbal") < 0).cast("int").alias("FLAG_DOC_B"),
+        (col("c_mktsegment") == "BUILDING").cast("int").alias("FLAG_DOC_C"),
+        (col("c_acctbal") > 5000).cast("int").alias("FLAG_DOC_D"),
+        (col("c_nationkey") > 20).cast("int").alias("FLAG_PHONE"))
+    train = (base.filter(col("c_mktsegment") != "MACHINERY")
+                 .withColumn("TARGET", (col("c_acctbal") > 5000).cast("int")))
+    test = base.filter(col("c_mktsegment") == "MACHINERY")
+    return train, test
+
+
+APP_CONFIG_FEATURES = [
+    ("ratio", "NEW_BAL_TO_NATION_RATIO", "c_acctbal", "c_nationkey"),
+    ("kurtosis", "NEW_DOC_IND_KURT", "docs"),
+    ("sum", "NEW_LIVE_IND_SUM", "live"),
+    ("group_median", "NEW_BAL_BY_SEGMENT", "c_acctbal", "c_mktsegment"),
+]
+
+
+def application_block_df(spark, d):
+    from cohortforge.plans.features import FeatureConfig
+    train, test = _application_standin(spark, d)
+    cfg = FeatureConfig(key="c_custkey", app_features=APP_CONFIG_FEATURES, score_cols=[])
+    df, cats = B.application_train_test(train, test, cfg, key="c_custkey", sentinel_col=None,
+                                        binary=["FLAG_OWN_CAR"], drop=["FLAG_DOC_A"])
+    return df, cats
+
+
+def _app_sql():
+    from cohortforge.plans.queries_rows import _kurt_sql
+    flags = ["FLAG_DOC_A", "FLAG_DOC_B", "FLAG_DOC_C", "FLAG_DOC_D"]
+    cats = ["c_name", "c_mktsegment", "FLAG_OWN_CAR", "FLAG_DOC_B", "FLAG_DOC_C", "FLAG_DOC_D",
+            "FLAG_PHONE", "NEW_LIVE_IND_SUM"]
+    codes = ",\n".join(
+        f"k_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code "
+        f"FROM (SELECT DISTINCT coalesce(CAST({c} AS VARCHAR), 'nan') AS v FROM fz))" for c in cats)
+    joins = "\n".join(f"JOIN k_{c} ON coalesce(CAST(fz.{c} AS VARCHAR), 'nan') = k_{c}.v"
+                      for c in cats)
+    return f"""
+WITH a AS (
+  SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
+         CASE WHEN c_acctbal > 0 THEN 'Y' ELSE 'N' END AS FLAG_OWN_CAR,
+         CAST(c_nationkey < 10 AS INTEGER) AS FLAG_DOC_A, CAST(c_acctbal < 0 AS INTEGER) AS FLAG_DOC_B,
+         CAST(c_mktsegment = 'BUILDING' AS INTEGER) AS FLAG_DOC_C,
+         CAST(c_acctbal > 5000 AS INTEGER) AS FLAG_DOC_D, CAST(c_nationkey > 20 AS INTEGER) AS FLAG_PHONE,
+         CASE WHEN c_mktsegment <> 'MACHINERY' THEN CAST(c_acctbal > 5000 AS INTEGER) END AS TARGET,
+         c_mktsegment <> 'MACHINERY' AS is_train
+  FROM customer),
+med AS (SELECT c_mktsegment, median(c_acctbal) AS med FROM a WHERE c_mktsegment IS NOT NULL GROUP BY 1),
+f AS (SELECT a.*,
+        CASE WHEN c_nationkey = 0 THEN CASE WHEN c_acctbal > 0 THEN CAST('inf' AS DOUBLE)
+             WHEN c_acctbal < 0 THEN CAST('-inf' AS DOUBLE) END
+             ELSE c_acctbal / c_nationkey END AS NEW_BAL_TO_NATION_RATIO,
+        {_kurt_sql(flags)} AS NEW_DOC_IND_KURT,
+        CAST(coalesce(FLAG_PHONE, 0) AS DOUBLE) AS NEW_LIVE_IND_SUM,
+        med.med AS NEW_BAL_BY_SEGMENT
+      FROM a LEFT JOIN med ON a.c_mktsegment = med.c_mktsegment),
+fc AS (SELECT v, CAST(dense_rank() OVER (ORDER BY o, k, v) - 1 AS INTEGER) AS code FROM (
+         SELECT FLAG_OWN_CAR AS v, min(struct_pack(o := CASE WHEN is_train THEN 0 ELSE 1 END,
+                                                   k := c_custkey)) AS s
+         FROM f WHERE FLAG_OWN_CAR IS NOT NULL GROUP BY 1), LATERAL (SELECT s.o AS o, s.k AS k)),
+fz AS (SELECT f.* EXCLUDE (FLAG_OWN_CAR, FLAG_DOC_A), coalesce(fc.code, -1) AS FLAG_OWN_CAR
+       FROM f LEFT JOIN fc ON f.FLAG_OWN_CAR = fc.v),
+{codes}
+SELECT fz.c_custkey, fz.c_nationkey, round(fz.c_acctbal, 4) AS c_acctbal, fz.TARGET, fz.is_train,
+       round(fz.NEW_BAL_TO_NATION_RATIO, 4) AS NEW_BAL_TO_NATION_RATIO,
+       round(fz.NEW_DOC_IND_KURT, 4) AS NEW_DOC_IND_KURT,
+       round(fz.NEW_BAL_BY_SEGMENT, 4) AS NEW_BAL_BY_SEGMENT,
+       {', '.join(f'k_{c}.code AS {c}' for c in cats)}
+FROM fz
+{joins}
+"""
+
+
+@register("application_block", _app_sql())
+def application_block(spark, d):
+    df, _ = application_block_df(spark, d)
+    return rounded(df)
