@@ -22,11 +22,11 @@ def _present(c: Column) -> Column:
 
 
 def _n(cols) -> Column:
-    return reduce(add, [_present(c) for c in cols])
+    return reduce(add, [_present(c) for c in cols], F.lit(0.0))
 
 
 def _sum(cols) -> Column:
-    return reduce(add, [F.coalesce(c.cast("double"), F.lit(0.0)) for c in cols])
+    return reduce(add, [F.coalesce(c.cast("double"), F.lit(0.0)) for c in cols], F.lit(0.0))
 
 
 def row_sum(cols) -> Column:
@@ -46,7 +46,7 @@ def _central_sum(cs, mean: Column, power: int) -> Column:
         d = c.cast("double") - mean
         p = d * d if power == 2 else (d * d) * (d * d)
         return F.coalesce(p, F.lit(0.0))
-    return reduce(add, [term(c) for c in cs])
+    return reduce(add, [term(c) for c in cs], F.lit(0.0))
 
 
 def row_std(cols) -> Column:

@@ -31,8 +31,11 @@ def clean_nan(df: DataFrame) -> DataFrame:
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str | None = None) -> DataFrame:
     """Scan one table.  CSV (plain or .gz) needs a header row; Parquet carries
-    its own schema.  The format is taken from the file name when not given."""
-    fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
+    its own schema.  Without ``fmt``, names ending in .csv / .csv.gz are CSV,
+    everything else (files or folders written by Spark) is Parquet."""
+    if fmt is None:
+        p = path.rstrip("/").lower()
+        fmt = "csv" if (p.endswith(".csv") or p.endswith(".csv.gz")) else "parquet"
     if fmt == "csv":
         reader = spark.read.option("header", True).option("mode", "FAILFAST")
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
