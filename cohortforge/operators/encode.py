@@ -169,3 +169,8 @@ def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL
         agg = (agg.join(codes, F.col(c) == F.col("__mv"), "left")
                   .withColumn(c, F.col("__mc")).drop("__mv", "__mc"))
     return agg.select(key, *cols)
+
+
+def one_hot_label(label: str, n_classes: int = 2) -> Column:
+    """Class label as a 0/1 array of length ``n_classes`` (for 2-way outputs)."""
+    return F.array(*[F.when(F.col(label) == k, 1).otherwise(0) for k in range(n_classes)])

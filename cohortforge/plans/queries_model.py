@@ -332,10 +332,10 @@ def losses_q(spark, d):
 
 # --- E19 S6 -------------------------------------------------------------------
 @register("ensemble_mean", """
-WITH s AS (SELECT o_orderkey, f,
-                  CAST(CAST('0x' || substr(md5(CAST(f AS VARCHAR) || ':' || CAST(o_orderkey AS VARCHAR)),
-                       1, 8) AS BIGINT) AS DOUBLE) / 4294967295.0 AS score
-           FROM orders, range(5) t(f) WHERE o_orderstatus = 'O')
+WITH s AS (""" + " UNION ALL ".join(
+    f"SELECT o_orderkey, {f} AS f, CAST(CAST('0x' || substr(md5('{f}:' || CAST(o_orderkey AS VARCHAR)),"
+    f" 1, 8) AS BIGINT) AS DOUBLE) / 4294967295.0 AS score FROM orders WHERE o_orderstatus = 'O'"
+    for f in range(5)) + """)
 SELECT o.o_orderkey, round(m.TARGET, 4) AS TARGET
 FROM orders o LEFT JOIN (SELECT o_orderkey, avg(score) AS TARGET FROM s GROUP BY 1) m
   ON o.o_orderkey = m.o_orderkey

@@ -139,3 +139,9 @@ def test_median_and_counts(spark):
     cnt = dict(value_counts(df, "g", "n").collect())
     assert cnt == {"a": 3, "b": 2}
     assert [c for c in mean_all(df, "g")] and code_table(df, ["g"]).count() == 3
+
+
+def test_one_hot_label(spark):
+    from cohortforge.operators.encode import one_hot_label
+    df = spark.createDataFrame([(0,), (1,)], "y int")
+    assert [r[0] for r in df.select(one_hot_label("y")).collect()] == [[1, 0], [0, 1]]
