@@ -145,17 +145,39 @@ def group_by_key(df: DataFrame, key: str, exprs: Sequence[Column]) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*exprs)
 
 
-def group_median(df: DataFrame, key: str, value: str, out: str, exact: bool = True,
+def group_median(df: DataFrame, key: str, value: str, out: str, method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
-    """Median of ``value`` per ``key``.
-
-    ``exact=True`` is the interpolated median (``F.median``), which keeps the
-    group's values in its buffer; use ``exact=False`` (a bounded-memory
-    quantile sketch) when one group can hold a large share of the rows.
+    """Interpolated median of ``value`` per ``key`` (missing keys/values skipped).
+
+    ``method``:
+    * ``"exact"`` (default): distributed and exact.  Rows are counted per
+      (key, value) (map-side combined), a running count in value order is
+      computed per key by value range (``rank.running_totals``: no task
+      holds a whole group), and the values at the two middle ranks are
+      picked: ``lo + (hi - lo) * 0.5``.
+    * ``"buffer"``: ``F.median``, which keeps a group's distinct values in one
+      aggregation buffer (fine for small groups).
+    * ``"sketch"``: ``percentile_approx`` with bounded memory (approximate).
     """
-    agg = (F.median(value) if exact
-           else F.percentile_approx(value, 0.5, accuracy).cast("double"))
-    return group_by_key(df, key, [agg.alias(out)])
+    rows = df.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    if method == "buffer":
+        return rows.groupBy(key).agg(F.median(value).alias(out))
+    if method == "sketch":
+        return rows.groupBy(key).agg(
+            F.percentile_approx(value, 0.5, accuracy).cast("double").alias(out))
+    from cohortforge.operators.rank import running_totals
+    counts = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("__c"))
+    cum = running_totals(counts, [key], [value], ["__c"])
+    sizes = counts.groupBy(key).agg(F.sum("__c").alias("__n"))
+    j = cum.join(sizes, key)
+    lo = F.floor((F.col("__n") - 1) / 2)
+    hi = F.ceil((F.col("__n") - 1) / 2)
+    start, end = F.col("cum___c"), F.col("cum___c") + F.col("__c")
+    j = j.filter(((start <= lo) & (lo < end)) | ((start <= hi) & (hi < end)))
+    v = F.col(value).cast("double")
+    picked = j.groupBy(key).agg(F.max(F.when((start <= lo) & (lo < end), v)).alias("__lo"),
+                                F.max(F.when((start <= hi) & (hi < end), v)).alias("__hi"))
+    return picked.select(key, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * 0.5).alias(out))
 
 
 def value_counts(df: DataFrame, key: str, out: str) -> DataFrame:

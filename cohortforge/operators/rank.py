@@ -23,20 +23,27 @@ from cohortforge.operators.join import sized_broadcast
 ROWS_PER_RANGE = 2_000_000
 
 
-def _ranges(df: DataFrame, order: str, n_ranges: int | None, rows_per_range: int) -> DataFrame:
+def _ranges(df: DataFrame, order: str, n_ranges: int | None,
+            rows_per_range: int) -> tuple[DataFrame, bool]:
+    """``df`` with a range number ``__r``, and whether there is only one range."""
     if n_ranges is None:
         n_ranges = max(1, math.ceil(df.count() / rows_per_range))
     if n_ranges <= 1:
-        return df.withColumn("__r", F.lit(0.0))
+        return _one(df)
     probs = [i / n_ranges for i in range(1, n_ranges)]
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10000)).first()[0]
     cuts = sorted({float(c) for c in (cuts or []) if c is not None})
     splits = [float("-inf")] + cuts + [float("inf")]
     if len(splits) < 3:
-        return df.withColumn("__r", F.lit(0.0))
+        return _one(df)
     tmp = df.withColumn("__o", F.col(order).cast("double"))
-    return (Bucketizer(splits=splits, inputCol="__o", outputCol="__r", handleInvalid="keep")
-            .transform(tmp).drop("__o"))
+    out = (Bucketizer(splits=splits, inputCol="__o", outputCol="__r", handleInvalid="keep")
+           .transform(tmp).drop("__o"))
+    return out, False
+
+
+def _one(df: DataFrame) -> tuple[DataFrame, bool]:
+    return df.withColumn("__r", F.lit(0.0)), True
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str],
@@ -45,15 +52,20 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str],
     """Add ``cum_<v>``: sum of ``v`` over the rows strictly before, in
     ``order`` (a total order), within each ``by`` group."""
     by, order, values = list(by), list(order), list(values)
-    r = _ranges(df, order[0], n_ranges, rows_per_range)
+    r, single = _ranges(df, order[0], n_ranges, rows_per_range)
+    wi = (Window.partitionBy(*by, "__r").orderBy(*order)
+                .rowsBetween(Window.unboundedPreceding, -1))
+    if single:
+        # one range: the bounded window is the whole answer, no offsets needed
+        out = r.select("*", *[F.coalesce(F.sum(v).over(wi), F.lit(0)).alias(f"{prefix}{v}")
+                             for v in values])
+        return out.drop("__r")
     totals = r.groupBy(*by, "__r").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
     wr = Window.partitionBy(*by).orderBy("__r")
     offsets = totals.select(*by, "__r", *[
         F.coalesce(F.sum(f"__t_{v}").over(wr.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(f"__off_{v}") for v in values])
     r = r.join(sized_broadcast(offsets), [*by, "__r"], "left")
-    wi = (Window.partitionBy(*by, "__r").orderBy(*order)
-                .rowsBetween(Window.unboundedPreceding, -1))
     out = r.select("*", *[(F.col(f"__off_{v}") + F.coalesce(F.sum(v).over(wi), F.lit(0)))
                          .alias(f"{prefix}{v}") for v in values])
     return out.drop("__r", *[f"__off_{v}" for v in values])

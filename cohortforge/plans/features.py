@@ -93,7 +93,7 @@ class FeatureConfig:
     score_cols: list = field(default_factory=lambda: list(REFERENCE_SCORES))
     doc_cols: list | None = None      # None: columns whose name holds FLAG_DOC
     live_cols: list | None = None     # None: FLAG_ columns that are not FLAG_DOC / _FLAG_
-    median_exact: bool = True
+    median_method: str = "exact"    # exact (distributed) | buffer | sketch
     prev_key: str = "SK_ID_CURR"
     prev_totals: list = field(default_factory=lambda: list(REFERENCE_PREV_TOTALS))
     cc_key: str = "SK_ID_CURR"
@@ -159,7 +159,7 @@ def application_features(app: DataFrame, cfg: FeatureConfig) -> DataFrame:
             out = out.withColumn(name, F.coalesce(F.col(name), mean))
         elif kind == "group_median":
             value, group = spec[2], spec[3]
-            med = group_median(app, group, value, "__med", exact=cfg.median_exact)
+            med = group_median(app, group, value, "__med", method=cfg.median_method)
             out = (lookup(out, med, group, "__med", "__med_v", max_rows=cfg.broadcast_max_rows)
                    .withColumnRenamed("__med_v", name))
         else:

@@ -145,3 +145,12 @@ def test_one_hot_label(spark):
     from cohortforge.operators.encode import one_hot_label
     df = spark.createDataFrame([(0,), (1,)], "y int")
     assert [r[0] for r in df.select(one_hot_label("y")).collect()] == [[1, 0], [0, 1]]
+
+
+def test_exact_median_methods_agree(spark):
+    rows = [("a", float(v)) for v in (5, 1, 3, 3, 9, 2)] + [("b", 7.0), ("c", 1.0), ("c", 2.0)] \
+        + [("d", float(i % 17)) for i in range(301)] + [("e", None), (None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    exact = dict(group_median(df, "g", "v", "m").collect())
+    buf = dict(group_median(df, "g", "v", "m", method="buffer").collect())
+    assert exact == buf and exact["a"] == 3.0 and exact["c"] == 1.5 and "e" not in exact
