@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .quality import quality
 from .sharding import shard
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,8 @@ FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """)
 def op8(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir), keep="largest")
+
+
+@query("op10_perplexity_bands")
+def op10(spark, sf_dir):
+    return quality(documents(spark, sf_dir))
