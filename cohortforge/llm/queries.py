@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .exact_dedup import exact_dedup
+from .minhash_dedup import near_duplicates
 from .quality import quality
 from .sharding import shard
 
@@ -27,6 +28,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op4_odd_sketch_dedup")
+def op4(spark, sf_dir):
+    return near_duplicates(documents(spark, sf_dir))
+
+
 @query("op7_histogram_sharding")
 def op7(spark, sf_dir):
     return shard(documents(spark, sf_dir), n_shards=40)
