@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import frozen, partitions
 
 RADIX = 16
 KEY = ("_sha", "_hash", "_len")
@@ -54,7 +54,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"),
                        *[c.alias(n) for n, c in digest_columns(text).items()])
-    rows = rows.withColumn("_run", F.pmod(F.xxhash64("_id", F.lit("run")), F.lit(radix ** levels)))
+    # the texts are read and hashed once; all rounds work on the digests
+    rows = frozen(rows.withColumn("_run", F.pmod(F.xxhash64("_id", F.lit("run")), F.lit(radix ** levels))))
 
     up = [rows.groupBy("_run", *KEY).agg(best("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))]
     for _ in range(levels):
