@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bestfit import best_fit
 from .exact_dedup import exact_dedup
 from .minhash_dedup import near_duplicates
 from .quality import quality
 from .sharding import shard
+from .token_output import packed_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,15 +26,32 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op3_packed_token_ids")
+def op3(spark, sf_dir):
+    return packed_ids(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 @query("op4_odd_sketch_dedup")
 def op4(spark, sf_dir):
     return near_duplicates(documents(spark, sf_dir))
 
 
+@query("op5_sum_of_squares_packing")
+def op5(spark, sf_dir):
+    return best_fit(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+
+
 @query("op7_histogram_sharding")
 def op7(spark, sf_dir):
     return shard(documents(spark, sf_dir), n_shards=40)
