@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bestfit import best_fit
 from .exact_dedup import exact_dedup
+from .language import detect, held_out, train
 from .minhash_dedup import near_duplicates
 from .quality import quality
 from .sharding import shard
@@ -37,6 +39,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op2_script_viterbi_language")
+def op2(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return detect(docs, train(docs.where(~held_out()))).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @query("op3_packed_token_ids")
 def op3(spark, sf_dir):
     return packed_ids(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
