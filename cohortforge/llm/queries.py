@@ -11,6 +11,7 @@ from .bestfit import best_fit
 from .exact_dedup import exact_dedup
 from .language import detect, held_out, train
 from .minhash_dedup import near_duplicates
+from .pii import personal_data
 from .quality import quality
 from .sharding import shard
 from .token_output import packed_ids
@@ -39,6 +40,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@query("op1_bilstm_crf_pii")
+def op1(spark, sf_dir):
+    return personal_data(documents(spark, sf_dir))
+
+
 @query("op2_script_viterbi_language")
 def op2(spark, sf_dir):
     docs = documents(spark, sf_dir)
