@@ -14,6 +14,7 @@ from .minhash_dedup import near_duplicates
 from .pii import personal_data
 from .quality import quality
 from .sharding import shard
+from .spm import encode
 from .token_output import packed_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +68,14 @@ def op5(spark, sf_dir):
     return best_fit(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op6_n_best_sentencepiece")
+def op6(spark, sf_dir):
+    return encode(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model")).select(
+        "doc_id", F.transform("n_best", lambda x: x["score"]).alias("scores"),
+        F.transform("n_best", lambda x: (F.octet_length(x["ids"]) / 4).cast("long")).alias("n_ids"),
+        F.transform("n_best", lambda x: F.crc32(x["ids"])).alias("ids_crc32"), "round_trip")
+
+
 @query("op7_histogram_sharding")
 def op7(spark, sf_dir):
     return shard(documents(spark, sf_dir), n_shards=40)
