@@ -13,6 +13,7 @@ from .language import detect, held_out, train
 from .minhash_dedup import near_duplicates
 from .pii import personal_data
 from .quality import quality
+from .secret_scan import findings
 from .sharding import shard
 from .spm import encode
 from .token_output import packed_ids
@@ -91,6 +92,13 @@ def op8(spark, sf_dir):
     return exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+@query("op9_forest_secret_scan")
+def op9(spark, sf_dir):
+    spans = F.transform("secrets", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return findings(documents(spark, sf_dir)).select(
+        "doc_id", "n_candidates", F.size("secrets").cast("long").alias("n_secrets"), F.array_join(spans, ",").alias("spans"))
+
+
 @query("op10_perplexity_bands")
 def op10(spark, sf_dir):
     return quality(documents(spark, sf_dir))
