@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortforge.session import checkpoint_dir
 
@@ -33,6 +34,26 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_KEYS = 2_000_000      # (id, hash) pairs of 16 bytes: 32 MB
+
+
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
+
+
+def without(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose id and text hash are in ``dropped`` (``_id``, ``_hash``), all columns as they were.
+
+    The texts are not shuffled while the dropped keys are few enough to be broadcast.
+    """
+    dropped = frozen(dropped.select(F.col("_id").alias("_dropped_id"), F.col("_hash").alias("_dropped_hash")).distinct())
+    if dropped.count() <= BROADCAST_KEYS:
+        dropped = F.broadcast(dropped)
+    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_dropped_id"))
+            & (text_hash(F.col(f"`{text_col}`")) == F.col("_dropped_hash")))
+    return docs.join(dropped, same, "left_anti")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

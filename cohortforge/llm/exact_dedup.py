@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, partitions
+from .common import frozen, partitions, text_hash, without
 
 RADIX = 16
 KEY = ("_sha", "_hash", "_len")
@@ -47,12 +47,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``docs`` are not read, whatever their names.  An empty table gives an empty
     result.
     """
+    return _winners(docs, id_col, text_col, keep, n_runs, radix).drop("_hash_of_text")
+
+
+def _winners(docs: DataFrame, id_col: str, text_col: str, keep: str, n_runs: int | None = None, radix: int = RADIX) -> DataFrame:
+    """``exact_dedup`` with ``text_hash`` of the text as it is."""
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep must be 'smallest' or 'largest', not {keep!r}")
     best = F.min if keep == "smallest" else F.max
     levels = levels_for(n_runs or partitions(docs.sparkSession), radix)
     text = F.col(f"`{text_col}`")
-    rows = docs.select(F.col(f"`{id_col}`").alias("_id"),
+    rows = docs.select(F.col(f"`{id_col}`").alias("_id"), text_hash(text).alias("_hash_of_text"),
                        *[c.alias(n) for n, c in digest_columns(text).items()])
     # the texts are read and hashed once; all rounds work on the digests
     rows = frozen(rows.withColumn("_run", F.pmod(F.xxhash64("_id", F.lit("run")), F.lit(radix ** levels))))
@@ -74,21 +79,20 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.select(
         F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_n").alias("group_size"),
         (F.col("_id").eqNullSafe(F.col("_keep")) & (place == 1)).alias("kept"),
-        F.lower(F.hex("_sha")).alias("text_sha256"))
+        F.lower(F.hex("_sha")).alias("text_sha256"), "_hash_of_text")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
-    Rows that repeat an id with the same text are numbered, so that one of them stays.
+    Rows that repeat an id with the same text are gathered by themselves, and
+    one of them stays.  A null and an empty text are equal.
     """
-    n = {c: f"_{c}_" for c in ("id", "sha", "place")}
-    flags = exact_dedup(docs, id_col, text_col, keep).where("kept").select(
-        F.col(f"`{id_col}`").alias(n["id"]), F.unhex("text_sha256").alias(n["sha"]))
-    sha = digest_columns(F.col(f"`{text_col}`"))["_sha"]
-    same = Window.partitionBy(f"`{id_col}`", n["sha"]).orderBy(F.lit(1))
-    kept = (docs.withColumn(n["sha"], sha)
-            .join(flags.withColumnRenamed(n["sha"], "_sha_kept_"),
-                  F.col(f"`{id_col}`").eqNullSafe(F.col(n["id"])) & (F.col(n["sha"]) == F.col("_sha_kept_")), "left_semi"))
-    return (kept.withColumn(n["place"], F.row_number().over(same)).where(F.col(n["place"]) == 1)
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    found = _winners(docs, id_col, text_col, keep).select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col("_hash_of_text").alias("_hash"), "kept")
+    keys = frozen(found.groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")))
+    once = without(docs, keys.where("not kept or n > 1"), id_col, text_col)
+    if keys.where("kept and n > 1").isEmpty():
+        return once
+    repeated = without(docs, keys.where("not kept or n = 1"), id_col, text_col).withColumn("_hash_", text_hash(F.col(f"`{text_col}`")))
+    place = F.row_number().over(Window.partitionBy(f"`{id_col}`", "_hash_").orderBy(F.lit(1)))
+    return once.unionByName(repeated.withColumn("_place_", place).where("_place_ = 1").drop("_place_", "_hash_"))

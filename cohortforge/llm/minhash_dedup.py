@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, frozen, mix, steps, utf8, windows, words
+from .common import LOWER, frozen, mix, steps, text_hash, utf8, windows, without, words
 from .components import components
 
 SHINGLE = 5
@@ -89,7 +89,7 @@ def identity(shingles: np.ndarray) -> tuple[int, int]:
 
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("_id"),
-                       F.col(f"`{text_col}`").cast("string").alias("_text"))
+                       F.col(f"`{text_col}`").cast("string").alias("_text"), text_hash(F.col(f"`{text_col}`")).alias("_hash"))
 
 
 def _lists(rows: list[np.ndarray]) -> pa.Array:
@@ -98,7 +98,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``n``, ``s1``, ``s2``, ``bands``, ``sketch``) of rows (``_id``, ``_text``).
+    """(``_id``, ``_hash``, ``n``, ``s1``, ``s2``, ``bands``, ``sketch``) of rows (``_id``, ``_text``, ``_hash``).
 
     Sets of fewer than six shingles can't be 0.85-similar to a different set: no bands.
     """
@@ -116,11 +116,11 @@ def signatures(rows: DataFrame) -> DataFrame:
                     keys.append(none if sample is None else band_keys(sample))
                     sketches.append(none if sample is None else odd_sketch(sample))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([x[0] for x in ids], pa.int64()),
+                    [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n, pa.int64()), pa.array([x[0] for x in ids], pa.int64()),
                      pa.array([x[1] for x in ids], pa.int64()), _lists(keys), _lists(sketches)],
-                    names=["_id", "n", "s1", "s2", "bands", "sketch"])
+                    names=["_id", "_hash", "n", "s1", "s2", "bands", "sketch"])
 
-    return rows.mapInArrow(sign, "_id long, n long, s1 long, s2 long, bands array<long>, sketch array<long>")
+    return rows.mapInArrow(sign, "_id long, _hash long, n long, s1 long, s2 long, bands array<long>, sketch array<long>")
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
@@ -180,6 +180,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that repeat are of one class and get the same result.  Other columns
     are not read.  An empty table gives an empty result.
     """
+    return _grouped(docs, id_col, text_col, percent).drop("_hash")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """``near_duplicates`` with the text's hash."""
     rows = _identified(docs, id_col, text_col)
     signed = frozen(signatures(rows))
     classes = frozen(signed.where("n > 0").groupBy("s1", "s2", "n").agg(
@@ -222,13 +227,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .withColumn("root", F.coalesce("root", "class")))
     lowest = labels.groupBy("root").agg(F.min("label").alias("component_id"))
     found = labels.join(lowest, "root").select("s1", "s2", "n", "component_id")
-    out = signed.select("_id", "s1", "s2", "n").join(found, ["s1", "s2", "n"], "left")
+    out = signed.select("_id", "_hash", "s1", "s2", "n").join(found, ["s1", "s2", "n"], "left")
     component = F.coalesce("component_id", "_id")
     return out.select(F.nullif(F.col("_id"), F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
-                      F.nullif(component, F.lit(NO_ID)).alias("component_id"), (component == F.col("_id")).alias("kept"))
+                      F.nullif(component, F.lit(NO_ID)).alias("component_id"), (component == F.col("_id")).alias("kept"), "_hash")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """``docs`` with the smallest id of each component, all columns as they were."""
-    keep = near_duplicates(docs, id_col, text_col, percent).where("kept").select(F.col(f"`{id_col}`").alias("_kept_id")).distinct()
-    return docs.join(keep, F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")), "left_semi")
+    """``docs`` without the rows that are linked to a smaller id, all columns as they were."""
+    found = _grouped(docs, id_col, text_col, percent).where("not kept")
+    return without(docs, found.select(F.col(f"`{id_col}`").alias("_id"), "_hash"), id_col, text_col)
