@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.functions.semantics import as_text
-from cohortforge.operators.join import BROADCAST_MAX_ROWS, sized_broadcast
+from cohortforge.operators.join import shared
+from cohortforge.operators.rank import ordered_position
 
 NULL_TOKEN = "NULL"   # missing category token of the plain label encoder
 NAN_TOKEN = "nan"     # missing category token after a cast to text
@@ -37,15 +38,14 @@ def code_table(df: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
                                category_value(c, missing, as_string).cast("string").alias("value"))
                       for c in cols])
     distinct = df.select(F.inline(pairs)).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return distinct.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    return ordered_position(distinct, ["column"], ["value"], "code").withColumn("code", F.col("code").cast("int"))
 
 
 def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
-                as_string: bool = False, max_rows: int = BROADCAST_MAX_ROWS,
+                as_string: bool = False,
                 suffix: str = "") -> DataFrame:
     """Replace each column by its code (or add ``col+suffix`` when ``suffix``)."""
-    small = sized_broadcast(table, max_rows)
+    small = shared(table)
     out = df
     for c in cols:
         t = (small.filter(F.col("column") == c)
@@ -60,7 +60,7 @@ def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: s
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] | None = None, missing: str = NULL_TOKEN,
-                 as_string: bool = False, max_rows: int = BROADCAST_MAX_ROWS):
+                 as_string: bool = False):
     """Sorted label encoding of ``cols`` (default: all string columns).
 
     Returns ``(encoded_df, cols, code_table)``.
@@ -71,31 +71,40 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, missing: str
     if not cols:
         return df, cols, None
     table = code_table(df, cols, missing, as_string)
-    return apply_codes(df, table, cols, missing, as_string, max_rows), cols, table
+    return apply_codes(df, table, cols, missing, as_string), cols, table
 
 
 def two_valued_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
     """Columns with exactly two distinct values, a missing value counting as one.
 
-    One aggregate over all columns; only the one result row reaches the driver.
+    Least and greatest value first, then one pass that asks whether any value
+    lies between them: no distinct count of identifiers or amounts.  Each
+    pass leaves one row for the driver.
     """
     cols = list(cols or df.columns)
-    row = df.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c)
-                   for c in cols]).first()
-    return [c for c in cols if row[c] == 2]
-
-
-def encode_string_or_two_valued(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS):
+    if not cols:
+        return []
+    q = {c: F.col(f"`{c}`") for c in cols}
+    row = df.agg(*[F.struct(F.min(q[c]), F.max(q[c]), F.max(q[c].isNull().cast("int"))) for c in cols]).first()
+    ends = {c: row[i] for i, c in enumerate(cols)}
+    one = [c for c in cols if ends[c][0] is not None and ends[c][0] == ends[c][1] and ends[c][2] == 1]
+    two = [c for c in cols if ends[c][0] is not None and ends[c][0] != ends[c][1] and ends[c][2] == 0]
+    if two:
+        between = df.agg(*[F.max(((q[c] != F.lit(ends[c][0])) & (q[c] != F.lit(ends[c][1]))).cast("int")) for c in two]).first()
+        two = [c for i, c in enumerate(two) if not between[i]]
+    return [c for c in cols if c in one or c in two]
+
+
+def encode_string_or_two_valued(df: DataFrame):
     """Label-encode, as text, the string columns and the two-valued columns."""
     strings = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     two = set(two_valued_columns(df, [c for c in df.columns if c not in strings]))
     cols = [c for c in df.columns if c in strings or c in two]
-    out, cols, table = label_encode(df, cols, NAN_TOKEN, True, max_rows)
+    out, cols, table = label_encode(df, cols, NAN_TOKEN, True)
     return out, cols, table
 
 
-def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str],
-              max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """Code by first appearance in ``order_cols`` order; missing -> -1.
 
     The first appearance of a value is ``min(struct(order_cols))`` over its
@@ -106,9 +115,8 @@ def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str],
         first = (df.filter(F.col(c).isNotNull())
                    .groupBy(F.col(c).alias("__v"))
                    .agg(F.min(F.struct(*[F.col(o) for o in order_cols])).alias("__first")))
-        w = Window.orderBy("__first", "__v")
-        codes = first.select("__v", (F.dense_rank().over(w) - 1).cast("int").alias("__code"))
-        codes = sized_broadcast(codes, max_rows)
+        first = first.withColumn("__o", F.col("__first")[order_cols[0]])
+        codes = ordered_position(first, [], ["__o", "__first", "__v"], "__code").select("__v", F.col("__code").cast("int"))
         out = (out.join(codes, F.col(c) == F.col("__v"), "left")
                   .withColumn(c, F.coalesce(F.col("__code"), F.lit(-1)))
                   .drop("__v", "__code"))
@@ -144,13 +152,17 @@ def one_hot(df: DataFrame, cols: Sequence[str] | None = None, nan_as_category: b
     return df.select(*keep, *new_exprs), new_cols
 
 
-def code_frame(table: DataFrame) -> DataFrame:
-    """The saved form of an encoder dictionary: one row per (column, value)."""
-    return table.select("column", "value", "code")
+def save_codes(table: DataFrame, path: str) -> None:
+    """Write an encoder's dictionary: one row per (column, value)."""
+    table.select("column", "value", "code").write.mode("overwrite").parquet(path)
+
+
+def load_codes(spark: SparkSession, path: str) -> DataFrame:
+    """A saved dictionary; ``apply_codes`` gives NULL to values that it doesn't hold."""
+    return spark.read.parquet(path)
 
 
-def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL_TOKEN,
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL_TOKEN) -> DataFrame:
     """Per key, the sorted code of the modal category of each column, as text.
 
     Missing is the category ``missing``; ties go to the lowest code.  The
@@ -162,7 +174,7 @@ def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL
     cols = list(cols)
     agg = (df.filter(F.col(key).isNotNull()).groupBy(key)
              .agg(*[mode_value(F.coalesce(F.col(c), F.lit(missing))).alias(c) for c in cols]))
-    table = sized_broadcast(code_table(df, cols, missing), max_rows)
+    table = shared(code_table(df, cols, missing))
     for c in cols:
         codes = table.filter(F.col("column") == c).select(
             F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))

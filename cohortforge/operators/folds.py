@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.operators.rank import ROWS_PER_RANGE, ordered_position
+from cohortforge.operators.rank import null_safe_join, ordered_position
 
 
 def hash32(id_col: str, seed: int) -> Column:
@@ -29,19 +31,19 @@ def hash_folds(df: DataFrame, id_col: str, k: int = 5, seed: int = 2018,
     return df.withColumn(out, hash_fold(id_col, k, seed))
 
 
-def stratified_folds(df: DataFrame, label: str, order: str, k: int = 5, out: str = "fold",
-                     n_ranges: int | None = None,
-                     rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def stratified_folds(df: DataFrame, label: str, order: str | Sequence[str], k: int = 5, out: str = "fold",
+                     n_ranges: int | None = None) -> DataFrame:
     """Stratified folds without shuffling: within each class, rows in
     ``order`` are cut into k contiguous blocks; the first ``n mod k`` blocks
-    get one row more.
+    get one row more.  A missing label is a class of its own, a missing order
+    value comes first: every row gets a fold.
 
     The position inside the class is computed by range (see ``rank``), so a
     class holding most rows is still spread over many tasks.
     """
-    pos = ordered_position(df, [label], [order], "__pos", n_ranges, rows_per_range)
+    pos = ordered_position(df, [label], [order] if isinstance(order, str) else order, "__pos", n_ranges)
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    pos = pos.join(F.broadcast(sizes), label, "left")   # one row per class
+    pos = null_safe_join(pos, sizes, [label])
     n, p = F.col("__n"), F.col("__pos")
     q = F.floor(n / k)
     r = n - q * k

@@ -13,9 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a lookup side is not broadcast but joined by shuffle.
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def suffix_names(left_cols: Sequence[str], right_cols: Sequence[str], suffix: str,
                  keep: Sequence[str] = ()) -> dict[str, str]:
@@ -42,27 +39,30 @@ def left_join_suffix(left: DataFrame, right: DataFrame, left_on: str, right_on:
     return joined.drop(rk)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it holds at most ``max_rows`` rows.
+_kept: list[DataFrame] = []
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """``df`` marked to be kept once computed, for a small side that several joins of one plan use.
 
-    One job caches the side and counts it (a lost cached block is rebuilt
-    from its lineage); the broadcast then reads the cache.  A side above
-    the bound is uncached and returned as is, to be joined by shuffle.
+    Runs nothing.  Whether a join broadcasts it is left to the adaptive
+    planner, which knows its size in bytes by then.  ``release`` frees all.
     """
-    cached = df.cache()
-    n = cached.count()
-    if n <= max_rows:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    _kept.append(df.cache())
+    return _kept[-1]
+
+
+def release() -> None:
+    """Free every table that ``shared`` keeps."""
+    while _kept:
+        _kept.pop().unpersist()
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, out: str,
-           table_key: str | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Map ``df[key]`` through a small (key -> value) table; unknown keys give NULL."""
+           table_key: str | None = None) -> DataFrame:
+    """Map ``df[key]`` through a (key -> value) table; unknown keys give NULL."""
     table_key = table_key or key
     t = table.select(F.col(table_key).alias("__lk"), F.col(value).alias(out))
-    t = sized_broadcast(t, max_rows)
     return df.join(t, F.col(key) == F.col("__lk"), "left").drop("__lk")
 
 

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortforge.operators.rank import ROWS_PER_RANGE, running_totals
+from cohortforge.operators.rank import running_totals
 
 
 def auc_exact(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
-              n_ranges: int | None = None, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+              n_ranges: int | None = None) -> DataFrame:
     """Exact ROC AUC (ties count one half), per ``by`` group.
 
     Rows are first reduced to one row per distinct score (positives and
@@ -24,7 +24,7 @@ def auc_exact(df: DataFrame, label: str, score: str, by: Sequence[str] = (),
                    .groupBy(*by, score)
                    .agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"),
                         F.sum((F.col(label) != 1).cast("bigint")).alias("neg")))
-    cum = running_totals(per_score, by, [score], ["neg"], n_ranges, rows_per_range)
+    cum = running_totals(per_score, by, [score], ["neg"], n_ranges)
     agg = cum.groupBy(*by).agg(
         F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") / 2.0)).alias("__u"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

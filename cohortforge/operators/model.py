@@ -1,9 +1,11 @@
 """Classifier training and scoring with Spark ML, k-fold.
 
 The feature vector is the numeric columns plus a one-hot block per category
-code (``VectorAssembler``).  Each fold fits a **new** pipeline on the other
-folds and scores its own rows (out-of-fold); test rows are scored by every
-fold's model and the scores are averaged per row.  Fits are distributed
+code (``VectorAssembler``).  The one-hot widths are fitted once, on all rows,
+so that every fold's vectors have one length, also where a category occurs in
+one fold only.  Each fold fits a **new** classifier on the other folds and
+scores its own rows (out-of-fold); test rows are scored by every fold's model
+and the scores are averaged per row.  Fits are distributed
 Spark ML jobs; the training frame is persisted (memory and disk) before the
 loop so the k fits read it once.
 """
@@ -15,7 +17,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier,
+    GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, NaiveBayes,
 )
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,6 +35,8 @@ def make_classifier(kind: str, n_features: int | None = None, max_iter: int = 50
         return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
     if kind == "gbt":
         return GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, seed=seed)
+    if kind == "gaussian_nb":
+        return NaiveBayes(featuresCol="features", labelCol="label", modelType="gaussian")
     if kind == "mlp":
         if n_features is None:
             raise ValueError("mlp needs n_features")
@@ -54,39 +58,49 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str]):
     return stages
 
 
-def _n_features(df: DataFrame, numeric, categorical) -> int:
-    if not categorical:
-        return len(numeric)
-    row = df.agg(*[F.max(c).alias(c) for c in categorical]).first()
-    # one slot per code 0..max plus the "unseen" slot of handleInvalid=keep
-    return len(numeric) + sum(int(row[c] or 0) + 2 for c in categorical)
-
-
 def probability_of_one(df: DataFrame, out: str = "score") -> DataFrame:
     """Class-1 probability from the 2-class probability vector."""
     return df.withColumn(out, vector_to_array("probability")[1])
 
 
+def encode_label(df: DataFrame, label: str, out: str = "label") -> DataFrame:
+    """The label as class numbers 0, 1, ... in value order; a missing one stays missing.
+
+    Two classes at most are expected, so the values are read from two ends.
+    """
+    low, high = df.agg(F.min(label), F.max(label)).first()
+    code = F.when(F.col(label) == F.lit(low), 0.0).when(F.col(label) == F.lit(high), 1.0)
+    known = F.col(label).isNull() | code.isNotNull()
+    return df.withColumn(out, F.when(known, code).otherwise(F.raise_error(F.lit(f"{label} has more than two values")).cast("double")))
+
+
 def fit_folds(df: DataFrame, id_col: str, numeric: Sequence[str], categorical: Sequence[str],
               label: str, fold_col: str = "fold", k: int = 5, kind: str = "logistic",
               max_iter: int = 50, model_dir: str | None = None):
     """k-fold fit; returns ``(oof, models)`` where ``oof`` holds one
-    out-of-fold score per training row: (id, fold, label, score)."""
-    data = (df.select(id_col, fold_col, *numeric, *categorical,
-                      F.col(label).cast("double").alias("label"))
+    out-of-fold score per training row: (id, fold, label, score).
+
+    Every model holds the shared encoder's stages and its own classifier.
+    Rows without a label or a fold are an error: they would be neither
+    trained on nor scored.
+    """
+    df = df.withColumn(fold_col, F.when(F.col(fold_col).isNull() | F.col(label).isNull(),
+                                        F.raise_error(F.lit("a row without a fold or a label")).cast("int")).otherwise(F.col(fold_col)))
+    data = (encode_label(df.select(id_col, fold_col, *numeric, *categorical, label), label, "__label")
+              .withColumnRenamed(label, "__own").withColumnRenamed("__label", "label")
               .persist(StorageLevel.MEMORY_AND_DISK))
-    n_feat = _n_features(data, numeric, categorical) if kind == "mlp" else None
+    encoder = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
+    encoded = encoder.transform(data).select(id_col, fold_col, "__own", "label", "features")
+    width = encoded.schema["features"].metadata.get("ml_attr", {}).get("num_attrs") or len(encoded.first()["features"])
     models, parts = [], []
     for f in range(k):
-        pipe = Pipeline(stages=feature_stages(numeric, categorical)
-                        + [make_classifier(kind, n_feat, max_iter)])
-        model = pipe.fit(data.filter(F.col(fold_col) != f))
+        classifier = make_classifier(kind, width, max_iter).fit(encoded.filter(F.col(fold_col) != f))
+        model = PipelineModel([*encoder.stages, classifier])
         if model_dir:
             model.write().overwrite().save(f"{model_dir}/fold_{f}")
         models.append(model)
-        scored = probability_of_one(model.transform(data.filter(F.col(fold_col) == f)))
-        parts.append(scored.select(id_col, fold_col, F.col("label").cast("int").alias(label),
-                                   "score"))
+        scored = probability_of_one(classifier.transform(encoded.filter(F.col(fold_col) == f)))
+        parts.append(scored.select(id_col, fold_col, F.col("__own").alias(label), "score"))
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

@@ -30,7 +30,7 @@ from cohortforge.operators.aggregate import (
     string_columns, weighted_mean,
 )
 from cohortforge.operators.encode import NULL_TOKEN, code_table
-from cohortforge.operators.join import BROADCAST_MAX_ROWS, lookup, sized_broadcast
+from cohortforge.operators.join import lookup, shared
 from cohortforge.plans.naming import MergeNames
 
 # ---------------------------------------------------------------------------
@@ -113,7 +113,6 @@ class FeatureConfig:
     ins_std: list = field(default_factory=lambda: list(REFERENCE_INS_STD))
     ins_prefix: str = "INS_"
     suffixes: dict = field(default_factory=lambda: dict(REFERENCE_SUFFIXES))
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS
 
 
 def doc_flag_columns(cols) -> list[str]:
@@ -160,7 +159,7 @@ def application_features(app: DataFrame, cfg: FeatureConfig) -> DataFrame:
         elif kind == "group_median":
             value, group = spec[2], spec[3]
             med = group_median(app, group, value, "__med", method=cfg.median_method)
-            out = (lookup(out, med, group, "__med", "__med_v", max_rows=cfg.broadcast_max_rows)
+            out = (lookup(out, med, group, "__med", "__med_v")
                    .withColumnRenamed("__med_v", name))
         else:
             raise ValueError(f"unknown derived feature kind {kind!r}")
@@ -195,7 +194,7 @@ def _mode_codes(agg: DataFrame, child: DataFrame, cats: list[str], temps: list[s
     """Map modal category texts to their sorted codes, as text."""
     if not cats:
         return agg
-    small = sized_broadcast(code_table(child, cats, NULL_TOKEN), cfg.broadcast_max_rows)
+    small = shared(code_table(child, cats, NULL_TOKEN))
     for c, t in zip(cats, temps):
         codes = small.filter(F.col("column") == c).select(
             F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))

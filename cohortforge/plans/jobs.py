@@ -17,11 +17,12 @@ the whole feature plan.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortforge.operators.encode import label_encode
+from cohortforge.operators.encode import label_encode, save_codes
 from cohortforge.operators.folds import hash_folds, stratified_folds
 from cohortforge.operators.metrics import auc_exact
 from cohortforge.operators.model import ensemble_mean, fit_folds, load_models, score_folds
@@ -34,6 +35,15 @@ from cohortforge.sources.io import (
     output_dir, read_inputs, read_table, sample_scan, write_submission, write_table,
 )
 
+# The columns that the trainer encodes besides all text columns.
+ENCODER_COLUMNS = [
+    "FONDKAPREMONT_MODE", "HOUR_APPR_PROCESS_START", "HOUSETYPE_MODE", "NAME_EDUCATION_TYPE", "NAME_FAMILY_STATUS",
+    "NAME_HOUSING_TYPE", "NAME_INCOME_TYPE", "NAME_TYPE_SUITE", "OCCUPATION_TYPE", "ORGANIZATION_TYPE", "WALLSMATERIAL_MODE",
+    "WEEKDAY_APPR_PROCESS_START", "NAME_CONTRACT_TYPE_BAVG", "WEEKDAY_APPR_PROCESS_START_BAVG", "NAME_CASH_LOAN_PURPOSE",
+    "NAME_CONTRACT_STATUS", "NAME_PAYMENT_TYPE", "CODE_REJECT_REASON", "NAME_TYPE_SUITE_BAVG", "NAME_CLIENT_TYPE",
+    "NAME_GOODS_CATEGORY", "NAME_PORTFOLIO", "NAME_PRODUCT_TYPE", "CHANNEL_TYPE", "NAME_SELLER_INDUSTRY", "NAME_YIELD_GROUP",
+    "PRODUCT_COMBINATION", "NAME_CONTRACT_STATUS_CCAVG", "STATUS", "NAME_CONTRACT_STATUS_CAVG"]
+
 META_COLS = ["SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV"]
 
 
@@ -61,12 +71,19 @@ def build_features(spark: SparkSession, input_dir: str, out: str | None = None,
 
 
 def prepare(features: DataFrame, label: str = "TARGET", key: str = "SK_ID_CURR",
-            null_threshold: float = 0.8):
-    """Encode text columns, prune mostly-missing columns, fill, cap infinities, scale."""
+            null_threshold: float = 0.8, encode: Sequence[str] = ENCODER_COLUMNS, codes_path: str | None = None):
+    """Encode text columns and those named in ``encode`` (one that is not there is an error), prune
+    mostly-missing columns, fill, cap infinities, scale.  ``codes_path``: where the encoder's dictionary goes."""
+    absent = [c for c in encode if c not in features.columns]
+    if absent:
+        raise ValueError(f"columns to encode that the features lack: {', '.join(absent)}")
     meta = [c for c in META_COLS if c in features.columns and c != key]
     df = features.drop(*meta)
     text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+    text += [c for c in encode if c not in text]
     df, cats, codes = label_encode(df, text, missing="nan", as_string=True)
+    if codes_path and codes is not None:
+        save_codes(codes, codes_path)
     df, dropped = prune_null_columns(df, null_threshold, protect=[key, label, "is_train"])
     cats = [c for c in cats if c not in dropped]
     df = replace_inf_all(fill_missing(df, 0, [c for c in df.columns if c not in (label,)]))
@@ -77,12 +94,16 @@ def prepare(features: DataFrame, label: str = "TARGET", key: str = "SK_ID_CURR",
 
 def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int = 5,
           kind: str = "mlp", max_iter: int = 30, stratified: bool = True,
-          key: str = "SK_ID_CURR", label: str = "TARGET", sample_size: int | None = None):
+          key: str = "SK_ID_CURR", label: str = "TARGET", sample_size: int | None = None,
+          encode: Sequence[str] = ENCODER_COLUMNS):
     """k-fold training; returns (oof_scores, fold_auc, overall_auc)."""
     out_dir = output_dir(out_dir, sample_size)
     if isinstance(features, str):
         features = read_table(spark, features)
-    df, numeric, cats, _ = prepare(features, label, key)
+    if sample_size is not None:     # n training rows, and n test rows: 2n in all
+        features = sample_scan(features.filter("is_train"), sample_size, key).unionByName(
+            sample_scan(features.filter("not is_train"), sample_size, key))
+    df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"))
     checkpoint_dir(spark)
     df = df.checkpoint(eager=True)                 # one materialised copy for all fits
     write_table(df.filter(~F.col("is_train")).drop(label), os.path.join(out_dir, "test_matrix"))
@@ -90,10 +111,9 @@ def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int =
     tr = (stratified_folds(tr, label, key, k) if stratified else hash_folds(tr, key, k, 2018))
     oof, _ = fit_folds(tr, key, numeric, cats, label, "fold", k, kind, max_iter,
                        model_dir=os.path.join(out_dir, "models"))
-    fold_auc = auc_exact(oof, label, "score", by=["fold"])
-    overall = auc_exact(oof, label, "score")
-    write_table(oof, os.path.join(out_dir, "oof"))
-    return oof, fold_auc, overall
+    write_table(oof, os.path.join(out_dir, "oof"))      # scored once; all that follows reads it
+    oof = read_table(spark, os.path.join(out_dir, "oof"))
+    return oof, auc_exact(oof, label, "score", by=["fold"]), auc_exact(oof, label, "score")
 
 
 def submit(spark: SparkSession, out_dir: str, template: DataFrame, k: int = 5,
@@ -101,6 +121,7 @@ def submit(spark: SparkSession, out_dir: str, template: DataFrame, k: int = 5,
     """Score the saved test matrix with every fold model; write one file per
     fold and the averaged one (scores matched to the template by key)."""
     out_dir = output_dir(out_dir, sample_size)
+    template = sample_scan(template, sample_size, key)
     test = read_table(spark, os.path.join(out_dir, "test_matrix"))
     scores = score_folds(load_models(os.path.join(out_dir, "models"), k), test, key)
     for f in range(k):

@@ -45,10 +45,8 @@ def prev_totals(spark, d):
 # --- A8 J3 P9 ---------------------------------------------------------------
 @register("prev_means_suffix", f"""
 WITH p AS {S.SQL_PREV},
-f AS (SELECT o_custkey, avg(o_orderkey) AS mk, avg(o_totalprice) AS mp FROM p
-      WHERE o_orderstatus = 'F' GROUP BY o_custkey),
-o AS (SELECT o_custkey, avg(o_orderkey) AS mk, avg(o_totalprice) AS mp FROM p
-      WHERE o_orderstatus = 'O' GROUP BY o_custkey)
+f AS (SELECT o_custkey, avg(o_orderkey) AS mk, avg(o_totalprice) AS mp FROM p GROUP BY o_custkey),
+o AS (SELECT o_custkey, avg(o_orderkey) AS mk, avg(o_totalprice) AS mp FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey, c.c_name, c.c_nationkey, round(c.c_acctbal, 4) AS c_acctbal, c.c_mktsegment,
        round(f.mk, 4) AS o_orderkey, round(f.mp, 4) AS o_totalprice,
        round(o.mk, 4) AS o_orderkey_BAVG, round(o.mp, 4) AS o_totalprice_BAVG
@@ -57,8 +55,9 @@ FROM customer c LEFT JOIN f ON c.c_custkey = f.o_custkey LEFT JOIN o ON c.c_cust
 def prev_means_suffix(spark, d):
     a = S.app(spark, d)
     p = S.prev(spark, d)
-    f = group_by_key(p.filter(F.col("o_orderstatus") == "F"), "o_custkey", mean_all(p, "o_custkey"))
-    o = group_by_key(p.filter(F.col("o_orderstatus") == "O"), "o_custkey", mean_all(p, "o_custkey"))
+    b = S.bureau(spark, d)
+    f = group_by_key(p, "o_custkey", mean_all(p, "o_custkey"))
+    o = group_by_key(b, "o_custkey", mean_all(b, "o_custkey"))
     out = left_join_suffix(a, f, "c_custkey", "o_custkey", "_PAVG")
     out = left_join_suffix(out, o, "c_custkey", "o_custkey", "_BAVG")
     return rounded(out)
@@ -258,7 +257,7 @@ def latest_on_mean_key(spark, d):
 # --- A15 J15 ------------------------------------------------------------------
 @register("child_counts", f"""
 SELECT c.c_custkey, b.n AS c_custkey_CNT_BUREAU, e.n AS c_custkey_CNT_CRED_CARD,
-       i.n AS c_custkey_CNT_INSTALL
+       e.n AS c_custkey_CNT_POS_CASH, i.n AS c_custkey_CNT_INSTALL
 FROM customer c
 LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) b ON c.c_custkey = b.o_custkey
 LEFT JOIN (SELECT user_id, count(*) AS n FROM events GROUP BY 1) e ON c.c_custkey = e.user_id
@@ -269,6 +268,7 @@ def child_counts(spark, d):
     out = S.app(spark, d).select("c_custkey")
     for child, key, suffix in ((S.bureau(spark, d), "o_custkey", "_CNT_BUREAU"),
                                (S.balance(spark, d), "user_id", "_CNT_CRED_CARD"),
+                               (S.balance(spark, d), "user_id", "_CNT_POS_CASH"),
                                (S.instalments(spark, d), "o_custkey", "_CNT_INSTALL")):
         out = left_join_suffix(out, value_counts(child, key, "c_custkey"), "c_custkey", key, suffix)
     return out

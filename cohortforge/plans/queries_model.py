@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortforge.operators import encode as E
 from cohortforge.operators import profile as P
 from cohortforge.operators.folds import hash32, hash_folds, stratified_folds
 from cohortforge.operators.metrics import auc_exact, losses
-from cohortforge.operators.model import ensemble_mean, fit_folds
+from cohortforge.operators.model import ensemble_mean, fit_folds, score_folds
 from cohortforge.plans import standins as S
+from cohortforge.session import checkpoint_dir
 from cohortforge.plans.registry import register, rounded
 from cohortforge.sources.io import sample_scan
 
@@ -84,6 +87,19 @@ def label_encode_two_valued(spark, d):
 
 
 # --- W3 -----------------------------------------------------------------------
+@register("label_encode_saved", """
+WITH codes AS (SELECT c_name AS v, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS code
+               FROM (SELECT DISTINCT c_name FROM customer WHERE c_custkey % 3 <> 0))
+SELECT c.c_custkey, codes.code AS c_name FROM customer c LEFT JOIN codes ON c.c_name = codes.v
+""")
+def label_encode_saved(spark, d):
+    """A dictionary of one value per row, saved, read back and applied to rows with values that it never saw."""
+    c = S.app(spark, d).select("c_custkey", "c_name")
+    path = f"{checkpoint_dir(spark)}/codes-{uuid.uuid4().hex}"
+    E.save_codes(E.code_table(c.filter(F.col("c_custkey") % 3 != 0), ["c_name"]), path)
+    return E.apply_codes(c, E.load_codes(spark, path), ["c_name"])
+
+
 def _first_seen_sql(col):
     return (f"(SELECT v, CAST(dense_rank() OVER (ORDER BY first_key, v) - 1 AS INTEGER) AS code "
             f"FROM (SELECT {col} AS v, min(o_orderkey) AS first_key FROM p "
@@ -203,7 +219,7 @@ def _train_test(spark, d):
     train = (o.filter(F.col("o_orderstatus") == "F")
               .select("o_orderkey", "o_custkey", "o_totalprice",
                       F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("TARGET")))
-    test = (o.filter(F.col("o_orderstatus") == "O")
+    test = (o.filter(F.col("o_orderstatus") != "F")
              .select("o_orderkey", "o_custkey", "o_totalprice"))
     return (train.withColumn("is_train", F.lit(True))
                  .unionByName(test.withColumn("is_train", F.lit(False)), allowMissingColumns=True))
@@ -215,7 +231,7 @@ _TT_SQL = """
  FROM orders WHERE o_orderstatus = 'F'
  UNION ALL
  SELECT o_orderkey, o_custkey, o_totalprice, CAST(NULL AS INTEGER) AS TARGET, false AS is_train
- FROM orders WHERE o_orderstatus = 'O')"""
+ FROM orders WHERE o_orderstatus <> 'F')"""
 
 
 @register("train_test_stack", f"""
@@ -280,6 +296,20 @@ def stratified_folds_q(spark, d):
     return stratified_folds(o, "label", "o_orderkey", k=5)
 
 
+@register("stratified_folds_text", """
+SELECT o_orderkey, CAST(nullif(o_orderpriority = '1-URGENT', false) AS INTEGER) AS label,
+       CAST(ntile(5) OVER (PARTITION BY nullif(o_orderpriority = '1-URGENT', false)
+                           ORDER BY nullif('k' || o_orderkey % 1000, 'k7') NULLS FIRST, o_orderkey) - 1 AS INTEGER) AS fold
+FROM orders
+""")
+def stratified_folds_text(spark, d):
+    """Many ranges over a text key with ties and missing values; the missing label is a class."""
+    o = S.table(spark, d, "orders").select(
+        "o_orderkey", F.nullif(F.col("o_orderpriority") == "1-URGENT", F.lit(False)).cast("int").alias("label"),
+        F.nullif(F.concat(F.lit("k"), F.col("o_orderkey") % 1000), F.lit("k7")).alias("key"))
+    return stratified_folds(o, "label", ["key", "o_orderkey"], k=5, n_ranges=37).drop("key")
+
+
 @register("hash_folds", """
 SELECT o_orderkey,
        CAST(CAST('0x' || substr(md5('2018:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 5
@@ -334,7 +364,7 @@ def losses_q(spark, d):
 @register("ensemble_mean", """
 WITH s AS (""" + " UNION ALL ".join(
     f"SELECT o_orderkey, {f} AS f, CAST(CAST('0x' || substr(md5('{f}:' || CAST(o_orderkey AS VARCHAR)),"
-    f" 1, 8) AS BIGINT) AS DOUBLE) / 4294967295.0 AS score FROM orders WHERE o_orderstatus = 'O'"
+    f" 1, 8) AS BIGINT) AS DOUBLE) / 4294967295.0 AS score FROM orders"
     for f in range(5)) + """)
 SELECT o.o_orderkey, round(m.TARGET, 4) AS TARGET
 FROM orders o LEFT JOIN (SELECT o_orderkey, avg(score) AS TARGET FROM s GROUP BY 1) m
@@ -342,7 +372,7 @@ FROM orders o LEFT JOIN (SELECT o_orderkey, avg(score) AS TARGET FROM s GROUP BY
 """)
 def ensemble_mean_q(spark, d):
     o = S.table(spark, d, "orders")
-    test = o.filter(F.col("o_orderstatus") == "O").select("o_orderkey")
+    test = o.select("o_orderkey")
     parts = [test.select("o_orderkey", F.lit(f).alias("fold"),
                          (hash32("o_orderkey", f).cast("double") / 4294967295.0)
                          .alias("score")) for f in range(5)]
@@ -363,7 +393,56 @@ def sample_scan_q(spark, d):
     return rounded(sample_scan(o, 1000, "o_orderkey"))
 
 
-# --- E7 E13 E14 E15 E18 E20 (no SQL form) -------------------------------------
+# --- E7 E13 E14 E15 E18 E19 E20 F11 M11 -----------------------------------------
+_NB_FEATURES = ["amount", "days"]
+
+
+def _nb_frame(spark, d):
+    p = S.prev_with_credit(spark, d).select(
+        "o_orderkey", (F.col("AMT_APPLICATION") / 100000).alias("amount"), (F.col("DAYS_DECISION") / 1000).alias("days"),
+        F.when(F.col("o_orderstatus") == "F", "yes").otherwise("no").alias("answer"))
+    return hash_folds(p, "o_orderkey", 5, 2018)
+
+
+# Gaussian naive Bayes in closed form: a prior, and a mean and population variance per class and feature.
+_NB_SQL = f"""
+WITH x AS (SELECT o_orderkey, AMT_APPLICATION / 100000 AS amount, DAYS_DECISION / 1000 AS days,
+                  CASE WHEN o_orderstatus = 'F' THEN 'yes' ELSE 'no' END AS answer,
+                  CAST(CAST('0x' || substr(md5('2018:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold
+           FROM {S.SQL_PREV_CREDIT}),
+f AS (SELECT unnest(range(5)) AS model),
+m AS (SELECT model, answer, count(*) AS n, avg(amount) AS ma, avg(days) AS md,
+             var_pop(amount) AS va, var_pop(days) AS vd
+      FROM x JOIN f ON x.fold <> f.model GROUP BY 1, 2),
+l AS (SELECT x.o_orderkey, x.fold, x.answer AS truth, m.model, m.answer,
+             ln(m.n) - 0.5 * (ln(2 * pi() * va) + pow(amount - ma, 2) / va)
+                     - 0.5 * (ln(2 * pi() * vd) + pow(days - md, 2) / vd) AS ll
+      FROM x CROSS JOIN m),
+p AS (SELECT o_orderkey, fold, truth, model,
+             1 / (1 + exp(max(ll) FILTER (WHERE answer = 'no') - max(ll) FILTER (WHERE answer = 'yes'))) AS score
+      FROM l GROUP BY 1, 2, 3, 4)
+"""
+
+
+@register("oof_naive_bayes", _NB_SQL + """
+SELECT o_orderkey, fold, truth AS answer, round(score, 4) AS score FROM p WHERE model = fold
+""")
+def oof_naive_bayes(spark, d):
+    """k-fold fit and out-of-fold class-1 probability of a text label."""
+    return rounded(fit_folds(_nb_frame(spark, d), "o_orderkey", _NB_FEATURES, [], "answer", "fold", 5, kind="gaussian_nb")[0])
+
+
+@register("naive_bayes_ensemble", _NB_SQL + """
+SELECT o_orderkey, round(avg(score), 4) AS TARGET FROM p GROUP BY 1
+""")
+def naive_bayes_ensemble(spark, d):
+    """Every row scored by every fold's model, and their mean."""
+    data = _nb_frame(spark, d)
+    models = fit_folds(data, "o_orderkey", _NB_FEATURES, [], "answer", "fold", 5, kind="gaussian_nb")[1]
+    return rounded(ensemble_mean(score_folds(models, data, "o_orderkey"), "o_orderkey"))
+
+
+# --- with a classifier that has no closed form ----------------------------------
 def _oof_frame(spark, d):
     p = S.prev_with_credit(spark, d)
     enc, _, _ = E.label_encode(p.select("o_orderkey", "o_orderpriority", "AMT_APPLICATION",

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortforge.sources.io import read_table
+
 # Fixed values of the stand-in mapping.
 EVENTS_END = "2024-01-31"
 ORDERS_END = "2001-12-01"
@@ -27,7 +29,7 @@ MISSING_PRIORITY = "4-NOT SPECIFIED"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def month_offset(ts: str, end: str, days: int):

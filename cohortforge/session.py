@@ -30,15 +30,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is only read.
-    Where it is unset (local tests) a fresh folder is taken for this run.
+    On a cluster the setting names a shared file system and is only read; an
+    unset one is an error there.  In local mode, where driver and executor are
+    one process, a fresh folder is taken for this run.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -46,6 +46,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cohortforge-ckpt-",
                                       dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

@@ -1,9 +1,12 @@
 """Scans and sinks.
 
-* CSV scans use a declared schema (no inference pass over the data) and
-  turn NaN into NULL at ingest, so aggregates never see NaN.
-* The sample scan takes the first ``n`` rows in key order: repeatable, and
-  a top-k (``TakeOrderedAndProject``) rather than a full sort.
+* CSV scans bind columns by the file's header: one line is read, every
+  column is kept, known names get their declared type and others one by rule
+  (no inference pass over the data).  NaN becomes NULL at ingest, so
+  aggregates never see NaN.
+* The sample scan takes the first ``n`` rows in the order of the key and then
+  of all other columns: the same rows whatever the partitioning, and a top-k
+  (``TakeOrderedAndProject``) rather than a full sort.
 * Sinks write Parquet/CSV with overwrite; the submission sink joins scores
   onto the template by key (never by row position).
 """
@@ -13,9 +16,9 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cohortforge.functions.semantics import nan_to_null
 from cohortforge.sources import schemas
@@ -28,31 +31,67 @@ def clean_nan(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+def header(spark: SparkSession, path: str) -> list[str]:
+    """The column names in a CSV file's first line (read through Spark, so from any of its stores)."""
+    return spark.read.option("header", True).csv(path).columns
+
+
+def whole_number(c: Column) -> Column:
+    """Text as a whole number, also when it is spelled ``-12.0``; NaN and nothing are NULL, other text is an error."""
+    text = F.trim(c)
+    number = F.coalesce(text.try_cast("bigint"), F.nullif(text.try_cast("double"), F.lit(float("nan"))).try_cast("bigint"))
+    blank = text.isNull() | F.lower(text).isin("", "nan")
+    return F.when(blank, F.lit(None).cast("bigint")).when(
+        number.isNull(), F.raise_error(F.concat(F.lit("not a whole number: "), text)).cast("bigint")).otherwise(number)
+
+
+def bound_schema(names: Sequence[str], schema: StructType | None) -> StructType:
+    """The types of a file's columns, in the file's order: declared ones, else by ``schemas.other_type``."""
+    declared = {f.name: f.dataType for f in (schema.fields if schema else [])}
+    return StructType([StructField(n, declared.get(n, schemas.other_type(n))) for n in names])
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
                fmt: str | None = None) -> DataFrame:
     """Scan one table.  CSV (plain or .gz) needs a header row; Parquet carries
     its own schema.  Without ``fmt``, names ending in .csv / .csv.gz are CSV,
-    everything else (files or folders written by Spark) is Parquet."""
+    everything else (files or folders written by Spark) is Parquet.
+
+    CSV columns are bound by name: the file may hold them in any order, and
+    more of them than ``schema`` declares.  Declared columns that it lacks
+    follow as NULL.
+    """
     if fmt is None:
         p = path.rstrip("/").lower()
         fmt = "csv" if (p.endswith(".csv") or p.endswith(".csv.gz")) else "parquet"
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("mode", "FAILFAST")
-        reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-        df = reader.csv(path)
+        names = header(spark, path)
+        types = bound_schema(names, schema)
+        longs = {f.name for f in types if f.dataType.typeName() == "long"}
+        text = StructType([StructField(f.name, StringType()) if f.name in longs else f for f in types])
+        df = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).schema(text).csv(path)
+        df = df.select(*[whole_number(F.col(f"`{n}`")).alias(n) if n in longs else F.col(f"`{n}`") for n in names])
+        missing = [f for f in (schema.fields if schema else []) if f.name not in set(names)]
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
     else:
         df = spark.read.format(fmt).load(path)
     return clean_nan(df)
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv",
                 names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The source tables of a feature build, by name, from one folder."""
     out = {}
     for name in names or schemas.TABLES:
         ext = ".parquet" if fmt == "parquet" else ".csv"
-        path = os.path.join(input_dir, name + ext)
-        if fmt == "csv" and not os.path.exists(path) and os.path.exists(path + ".gz"):
+        path = f"{input_dir.rstrip('/')}/{name}{ext}"
+        if fmt == "csv" and not _there(spark, path) and _there(spark, path + ".gz"):
             path += ".gz"
         out[name] = read_table(spark, path, schemas.TABLES.get(name) if fmt == "csv" else None,
                                fmt)
@@ -60,11 +99,12 @@ def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv",
 
 
 def sample_scan(df: DataFrame, n: int | None, key: str | Sequence[str]) -> DataFrame:
-    """First ``n`` rows in key order (all rows when ``n`` is None)."""
+    """First ``n`` rows in the order of the key and then all other columns (all rows when ``n`` is None)."""
     if n is None:
         return df
     keys = [key] if isinstance(key, str) else list(key)
-    return df.orderBy(*keys).limit(n)
+    keys += [f.name for f in df.schema.fields if f.name not in keys and f.dataType.typeName() not in ("map", "variant")]
+    return df.orderBy(*[F.col(f"`{c}`") for c in keys]).limit(n)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",

@@ -1,11 +1,24 @@
 """Declared schemas of the eight source tables (no type inference at scan time).
 
-Only the columns the feature code names are declared; a scan of a file with
-more columns reads them through ``extra_columns`` or by using Parquet, which
-carries its own schema.
+Only the columns the feature code names are declared.  A file's other columns
+are kept, with a type by their name (``other_type``).
 """
 
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DataType, DoubleType, LongType, StringType, StructField, StructType
+
+# How the source tables name their columns.
+LONG_STARTS = ("SK_ID_", "FLAG_")
+STRING_STARTS = ("NAME_", "CODE_", "WEEKDAY_", "ORGANIZATION_", "OCCUPATION_", "CHANNEL_", "PRODUCT_", "CREDIT_ACTIVE",
+                 "CREDIT_CURRENCY", "CREDIT_TYPE", "STATUS")
+STRINGS = ("FLAG_OWN_CAR", "FLAG_OWN_REALTY", "FLAG_LAST_APPL_PER_CONTRACT", "FONDKAPREMONT_MODE", "HOUSETYPE_MODE", "WALLSMATERIAL_MODE",
+           "EMERGENCYSTATE_MODE")
+
+
+def other_type(name: str) -> DataType:
+    """The type of a column that no schema declares: text, whole number or (any other) double."""
+    if name in STRINGS or name.startswith(STRING_STARTS):
+        return StringType()
+    return LongType() if name == "TARGET" or name.startswith(LONG_STARTS) else DoubleType()
 
 
 def _schema(longs=(), doubles=(), strings=()) -> StructType:

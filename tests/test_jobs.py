@@ -46,7 +46,17 @@ def _write_inputs(spark, folder):
                                       lambda i: {"SK_ID_CURR": i % n, "SK_ID_PREV": i % 90}),
     }
     for name, df in tables.items():
-        df.toPandas().to_csv(os.path.join(folder, name + ".csv"), index=False)
+        pdf = df.toPandas()
+        pdf = pdf[rnd.sample(list(pdf.columns), len(pdf.columns))]      # files come in any column order
+        if name == "application_test":
+            pdf = pdf.drop(columns="TARGET")
+        if name.startswith("application"):
+            pdf["NAME_CONTRACT_TYPE"] = "Cash loans"
+            for k in (3, 5, 6, 8, 14):
+                pdf[f"FLAG_DOCUMENT_{k}"] = [(i + k) % 2 for i in range(len(pdf))]
+            pdf["FLAG_MOBIL"] = 1
+            pdf.loc[0, "OCCUPATION_TYPE"] = f"only here in {name}"       # a category of one fold
+        pdf.to_csv(os.path.join(folder, name + ".csv"), index=False)
 
 
 def test_build_train_submit(spark):
@@ -56,9 +66,12 @@ def test_build_train_submit(spark):
     assert wide.count() == 50
     assert "NEW_CREDIT_TO_ANNUITY_RATIO" in wide.columns and "SK_ID_CURR_CNT_INSTALL" in wide.columns
     assert "PREV APP COUNT" in wide.columns and "SK_ID_BUREAU" in wide.columns
+    assert "NAME_CONTRACT_TYPE_BAVG" in wide.columns
+    row = wide.selectExpr("min(NEW_LIVE_IND_SUM)", "count(NEW_DOC_IND_KURT)").first()
+    assert row[0] > 0 and row[1] == 50
     oof, fold_auc, overall = jobs.train(spark, os.path.join(folder, "features"),
-                                        os.path.join(folder, "out"), k=5, kind="logistic",
-                                        max_iter=5)
+                                        os.path.join(folder, "out"), k=5, max_iter=5)
+    assert spark.read.parquet(os.path.join(folder, "out", "encoder")).where("column = 'STATUS'").count() > 0
     assert oof.count() == 40 and fold_auc.count() == 5
     template = spark.createDataFrame([(1000 + i, 0.5) for i in range(10)], "SK_ID_CURR long, TARGET double")
     sub = jobs.submit(spark, os.path.join(folder, "out"), template, k=5)

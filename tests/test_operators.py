@@ -154,3 +154,21 @@ def test_exact_median_methods_agree(spark):
     exact = dict(group_median(df, "g", "v", "m").collect())
     buf = dict(group_median(df, "g", "v", "m", method="buffer").collect())
     assert exact == buf and exact["a"] == 3.0 and exact["c"] == 1.5 and "e" not in exact
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "double", "bigint", "decimal(10,2)"])
+def test_positions_do_not_depend_on_the_ranges(spark, kind):
+    from cohortforge.operators.rank import ordered_position
+    values = {"string": "concat('Customer#00000', v)", "date": "date_add(date'2000-01-01', cast(v as int))",
+              "timestamp": "timestamp_seconds(v)"}.get(kind, f"cast(v as {kind})")
+    df = spark.range(120).selectExpr("id", "id % 2 AS g", "nullif(id * 37 % 50, 3) AS v").selectExpr("id", "g", f"{values} AS o")
+    a, b, c = (sorted(map(tuple, ordered_position(df, ["g"], ["o", "id"], n_ranges=n).collect()), key=str) for n in (1, 7, 64))
+    assert a == b == c and all(r[-1] is not None for r in a)
+
+
+def test_every_row_gets_a_fold(spark):
+    from cohortforge.operators.folds import stratified_folds
+    df = spark.range(40).selectExpr("nullif(id, 5) AS id", "nullif(id % 3, 2) AS y")
+    for n in (1, 9):
+        rows = stratified_folds(df, "y", "id", 5, n_ranges=n).collect()
+        assert len(rows) == 40 and {r.fold for r in rows} == {0, 1, 2, 3, 4}

@@ -1,11 +1,12 @@
-"""Plan shape: no cartesian or nested-loop joins, one aggregate exchange per history
-table in the wide build, pruned Parquet scans."""
+"""Plan shape: no cartesian or nested-loop joins, one aggregation exchange on the key
+per history table in the wide build, pruned Parquet scans."""
 
 import re
 
 import pytest
 
 import __spark_entry__ as E
+from cohortforge.plans.registry import QUERIES
 from conftest import SF001
 
 
@@ -13,10 +14,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries()
-                                  if n not in ("oof_scores", "oof_auc")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("oof_", "naive_bayes"))])
 def test_no_cartesian_or_nested_loop(spark, name):
-    plan = _plan(E.queries()[name](spark, SF001))
+    plan = _plan(QUERIES[name](spark, SF001))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
 
@@ -28,3 +28,10 @@ def test_wide_plan_prunes_columns(spark):
     assert schemas, plan[:500]
     for s in schemas:
         assert "l_comment" not in s and "props" not in s and "l_partkey" not in s
+
+
+def test_wide_plan_shuffles_a_history_once_by_its_key(spark):
+    plan = _plan(E.queries()["wide_features"](spark, SF001)).split("InMemoryRelation")[0]
+    by_user = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    # card and POS balance: one aggregate each on the customer key
+    assert plan.count("MONTHS_BALANCE") and by_user.count("c_custkey") <= 8

@@ -4,8 +4,11 @@ unique on their key; results repeat across shuffle-partition counts."""
 import pytest
 
 import __spark_entry__ as E
+from cohortforge.plans.registry import QUERIES
 from conftest import SF001
 
+MODELS = ("oof_scores", "oof_auc")
+
 
 def test_entry_runs(spark):
     df = E.entry(spark)
@@ -13,16 +16,33 @@ def test_entry_runs(spark):
     assert df.columns[0] == "c_custkey" and len(df.columns) > 40
 
 
-@pytest.mark.parametrize("name", [n for n in E.queries() if n not in ("oof_scores", "oof_auc")])
+# queries that return one row per row of a table
+ROWS_OF = {"train_test_stack": "orders", "stratified_folds": "orders", "stratified_folds_text": "orders", "hash_folds": "orders",
+           "label_encode": "orders", "ensemble_mean": "orders", "oof_naive_bayes": "orders", "naive_bayes_ensemble": "orders",
+           "standardise": "lineitem", "label_encode_saved": "customer", "prev_mode": "customer", "application_block": "customer"}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in MODELS])
 def test_query_runs(spark, name):
-    df = E.queries()[name](spark, SF001)
-    assert df.count() >= 0
-    assert len(set(df.columns)) == len(df.columns)
+    df = QUERIES[name](spark, SF001)
+    n = df.count()
+    assert n > 0 and len(set(df.columns)) == len(df.columns)
+    if name in ROWS_OF:
+        assert n == spark.read.parquet(f"{SF001}/{ROWS_OF[name]}.parquet").count()
 
 
 def test_every_query_has_oracle_or_is_model():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"oof_scores", "oof_auc"}
+    assert set(QUERIES) - set(E.oracle_sql()) == set(MODELS)
+
+
+@pytest.mark.parametrize("name", ["wide_features", "feature_blocks_chain", "group_median_lookup", "stratified_folds", "prev_mode"])
+def test_building_runs_no_job(spark, name):
+    spark.sparkContext.setJobGroup(f"build-{name}", "")
+    QUERIES[name](spark, SF001)
+    spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s).name for j in tracker.getJobIdsForGroup(f"build-{name}") for s in tracker.getJobInfo(j).stageIds]
+    assert [s for s in stages if not s.startswith(("parquet at", "load at"))] == []      # but for reading the files' schemas
 
 
 def test_blocks_keep_left_rows_and_key_unique(spark):
