@@ -1,0 +1,254 @@
+"""Quality, language, personal data and secrets against brute force and held-out accuracy."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cohortforge.llm import language, pii, quality, secret_scan, tagger
+from cohortforge.llm.language import detect, held_out, train
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+# ---------------------------------------------------------------- quality
+
+def brute_counts(text):
+    text = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    times = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+    covered = [False] * len(w)
+    for i in range(len(w) - 7):
+        if times[tuple(w[i:i + 8])] > 1:
+            covered[i:i + 8] = [True] * 8
+    return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), sum(covered))
+
+
+def test_quality_counts(docs_of, edge_rows):
+    rng = random.Random(2)
+    rows = edge_rows + [(100 + i, "".join(rng.choice("ab \n\t#é|") for _ in range(rng.randrange(400)))) for i in range(150)]
+    rows += [(400, "one\none\n \n one\none\r\none\x0bone"), (401, "\n\n\n"), (402, "a b  c"), (403, "x y z " * 7)]
+    got = quality.quality(docs_of(rows, extra=True)).collect()
+    assert len(got) == len(rows)
+    want = Counter((i, *brute_counts(t)) for i, t in rows)
+    assert Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
+        assert not (r.base_failed and r.kept) and r.kept is not None
+
+
+def test_kneser_ney_is_a_distribution_and_matches_the_formula():
+    rng = np.random.default_rng(1)
+    data = rng.choice(np.frombuffer(b"aabbbcd e", np.uint8), 3000)
+    codes, counts = np.unique(quality.trigram_codes(data, np.array([0, 1000, 1000, 3000])), return_counts=True)
+    model = quality.kneser_ney(codes, counts)
+    c3 = Counter(dict(zip(codes.tolist(), counts.tolist())))
+    for context in {c >> 7 for c in c3} | {(5 << 7) | 97}:
+        p = np.exp(model.score(np.array([(context << 7) | s for s in range(128)], np.uint32)).astype(float))
+        assert abs(p.sum() - 1) < 1e-3
+    # brute force of the three interpolated levels
+    c2 = Counter(c & 16383 for c in c3)
+    c1 = Counter(b & 127 for b in c2)
+    d3, d2, d1 = (quality.discounts(np.array(list(c.values()))) for c in (c3, c2, c1))
+
+    def level(c, d, gram, context, lower):
+        total = sum(n for g, n in c.items() if g >> 7 == context)
+        if not total:
+            return lower
+        freed = sum(d[min(n, 3)] for g, n in c.items() if g >> 7 == context)
+        n = c.get(gram, 0)
+        return (n - d[min(n, 3)]) / total + freed / total * lower
+
+    for code in [*list(c3)[::7], (97 << 14) | (98 << 7) | 120, (1 << 14) | (2 << 7) | 97]:
+        p1 = level(c1, d1, code & 127, 0, 1 / 128)
+        p2 = level(c2, d2, code & 16383, (code >> 7) & 127, p1)
+        p3 = level(c3, d3, code, code >> 7, p2)
+        assert model.score(np.array([code], np.uint32))[0] == pytest.approx(np.log(p3), abs=1e-4)
+
+
+def test_quality_keeps_clean_and_rejects_junk(spark, corpus):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    rows = quality.quality(corpus).join(labels, "doc_id").where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
+    share = dict(rows)
+    assert share[1] >= 0.99 and share.get(0, 0) <= 0.2
+
+
+def test_filter_quality(docs_of, corpus):
+    out = quality.filter_quality(corpus)
+    kept = {r.doc_id for r in quality.quality(corpus).where("kept").collect()}
+    assert out.columns == corpus.columns and sorted(r.doc_id for r in out.collect()) == sorted(kept)
+    assert quality.filter_quality(docs_of([])).count() == 0
+
+
+# ---------------------------------------------------------------- language
+
+def test_language_on_held_out_documents(corpus):
+    found = detect(corpus, train(corpus.where(~held_out()))).join(corpus.select("doc_id", "lang"), "doc_id").where(held_out())
+    right, n = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count("*")).first()
+    assert n > 20 and right >= 0.95
+
+
+def test_viterbi_is_the_best_path():
+    rng = np.random.default_rng(3)
+    lengths = [0, 1, 6, 4, 0, 7]
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    scores = rng.normal(0, 4, (first[-1], 3))
+    state = language.viterbi(scores.astype(np.float32), first, 2.5)
+    import itertools
+    for a, b in zip(first[:-1], first[1:]):
+        if a == b:
+            continue
+
+        def worth(p):
+            return sum(scores[a + i, s] for i, s in enumerate(p)) - 2.5 * sum(x != y for x, y in zip(p, p[1:]))
+        best = max(itertools.product(range(3), repeat=int(b - a)), key=worth)
+        assert worth(tuple(state[a:b])) == pytest.approx(worth(best), abs=1e-4)
+
+
+def test_language_spans_scripts_and_odd_texts(spark, docs_of, edge_rows):
+    texts = {"en": "the cat and the house of this with that which there is", "ru": "это кошка и дом который был здесь тогда всегда",
+             "el": "αυτό είναι το σπίτι και η γάτα που ήταν εδώ"}
+    learn = docs_of([(i, t, lang) for lang, t in texts.items() for i in range(3)] + [(50, None, "en"), (51, "no language", None)])
+    model = train(learn)
+    assert model.languages == ["el", "en", "ru"]
+    mixed = "the cat and the house это кошка и дом"
+    rows = edge_rows + [(20, mixed), (21, "1234 !?"), (22, "— … €"), (23, "кошка"), (24, "σπίτι")]
+    got = {}
+    for r in detect(docs_of(rows, extra=True), model).collect():
+        got[r.doc_id] = r
+    assert [(s.lang, mixed[s.start:s.end]) for s in got[20].spans] == [("en", "the cat and the house"), ("ru", "это кошка и дом")]
+    assert got[23].lang_pred == "ru" and got[24].lang_pred == "el"
+    for i in (1, 2, 3, 21, 22):
+        assert (got[i].lang_pred, got[i].score, got[i].spans) == ("und", 0.0, [])
+    assert all(0 <= r.score <= 1 for r in got.values()) and got[6].lang_pred in model.languages
+    assert detect(docs_of([(1, "abc")]), train(docs_of([]))).first().lang_pred == "und"
+    assert detect(docs_of([]), model).count() == 0
+
+
+# ---------------------------------------------------------------- personal data
+
+def brute_spans(text):
+    out = []
+    for k, p in enumerate([r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                           r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]):
+        for m in re.finditer(p, text):
+            digits = re.sub(r"[^0-9]", "", m[0])
+            if (k == 1 and not all(int(x) <= 255 for x in m[0].split(".")) or k == 2 and not (14 <= len(digits) <= 19 and pii.luhn(digits))
+                    or k == 3 and not 10 <= len(digits) <= 15):
+                continue
+            out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_patterns_match_plain_regular_expressions():
+    rng = random.Random(4)
+    for _ in range(5000):
+        text = "".join(rng.choice("a1@.+-() 90é") for _ in range(40))
+        assert pii.patterns(text) == brute_spans(text)
+
+
+def test_gradients():
+    model = tagger.Tagger.new(3, embed=3, hidden=2)
+    model.w = {k: v.astype(np.float64) for k, v in model.w.items()}
+    rng = np.random.default_rng(0)
+    codes, tags = rng.integers(0, 20, (5, 4)), rng.integers(0, 3, (5, 4))
+    _, grad = model.loss(codes, tags)
+    for k, w in model.w.items():
+        i = tuple(rng.integers(0, n) for n in w.shape)
+        kept = w[i]
+        w[i] = kept + 1e-3
+        up = model.loss(codes, tags)[0]
+        w[i] = kept - 1e-3
+        down = model.loss(codes, tags)[0]
+        w[i] = kept
+        assert (up - down) / 2e-3 == pytest.approx(grad[k][i], abs=1e-4)
+
+
+def test_reconcile_and_windows():
+    assert pii.reconcile([(3.0, (0, 0, 5)), (4.0, (4, 1, 9)), (2.0, (5, 2, 9)), (4.0, (4, 1, 9))]) == [(0, 0, 5), (5, 2, 9)]
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choice("a" * 30 + "1@") for _ in range(rng.randrange(600)))
+        base = sorted((s, 0, s + 9) for s in rng.sample(range(len(text) + 1), min(3, len(text))))
+        starts = pii.window_starts(text, base)
+        for m in re.finditer("[0-9@]", text):
+            p = m.start()
+            if not any(s <= p < e for s, _, e in base):
+                # some window holds the place and half a window before and after it, as far as the text goes
+                assert any(s <= max(0, p - pii.STRIDE // 2) and min(len(text), p + pii.STRIDE // 2) <= s + pii.WINDOW for s in starts) or \
+                    any(s <= p < s + pii.WINDOW for s in starts)
+
+
+def test_personal_data(spark, corpus, docs_of, edge_rows):
+    model = pii.train(corpus)
+    rows = edge_rows + [(30, "mail a.b@c-d.example.org, ip 10.0.0.255 and 10.0.0.256, call +1 (017) 555-7713 é card 4111 1111 1111 1111"),
+                        (31, "é" * 10 + " 4111.1111.1111.1111 ok"), (32, "1" * 5000 + "." + "2" * 5000)]
+    got = {}
+    for r in pii.personal_data(docs_of(rows, extra=True), model).collect():
+        got[r.doc_id] = r
+    for i, text in rows:
+        base = brute_spans(text or "")
+        r = got[i]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for _, k, _ in base) for x in range(4)]
+        assert r.base_sha256 == hashlib.sha256(pii.listed(base).encode()).hexdigest()
+        assert set(filter(None, pii.listed(base).split(","))) <= set(filter(None, r.spans.split(",")))
+    # what the tagger adds: spellings that the patterns miss, held out from training
+    rng = np.random.default_rng(99)
+    samples = [pii.generated(rng, ["the words of some prose here and there"]) for _ in range(300)]
+    new = [(t, s[0]) for t, s in samples if s and s[0] not in pii.patterns(t) and not any(a < s[0][2] and s[0][0] < b for a, _, b in pii.patterns(t))]
+    hits = sum(s in added for (t, s), (_, added) in zip(new, pii.find([t for t, _ in new], model)))
+    assert len(new) > 40 and hits / len(new) > 0.3
+    assert pii.personal_data(docs_of([]), model).count() == 0
+    clean = pii.personal_data(corpus, model).agg(F.sum("n_added")).first()[0]
+    assert clean <= 2
+
+
+# ---------------------------------------------------------------- secrets
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return secret_scan.train(spark)
+
+
+def test_votes_are_the_forest(spark, forest):
+    found = secret_scan.labelled_findings(spark, 600)
+    values = secret_scan.features(F.col("candidate"), F.col("before"), F.col("after"))
+    table = found.select(F.array(*values).alias("f"), "label")
+    from pyspark.ml.functions import array_to_vector
+    scored = forest.transform(table.select("*", array_to_vector("f").alias("features"))).select("prediction", "label", secret_scan.votes(forest, F.col("f")).alias("v"))
+    rows = scored.collect()
+    assert np.mean([(r.v >= secret_scan.SURE) == (r.label == 1) for r in rows]) > 0.97
+    assert np.mean([(r.v >= 0.5) == (r.prediction == 1) for r in rows]) > 0.97
+
+
+def test_secrets_of_the_corpus(corpus, forest):
+    texts = {r.doc_id: r.text for r in corpus.collect()}
+    for r in secret_scan.findings(corpus, forest).collect():
+        truth = [(m.start(1), m.end(1)) for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', texts[r.doc_id])]
+        assert [(s.start, s.end) for s in r.secrets] == truth
+
+
+def test_redaction_of_odd_texts(spark, docs_of, edge_rows, forest):
+    key = "0123456789abcdef0123456789abcdef01234567"
+    rows = edge_rows + [(40, f'a\u0001b\u0002( x token = "{key}" \u0002) é'), (41, f"commit {key} done"), (42, "plain words only"),
+                        (43, f'secret="{key}" ' * 50), (44, "password: " + "00000000000000000000000000000000")]
+    docs = docs_of(rows, extra=True)
+    out = secret_scan.redact(docs, forest)
+    assert out.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    want = Counter((i, t if t is None else re.sub(rf'((?:token = |secret=)"){key}"', r'\1[SECRET]"', t)) for i, t in rows)
+    assert got == want
+    for r in secret_scan.findings(docs, forest).collect():
+        if r.doc_id == 43:
+            assert len(r.secrets) == 50 and r.secrets[-1].end - r.secrets[-1].start == 40
+    assert secret_scan.redact(docs_of([]), forest).count() == 0
