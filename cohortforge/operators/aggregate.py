@@ -165,8 +165,9 @@ def group_median(df: DataFrame, key: str, value: str, out: str, method: str = "e
     if method == "sketch":
         return rows.groupBy(key).agg(
             F.percentile_approx(value, 0.5, accuracy).cast("double").alias(out))
+    from cohortforge.operators.join import shared
     from cohortforge.operators.rank import running_totals
-    counts = rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("__c"))
+    counts = shared(rows.groupBy(key, value).agg(F.count(F.lit(1)).alias("__c")))
     cum = running_totals(counts, [key], [value], ["__c"])
     sizes = counts.groupBy(key).agg(F.sum("__c").alias("__n"))
     j = cum.join(sizes, key)
@@ -177,7 +178,7 @@ def group_median(df: DataFrame, key: str, value: str, out: str, method: str = "e
     v = F.col(value).cast("double")
     picked = j.groupBy(key).agg(F.max(F.when((start <= lo) & (lo < end), v)).alias("__lo"),
                                 F.max(F.when((start <= hi) & (hi < end), v)).alias("__hi"))
-    return picked.select(key, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * 0.5).alias(out))
+    return shared(picked.select(key, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * 0.5).alias(out)))
 
 
 def value_counts(df: DataFrame, key: str, out: str) -> DataFrame:

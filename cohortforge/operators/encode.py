@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.functions.semantics import as_text
-from cohortforge.operators.join import shared
+from cohortforge.operators.join import checked_broadcast, shared
 from cohortforge.operators.rank import ordered_position
+from cohortforge.session import checkpoint_dir
 
 NULL_TOKEN = "NULL"   # missing category token of the plain label encoder
 NAN_TOKEN = "nan"     # missing category token after a cast to text
@@ -32,20 +33,30 @@ def category_value(c: str, missing: str = NULL_TOKEN, as_string: bool = False) -
 
 
 def code_table(df: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
-               as_string: bool = False) -> DataFrame:
-    """``(column, value, code)``: 0-based sorted code of every distinct value."""
+               as_string: bool = False, cut: bool = False) -> DataFrame:
+    """``(column, value, code)``: 0-based sorted code of every distinct value.
+
+    ``cut`` writes the distinct values to the checkpoint folder now, for a
+    ``df`` whose plan is long: the ranges read them several times.
+    """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                category_value(c, missing, as_string).cast("string").alias("value"))
                       for c in cols])
     distinct = df.select(F.inline(pairs)).distinct()
+    distinct = _cut(distinct) if cut else shared(distinct)
     return ordered_position(distinct, ["column"], ["value"], "code").withColumn("code", F.col("code").cast("int"))
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
                 as_string: bool = False,
-                suffix: str = "") -> DataFrame:
+                suffix: str = "", check_size: bool = False) -> DataFrame:
     """Replace each column by its code (or add ``col+suffix`` when ``suffix``)."""
-    small = shared(table)
+    small = checked_broadcast(table) if check_size else shared(table)
     out = df
     for c in cols:
         t = (small.filter(F.col("column") == c)
@@ -60,7 +71,7 @@ def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: s
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] | None = None, missing: str = NULL_TOKEN,
-                 as_string: bool = False):
+                 as_string: bool = False, check_size: bool = False):
     """Sorted label encoding of ``cols`` (default: all string columns).
 
     Returns ``(encoded_df, cols, code_table)``.
@@ -70,8 +81,8 @@ def label_encode(df: DataFrame, cols: Sequence[str] | None = None, missing: str
     cols = list(cols)
     if not cols:
         return df, cols, None
-    table = code_table(df, cols, missing, as_string)
-    return apply_codes(df, table, cols, missing, as_string), cols, table
+    table = code_table(df, cols, missing, as_string, cut=check_size)
+    return apply_codes(df, table, cols, missing, as_string, check_size=check_size), cols, table
 
 
 def two_valued_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
@@ -100,11 +111,12 @@ def encode_string_or_two_valued(df: DataFrame):
     strings = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
     two = set(two_valued_columns(df, [c for c in df.columns if c not in strings]))
     cols = [c for c in df.columns if c in strings or c in two]
-    out, cols, table = label_encode(df, cols, NAN_TOKEN, True)
+    out, cols, table = label_encode(df, cols, NAN_TOKEN, True, check_size=True)
     return out, cols, table
 
 
-def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str],
+              check_size: bool = False) -> DataFrame:
     """Code by first appearance in ``order_cols`` order; missing -> -1.
 
     The first appearance of a value is ``min(struct(order_cols))`` over its
@@ -116,7 +128,9 @@ def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str]) ->
                    .groupBy(F.col(c).alias("__v"))
                    .agg(F.min(F.struct(*[F.col(o) for o in order_cols])).alias("__first")))
         first = first.withColumn("__o", F.col("__first")[order_cols[0]])
+        first = _cut(first) if check_size else shared(first)
         codes = ordered_position(first, [], ["__o", "__first", "__v"], "__code").select("__v", F.col("__code").cast("int"))
+        codes = checked_broadcast(codes) if check_size else shared(codes)
         out = (out.join(codes, F.col(c) == F.col("__v"), "left")
                   .withColumn(c, F.coalesce(F.col("__code"), F.lit(-1)))
                   .drop("__v", "__code"))

@@ -52,6 +52,19 @@ def shared(df: DataFrame) -> DataFrame:
     return _kept[-1]
 
 
+BROADCAST_ROWS = 100_000        # of a value and its code: a few MB
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``shared(df)``, counted now: with a broadcast hint up to ``max_rows``, without one beyond.
+
+    For callers that run jobs anyway and join many such tables in a row, where
+    the adaptive planner would plan anew after every one of them.
+    """
+    kept = shared(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
+
+
 def release() -> None:
     """Free every table that ``shared`` keeps."""
     while _kept:

@@ -179,7 +179,7 @@ def application_train_test(train: DataFrame, test: DataFrame, cfg=None, key: str
     df = application_features(df, cfg)
     # first appearance: train rows before test rows, then key order
     df = df.withColumn("__order", F.when(F.col("is_train"), 0).otherwise(1))
-    df = factorize(df, [b for b in binary if b in df.columns], ["__order", key]).drop("__order")
+    df = factorize(df, [b for b in binary if b in df.columns], ["__order", key], check_size=True).drop("__order")
     df = df.drop(*[c for c in drop if c in df.columns])
     return encode_application(df, key)
 
@@ -192,5 +192,5 @@ def encode_application(df: DataFrame, key: str):
     feats = [c for c in df.columns if c not in (key, "TARGET", "is_train")]
     two = set(two_valued_columns(df, [c for c in feats if c not in strings]))
     cats = [c for c in feats if c in strings or c in two]
-    enc, _, _ = label_encode(df, cats, "nan", True)
+    enc, _, _ = label_encode(df, cats, "nan", True, check_size=True)
     return enc, cats
