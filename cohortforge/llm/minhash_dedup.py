@@ -8,15 +8,21 @@ one class; all later work is on classes.
 2. The samples are folded into an odd sketch: every (position, sample) flips
    one of 1024 bits.  The population count of the XOR of two sketches gives
    the number of differing samples, precisely so for high similarities; pairs
-   far below the threshold (over 5 standard deviations) are dropped.
+   far below the threshold (over 5 standard deviations) are dropped.  A second
+   bitmap of the whole set bounds the number of differing shingles from below,
+   which rules out nearly all others of short texts, for certain.
 3. The rest is confirmed on the full shingle sets, and only that decides.
 
 No bucket's pairs are enumerated.  First every member is compared with one
 member of each of its buckets (another one in each band), at most 28 pairs per
 class whatever the bucket's size.  Their confirmed links give components.
-Then, bucket by bucket, whatever is not in the bucket's largest component is
-compared with all members of other components: this covers every candidate
-pair that could still join two components, so no connection is lost.
+What is left are buckets that still hold several components.  In one of up to
+32 members, whatever is outside the largest component is compared with all
+others.  The members of larger ones are joined by their rarest shingles: two
+linked sets share one among the rarest 15 % of each, early enough to leave room
+for the overlap that a link needs.  This is exact, and members with shingles of
+their own meet nobody.  Both ways cover every candidate pair that could still
+join two components, so no connection is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import LOWER, frozen, mix, steps, text_hash, utf8, windows, without, words
@@ -37,6 +43,7 @@ SAMPLES = BANDS * ROWS
 BITS = 1024
 MARGIN = 0.15           # 5.4 standard deviations of the estimate at 0.85
 NO_ID = 2**63 - 1       # a null id: after all others
+SMALL = 32              # members of a bucket that are compared one by one
 BROADCAST_IDS = 2_000_000   # at most 32 MB
 
 _rng = np.random.default_rng(168)
@@ -74,13 +81,17 @@ def band_keys(sample: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def odd_sketch(sample: np.ndarray) -> np.ndarray:
-    """The parity bitmap of the samples, as 64-bit words."""
-    at = mix(sample.astype(np.uint64) ^ _SLOT) % np.uint64(BITS)
-    odd = (np.bincount(at.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """The parity bitmap of some hashes, as 64-bit words."""
+    odd = (np.bincount((hashes % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def odd_sketch(sample: np.ndarray) -> np.ndarray:
+    """The parity bitmap of the samples with their positions."""
+    return parity(mix(sample.astype(np.uint64) ^ _SLOT))
+
+
 def identity(shingles: np.ndarray) -> tuple[int, int]:
     """Two order-free 64-bit hashes of a set."""
     one = mix(shingles)
@@ -98,7 +109,9 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
 
 
 def signatures(rows: DataFrame) -> DataFrame:
-    """(``_id``, ``_hash``, ``n``, ``s1``, ``s2``, ``bands``, ``sketch``) of rows (``_id``, ``_text``, ``_hash``).
+    """(``_id``, ``_hash``, ``n``, ``s1``, ``s2``, ``bands``, ``sketch``, ``whole``) of rows (``_id``, ``_text``, ``_hash``).
+
+    ``sketch``: of the samples; ``whole``: of all shingles.
 
     Sets of fewer than six shingles can't be 0.85-similar to a different set: no bands.
     """
@@ -108,19 +121,20 @@ def signatures(rows: DataFrame) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in steps(offsets):
-                n, ids, keys, sketches = [], [], [], []
+                n, ids, keys, sketches, wholes = [], [], [], [], []
                 for s in shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]):
                     n.append(len(s))
                     ids.append(identity(s))
                     sample = minhash(s) if len(s) >= 6 else None
                     keys.append(none if sample is None else band_keys(sample))
                     sketches.append(none if sample is None else odd_sketch(sample))
+                    wholes.append(none if sample is None else parity(mix(s)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n, pa.int64()), pa.array([x[0] for x in ids], pa.int64()),
-                     pa.array([x[1] for x in ids], pa.int64()), _lists(keys), _lists(sketches)],
-                    names=["_id", "_hash", "n", "s1", "s2", "bands", "sketch"])
+                     pa.array([x[1] for x in ids], pa.int64()), _lists(keys), _lists(sketches), _lists(wholes)],
+                    names=["_id", "_hash", "n", "s1", "s2", "bands", "sketch", "whole"])
 
-    return rows.mapInArrow(sign, "_id long, _hash long, n long, s1 long, s2 long, bands array<long>, sketch array<long>")
+    return rows.mapInArrow(sign, "_id long, _hash long, n long, s1 long, s2 long, bands array<long>, sketch array<long>, whole array<long>")
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
@@ -139,35 +153,73 @@ def full_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(expand, "s1 long, s2 long, n long, members array<long>")
 
 
+def differing(x: Column, y: Column) -> Column:
+    """The population count of the XOR of two sketches."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d)
+
+
 def estimate(x: Column, y: Column) -> Column:
     """The similarity of two sets from their odd sketches."""
-    differ = F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, d: t + d)
-    return 1 + (BITS / (4 * SAMPLES)) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * differ / BITS))
+    return 1 + (BITS / (4 * SAMPLES)) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * differing(x, y) / BITS))
+
+
+def _few_differ(percent: int) -> Column:
+    """Whether x and y may differ in as few shingles as a link allows.
+
+    Exact: no bit differs without a shingle that does.
+    """
+    return differing(F.col("x.whole"), F.col("y.whole")) * (100 + percent) <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
 
 
 def _likely(percent: int) -> Column:
-    """Whether classes x and y may be similar enough: by their sizes (exact), then by their sketches."""
-    return ((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+    """Whether classes x and y may be similar enough: by their sizes and whole sketches (exact), then by their samples'."""
+    return ((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & _few_differ(percent)
             & (estimate(F.col("x.sketch"), F.col("y.sketch")) >= percent / 100 - MARGIN))
 
 
+def sets_of(some: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(``class``, ``members``): the full sets of the classes in ``some`` (``class``, distinct)."""
+    wanted = frozen(classes.select("class", "label", "s1", "s2", "n").join(some, "class"))
+    ids = wanted.select(F.col("label").alias("_id")).distinct()
+    if wanted.count() <= BROADCAST_IDS:     # 16 bytes each; beyond that, a shuffled join
+        ids = F.broadcast(ids)
+    return frozen(full_sets(rows.join(ids, "_id", "left_semi")).join(wanted.select("class", "s1", "s2", "n"), ["s1", "s2", "n"])
+                  .groupBy("class").agg(F.first("members").alias("members")))
+
+
 def confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of classes whose full sets are similar enough."""
     pairs = frozen(pairs)
     ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    wanted = frozen(classes.select("class", "label", "s1", "s2", "n").join(ends, "class"))
-    ids = wanted.select(F.col("label").alias("_id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:     # 16 bytes each; beyond that, a shuffled join
-        ids = F.broadcast(ids)
-    sets = (full_sets(rows.join(ids, "_id", "left_semi")).join(wanted.select("class", "s1", "s2", "n"), ["s1", "s2", "n"])
-            .groupBy("class").agg(F.first("members").alias("members")))
-    sets = frozen(sets)
+    sets = sets_of(ends, classes, rows)
     both = (pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("_x")), "a")
             .join(sets.select(F.col("class").alias("b"), F.col("members").alias("_y")), "b"))
     common = F.size(F.array_intersect("_x", "_y"))
     return both.where(100 * common >= percent * (F.size("_x") + F.size("_y") - common)).select("a", "b")
 
 
+def rare_prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (``a``, ``b``) of different roots that may be similar enough; ``sets``: ``class``, ``root``, ``members``, ``whole``.
+
+    In the order of frequency, rarest first, two sets that are similar enough
+    share a shingle within the first n - ceil(percent * n / 100) + 1 of each,
+    and what follows their first common one leaves room for the overlap needed.
+    """
+    shingles = sets.select("class", "root", F.size("members").alias("n"), F.explode("members").alias("t"))
+    often = shingles.groupBy("t").agg(F.count(F.lit(1)).alias("f"))
+    place = F.row_number().over(Window.partitionBy("class").orderBy("f", "t"))
+    prefix = frozen(shingles.join(often, "t").withColumn("i", place)
+                    .where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("f") > 1)).drop("f"))
+    mixed = prefix.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t")
+    prefix = prefix.join(mixed, "t").join(sets.select("class", "whole"), "class")
+    room = 1 + F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
+    return (prefix.alias("x").join(prefix.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.class") < F.col("y.class"))
+                                   & (F.col("x.root") != F.col("y.root"))
+                                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                                   & (room * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))) & _few_differ(percent))
+            .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """One row per input row: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -188,15 +240,21 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     rows = _identified(docs, id_col, text_col)
     signed = frozen(signatures(rows))
     classes = frozen(signed.where("n > 0").groupBy("s1", "s2", "n").agg(
-        F.min("_id").alias("label"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        F.min("_id").alias("label"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.first("whole").alias("whole"))
         .withColumn("class", F.monotonically_increasing_id()))
-    of_class = classes.select("class", "n", "sketch")
+    of_class = classes.select("class", "n", "sketch", "whole")
 
     def matched(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(of_class.select(F.struct("class", "n", "sketch").alias("x")), F.col("a") == F.col("x.class"))
-                .join(of_class.select(F.struct("class", "n", "sketch").alias("y")), F.col("b") == F.col("y.class"))
+        return (pairs.join(of_class.select(F.struct("class", "n", "sketch", "whole").alias("x")), F.col("a") == F.col("x.class"))
+                .join(of_class.select(F.struct("class", "n", "sketch", "whole").alias("y")), F.col("b") == F.col("y.class"))
                 .where(_likely(percent)).select("a", "b"))
 
+    def joined_with(links: DataFrame, roots: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return roots
+        return components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))     # stars already
+
     entries = classes.select("class", F.explode("bands").alias("key"))
     # one member per bucket, another one in each band: the smallest class number XOR key
     buckets = (entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.col("class").bitwiseXOR(F.col("key"))).alias("p"))
@@ -209,18 +267,23 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     roots = components(links)
 
     # buckets of three or more that still hold several components
-    member = (shared.where("m > 2").select("key", "class")
+    member = (shared.where("m > 2").select("key", "m", "class")
               .join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
               .withColumn("root", F.coalesce("root", "class")))
     sizes = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     open_buckets = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("c", "root")).alias("largest")).where("k > 1")
-    member = frozen(member.join(open_buckets.select("key", "largest"), "key").join(of_class, "class"))
-    x = member.where("root != largest").alias("x")
-    rest = (x.join(member.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _likely(percent))
-            .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    more = confirm(rest, classes, rows, percent)
-    joined = components(links.unionByName(more))
+    member = frozen(member.join(open_buckets.select("key", "largest"), "key"))
+    small = member.where(F.col("m") <= SMALL).join(of_class, "class")
+    x = small.where("root != largest").alias("x")
+    near = (x.join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _likely(percent))
+            .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")))
+    large = member.where(F.col("m") > SMALL)
+    if not large.isEmpty():
+        large = frozen(large.select("class", "root").distinct())
+        sets = sets_of(large.select("class"), classes, rows).join(large, "class").join(of_class.select("class", "whole"), "class")
+        near = near.unionByName(rare_prefix_pairs(sets, percent))
+    rest = near.distinct().join(tried, ["a", "b"], "left_anti")
+    joined = joined_with(frozen(confirm(rest, classes, rows, percent)), roots)
 
     labels = (classes.select("class", "s1", "s2", "n", "label")
               .join(joined.select(F.col("node").alias("class"), "root"), "class", "left")
