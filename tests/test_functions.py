@@ -4,7 +4,6 @@ import math
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from cohortforge.functions import (
     as_text, clip_positive, nan_to_null, psum, ratio, replace_inf, row_kurtosis, row_mean,

@@ -4,7 +4,6 @@ import os
 import random
 import tempfile
 
-from pyspark.sql import functions as F
 
 from cohortforge.plans import jobs
 from cohortforge.sources import schemas
