@@ -6,18 +6,48 @@ the next one) has the same ids by itself as in its text.  Chunks repeat, so
 their ids are kept; only new ones go to the tokenizer.  Texts with other
 white space next to a space, or a zero character, are encoded whole, as are
 all texts if the tokenizer is of another kind.
+
+The vocabulary is the JSON file of the ``tokenizers`` library.  If its merges
+are in the order of their ids, as byte-level vocabularies have them, the same
+ids come faster from ``tiktoken`` with that file's tokens as ranks; the tests
+hold both against each other.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from array import array
 
 import numpy as np
 
+# fixed: the pattern of byte-level pre-tokenizers
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 CACHE = 600_000         # chunks kept in a worker, about 130 MB; then the cache starts anew
 
 
+def _bytes_of_letters() -> dict[str, int]:
+    """The byte that each letter of a byte-level vocabulary stands for: printable ones themselves, others from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def ranks(parts: dict) -> dict[bytes, int] | None:
+    """The tokens of a byte-level BPE file by their bytes, if ids grow in the order of the merges."""
+    model, letters = parts["model"], _bytes_of_letters()
+    special = {t["content"] for t in parts.get("added_tokens", [])}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+    merged = [vocabulary.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in model["merges"]]
+    if None in merged or merged != sorted(merged) or len(vocabulary) != 256 + len(set(merged)):
+        return None
+    try:
+        return {bytes(letters[c] for c in t): i for t, i in vocabulary.items()}
+    except KeyError:
+        return None
+
+
 class Encoder:
     """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes."""
 
@@ -33,8 +63,16 @@ class Encoder:
         self.chunked = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.cache: dict[str, bytes | bool] = {}            # False: can't stand by itself
+        self.fast = None
+        found = ranks(parts) if self.chunked else None
+        if found:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=found, special_tokens={}).encode_ordinary
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if self.fast:
+            return [array("I", self.fast(t)).tobytes() for t in texts]
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> None:
