@@ -69,7 +69,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
         types = bound_schema(names, schema)
         longs = {f.name for f in types if f.dataType.typeName() == "long"}
         text = StructType([StructField(f.name, StringType()) if f.name in longs else f for f in types])
-        df = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).schema(text).csv(path)
+        df = (spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).option("nanValue", "nan")
+              .schema(text).csv(path))
         df = df.select(*[whole_number(F.col(f"`{n}`")).alias(n) if n in longs else F.col(f"`{n}`") for n in names])
         missing = [f for f in (schema.fields if schema else []) if f.name not in set(names)]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
