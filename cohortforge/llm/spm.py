@@ -5,11 +5,11 @@ Forward Viterbi gives the best score from the start to every place; searching
 backward from the end, these scores are exact heuristics, so A-star pops the
 segmentations in order of their total score.
 
-No piece but runs of spaces crosses a space, and such runs score below any
-alternative.  The lattice therefore falls apart at spaces: each chunk (a space
+No piece goes on from another character into a space; some are runs of spaces.
+The lattice therefore falls apart before each run of spaces: each chunk (a run
 and what follows up to the next one) is searched by itself, equal chunks once,
 all chunks of one length side by side; the N best of a text are combined from
-its chunks' N best.
+its chunks' N best.  A text is one chunk if a vocabulary has other pieces.
 """
 
 from __future__ import annotations
@@ -35,7 +35,9 @@ _U64 = np.uint64
 _MUL = 0xD1342543DE82EF95
 _POWER = np.array([pow(_MUL, k, 2**64) for k in range(SIDE_BY_SIDE + 1)], dtype=_U64)
 _BACK = np.array([pow(pow(_MUL, -1, 2**64), k, 2**64) for k in range(SIDE_BY_SIDE + 1)], dtype=_U64)
-_CHUNK = re.compile(r" [^ ]*")
+_CHUNK = re.compile(r" +[^ ]*")
+_SPACE = re.compile(r" [^ ]*")
+_CROSSES = re.compile(r"[^ ] ")
 
 
 def _codes(text: str) -> np.ndarray:
@@ -43,14 +45,19 @@ def _codes(text: str) -> np.ndarray:
 
 
 class Pieces:
-    """A vocabulary: pieces with scores, bytes for characters that no piece holds."""
+    """A vocabulary: pieces with scores, bytes for characters that no piece holds.
 
-    def __init__(self, path: str, n_best: int = N_BEST):
+    ``runs``: with the pieces that hold a space after their first character.
+    Without them, each space begins a chunk.
+    """
+
+    def __init__(self, path: str, n_best: int = N_BEST, runs: bool = False):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.n_best = n_best
+        self.runs = runs
         self.text: list[bytes] = [b""] * n          # what an id decodes to
         self.byte_id = [sp.unk_id()] * 256
         self.scores: dict[str, tuple[float, int]] = {}
@@ -62,7 +69,7 @@ class Pieces:
                 self.byte_id[b], self.text[i] = i, bytes([b])
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 self.text[i] = piece.replace("▁", " ").encode()
-                if "▁" not in piece[1:]:       # no run of spaces
+                if runs or "▁" not in piece[1:]:
                     self.scores[piece.replace("▁", " ")] = (sp.get_score(i), i)
                     lowest = min(lowest, sp.get_score(i))
         self.byte_score = lowest - 10.0             # of each byte that stands for itself
@@ -75,6 +82,7 @@ class Pieces:
         self.key_id = np.array([values[i][1] for i in order], np.int32)
         self.size = {i: len(p) for p, (_, i) in self.scores.items()}
         self.line_alone = not any("\n" in p and len(p) > 1 for p in self.scores)     # no piece crosses a line break
+        self.apart = not any(map(_CROSSES.search, self.scores))
         self.clear()
 
     # -- one chunk
@@ -277,10 +285,14 @@ class Pieces:
         for t in texts:
             if not t:
                 split.append([])
+            elif not self.apart:
+                split.append([" " + t])
             elif "\0" in t:
-                split.append(_CHUNK.findall(" " + t))
+                split.append((_CHUNK if self.runs else _SPACE).findall(" " + t))
             else:
                 t = (" " + t).replace(" ", "\0 ")
+                if self.runs:
+                    t = t.replace(" \0", " ")
                 if self.line_alone:
                     t = t.replace("\n", "\0\n\0").replace("\0\0", "\0")
                 split.append(t.rstrip("\0").split("\0")[1:])
@@ -303,7 +315,7 @@ _pieces: dict[tuple[str, int], Pieces] = {}
 
 def pieces(path: str, n_best: int = N_BEST) -> Pieces:
     if (path, n_best) not in _pieces:
-        _pieces[path, n_best] = Pieces(path, n_best)
+        _pieces[path, n_best] = Pieces(path, n_best, runs=True)
     return _pieces[path, n_best]
 
 

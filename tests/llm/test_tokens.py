@@ -166,6 +166,41 @@ def test_encode_round_trips(docs_of, rows):
     assert encode(docs_of([]), SPM).count() == 0
 
 
+def test_runs_of_spaces_against_all_segmentations_of_the_file(docs_of):
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=SPM)
+    normal = [i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+    score = {sp.id_to_piece(i).replace("▁", " "): (sp.get_score(i), i) for i in normal}
+    own = min(s for s, _ in score.values()) - 10.0
+
+    def best(text):
+        """The three best over the whole text, by dynamic programming over all pieces of the file."""
+        ways = [[(0.0, ())]]
+        for j in range(1, len(text) + 1):
+            found = []
+            for i in range(j):
+                known = score.get(text[i:j])
+                if known:
+                    found += [(s + known[0], ids + (known[1],)) for s, ids in ways[i]]
+                elif i == j - 1:
+                    raw = text[i].encode()
+                    found += [(s + own * len(raw), ids + tuple(sp.piece_to_id(f"<0x{b:02X}>") for b in raw)) for s, ids in ways[i]]
+            ways.append(sorted(found, reverse=True)[:3])
+        return ways[-1]
+
+    texts = ["a b", "a  b", "a   b", "a" + " " * 8 + "b c", " " * 8 + "return x", "a   ", "   ", " x ", "a  \n    b\n", "a\0   b", " " * 37 + "end", "no run here",
+             "x" + " " * 60 + "y", "word      é!  漢"]
+    rows = {r.doc_id: r.n_best for r in encode(docs_of(list(enumerate(texts))), SPM).collect()}
+    for i, t in enumerate(texts):
+        want = best(" " + t)
+        assert [x.score for x in rows[i]] == [s for s, _ in want], t
+        got = [tuple(np.frombuffer(bytes(x.ids), "<u4").tolist()) for x in rows[i]]
+        assert len(set(got)) == len(got), t
+        assert all(sum(score[p][0] if (p := sp.id_to_piece(k).replace("▁", " ")) in score else own for k in ids) == x.score for ids, x in zip(got, rows[i])), t
+        if [s for s, _ in want].count(want[0][0]) == 1:
+            assert got[0] == want[0][1], t
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_shards(docs_of, rows, hot):
     rng = random.Random(9)
