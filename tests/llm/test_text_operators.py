@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortforge.llm import language, pii, quality, secret_scan, tagger
@@ -90,6 +91,20 @@ def test_filter_quality(docs_of, corpus):
     assert quality.filter_quality(docs_of([])).count() == 0
 
 
+def test_quality_rejects_text_of_another_language(spark):
+    docs = spark.read.parquet(SF.replace("sf0.001", "sf0.01") + "/documents.parquet")
+    clean = quality.quality(docs).where("kept").select("doc_id").join(docs, "doc_id").where("n_chars > 300")
+    swapped = clean.where("doc_id % 10 = 0").withColumn("doc_id", -F.col("doc_id") - 1).withColumn(
+        "lang", F.expr("CASE lang WHEN 'en' THEN 'de' WHEN 'de' THEN 'fr' WHEN 'fr' THEN 'es' ELSE 'en' END"))
+    # three for each label: a model learns from texts with a wrong label, too, and follows them once they are many
+    few = Window.partitionBy("lang").orderBy("doc_id")
+    swapped = swapped.withColumn("r", F.row_number().over(few)).where("r <= 3").drop("r")
+    got = {r.doc_id: r for r in quality.quality(docs.unionByName(swapped)).collect()}
+    wrong = [r.doc_id for r in swapped.collect()]
+    assert len(wrong) == 12 and not any(got[i].kept for i in wrong)
+    assert sum(r.kept for i, r in got.items() if i >= 0) >= 0.97 * clean.count()
+
+
 # ---------------------------------------------------------------- language
 
 def test_language_on_held_out_documents(corpus):
