@@ -3,8 +3,9 @@
 A text is the set of its distinct 5-word shingles.  Rows with the same set form
 one class; all later work is on classes.
 
-1. Each set gets 168 MinHash samples.  28 bands of 6 samples give candidate
-   buckets; a pair at the threshold of 0.85 shares none with probability 2e-6.
+1. Each set gets 168 MinHash samples.  Bands of samples give candidate buckets,
+   as many as it takes for a pair at the threshold to share none with
+   probability 2e-6: 28 of 6 samples for 0.85, 33 of 5 for 0.80.
 2. The samples are folded into an odd sketch: every (position, sample) flips
    one of 1024 bits.  The population count of the XOR of two sketches gives
    the number of differing samples, precisely so for high similarities; pairs
@@ -14,8 +15,8 @@ one class; all later work is on classes.
 3. The rest is confirmed on the full shingle sets, and only that decides.
 
 No bucket's pairs are enumerated.  First every member is compared with one
-member of each of its buckets (another one in each band), at most 28 pairs per
-class whatever the bucket's size.  Their confirmed links give components.
+member of each of its buckets (another one in each band), at most one pair a
+band per class whatever the bucket's size.  Their confirmed links give components.
 What is left are buckets that still hold several components.  In one of up to
 32 members, whatever is outside the largest component is compared with all
 others.  The members of larger ones are joined by their rarest shingles: two
@@ -38,10 +39,10 @@ from .common import LOWER, frozen, mix, steps, text_hash, utf8, windows, without
 from .components import components
 
 SHINGLE = 5
-BANDS, ROWS = 28, 6
-SAMPLES = BANDS * ROWS
+SAMPLES = 168
+MISS = 2.5e-6           # most probability that a pair at the threshold shares no bucket
 BITS = 1024
-MARGIN = 0.15           # 5.4 standard deviations of the estimate at 0.85
+DEVIATIONS = 5.45       # of the estimate at the threshold: 0.15 for 0.85
 NO_ID = 2**63 - 1       # a null id: after all others
 SMALL = 32              # members of a bucket that are compared one by one
 BROADCAST_IDS = 2_000_000   # at most 32 MB
@@ -73,10 +74,23 @@ def minhash(shingles: np.ndarray) -> np.ndarray:
     return best
 
 
-def band_keys(sample: np.ndarray) -> np.ndarray:
-    parts = sample.astype(np.uint64).reshape(BANDS, ROWS)
-    key = np.arange(BANDS, dtype=np.uint64) + np.uint64(1)
-    for i in range(ROWS):
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, samples in each): the longest bands that miss a pair at the threshold with probability ``MISS`` at most."""
+    for rows in range(SAMPLES, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (SAMPLES // rows) <= MISS:
+            return SAMPLES // rows, rows
+    return SAMPLES, 1
+
+
+def least_size(percent: int) -> int:
+    """The size of the smallest set that can be similar enough to a different one: n of n + 1 shingles."""
+    return -(-100 // (100 - percent)) - 1 if percent < 100 else NO_ID
+
+
+def band_keys(sample: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    parts = sample[:bands * rows].astype(np.uint64).reshape(bands, rows)
+    key = np.arange(bands, dtype=np.uint64) + np.uint64(1)
+    for i in range(rows):
         key = mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, i])
     return key.view(np.int64)
 
@@ -108,13 +122,14 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
 
 
-def signatures(rows: DataFrame) -> DataFrame:
+def signatures(rows: DataFrame, percent: int) -> DataFrame:
     """(``_id``, ``_hash``, ``n``, ``s1``, ``s2``, ``bands``, ``sketch``, ``whole``) of rows (``_id``, ``_text``, ``_hash``).
 
     ``sketch``: of the samples; ``whole``: of all shingles.
 
-    Sets of fewer than six shingles can't be 0.85-similar to a different set: no bands.
+    Sets below ``least_size`` can't be similar enough to a different set: no bands.
     """
+    layout, least = banding(percent), least_size(percent)
     none = np.zeros(0, np.int64)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +140,8 @@ def signatures(rows: DataFrame) -> DataFrame:
                 for s in shingle_sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]):
                     n.append(len(s))
                     ids.append(identity(s))
-                    sample = minhash(s) if len(s) >= 6 else None
-                    keys.append(none if sample is None else band_keys(sample))
+                    sample = minhash(s) if len(s) >= least else None
+                    keys.append(none if sample is None else band_keys(sample, *layout))
                     sketches.append(none if sample is None else odd_sketch(sample))
                     wholes.append(none if sample is None else parity(mix(s)))
                 yield pa.RecordBatch.from_arrays(
@@ -163,6 +178,10 @@ def estimate(x: Column, y: Column) -> Column:
     return 1 + (BITS / (4 * SAMPLES)) * F.log(F.greatest(F.lit(1e-9), 1 - 2 * differing(x, y) / BITS))
 
 
+def margin(percent: int) -> float:
+    return DEVIATIONS * (percent / 100 * (1 - percent / 100) / SAMPLES) ** 0.5
+
+
 def _few_differ(percent: int) -> Column:
     """Whether x and y may differ in as few shingles as a link allows.
 
@@ -174,7 +193,7 @@ def _few_differ(percent: int) -> Column:
 def _likely(percent: int) -> Column:
     """Whether classes x and y may be similar enough: by their sizes and whole sketches (exact), then by their samples'."""
     return ((100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & _few_differ(percent)
-            & (estimate(F.col("x.sketch"), F.col("y.sketch")) >= percent / 100 - MARGIN))
+            & (estimate(F.col("x.sketch"), F.col("y.sketch")) >= percent / 100 - margin(percent)))
 
 
 def sets_of(some: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -238,7 +257,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """``near_duplicates`` with the text's hash."""
     rows = _identified(docs, id_col, text_col)
-    signed = frozen(signatures(rows))
+    signed = frozen(signatures(rows, percent))
     classes = frozen(signed.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("_id").alias("label"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         F.first("whole").alias("whole"))

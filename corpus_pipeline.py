@@ -21,6 +21,9 @@ from cohortforge.llm.secret_scan import redact
 from cohortforge.session import checkpoint_dir
 
 
+SIMILAR = 80            # per cent of the shingles, for the near copies
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the surface rules or the perplexity bands reject go."""
     return filter_quality(docs)
@@ -33,7 +36,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the smallest id stays."""
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=SIMILAR)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

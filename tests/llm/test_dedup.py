@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 from collections import defaultdict
 
 import pytest
@@ -111,6 +112,32 @@ def test_near_duplicates_of_a_large_family(docs_of, edge_rows, monkeypatch, smal
     assert sorted(got, key=order) == sorted([w if w[0] is not None else (*w[:3], False) for w in want], key=order)
 
 
+def near_pairs():
+    """Pairs of texts that share 4 of 5, 5 of 6 and 8 of 10 shingles, and pairs just below 0.8."""
+    rows, n = [], 10
+    for size, shared in ((8, 8), (9, 9), (7, 7), (12, 12), (52, 52), (52, 47), (30, 27)):
+        for k in range(12):
+            w = [f"p{size}x{shared}x{k}x{i}" for i in range(size)]
+            rows += [(n, " ".join(w)), (n + 1, " ".join(w[:shared] + [f"q{n}x{i}" for i in range(max(1, size - shared))]))]
+            n += 2
+    return rows
+
+
+def test_near_duplicates_at_80_per_cent(docs_of, edge_rows):
+    rows = edge_rows + near_pairs()
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in near_duplicates(docs_of(rows), percent=80).collect())
+    assert got == Counter(brute(rows, 80)) and brute(rows, 80) != brute(rows, 85)
+    assert minhash_dedup.banding(85) == (28, 6) and minhash_dedup.least_size(85) == 6
+    assert minhash_dedup.banding(80) == (33, 5) and minhash_dedup.least_size(80) == 4
+
+
+def test_near_copies_of_the_pipeline(spark, docs_of):
+    import corpus_pipeline
+    rows = near_pairs()
+    out = corpus_pipeline.near_copies(spark, docs_of(rows), "")
+    assert sorted(r.doc_id for r in out.collect()) == sorted(d for d, _, c in brute(rows, 80) if d == c)
+
+
 def test_drop_near_duplicates(docs_of):
     base = " ".join(f"w{i}" for i in range(100))
     docs = docs_of([(3, base), (4, base + " more"), (5, "other " * 30), (6, None)], extra=True)
