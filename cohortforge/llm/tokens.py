@@ -10,7 +10,9 @@ all texts if the tokenizer is of another kind.
 The vocabulary is the JSON file of the ``tokenizers`` library.  If its merges
 are in the order of their ids, as byte-level vocabularies have them, the same
 ids come faster from ``tiktoken`` with that file's tokens as ranks; the tests
-hold both against each other.
+hold both against each other.  Texts that hold the string of an added token
+(such as an end-of-text mark) go whole to the tokenizer as it is in the file,
+which gives that string the token's own id.
 """
 
 from __future__ import annotations
@@ -49,20 +51,26 @@ def ranks(parts: dict) -> dict[bytes, int] | None:
 
 
 class Encoder:
-    """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes."""
+    """``ids(texts)``: for each text its ids as little-endian unsigned 32-bit bytes.
 
-    def __init__(self, path: str):
+    ``added``: the strings of special tokens in a text become their ids, as in
+    the tokenizer's own default; otherwise they are ordinary text.
+    """
+
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # one core per task
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True         # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
         pre = parts.get("pre_tokenizer") or {}
         self.chunked = (parts.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and not pre.get("add_prefix_space") and pre.get("use_regex", True))
         self.cache: dict[str, bytes | bool] = {}            # False: can't stand by itself
+        # strings that the tokenizer takes out of a text before anything else
+        self.taken = [t["content"] for t in parts.get("added_tokens", []) if t["content"] and (added or not t.get("special"))]
         self.fast = None
         found = ranks(parts) if self.chunked else None
         if found:
@@ -73,6 +81,9 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         if self.fast:
             return [array("I", self.fast(t)).tobytes() for t in texts]
+        return self._by_file(texts)
+
+    def _by_file(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> None:
@@ -89,15 +100,18 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         if not self.chunked:
-            return self._encode(texts)
+            return self._by_file(texts)
         out: list[bytes | None] = [None] * len(texts)
         whole = []
+        marked = []
         split = {}
         known = self.cache.get
         missing: set[str] = set()
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
+            elif any(t in text for t in self.taken):
+                marked.append(i)
             elif "\0" in text:
                 whole.append(i)
             else:
@@ -123,6 +137,8 @@ class Encoder:
                     out[i] = b"".join(found)
         for i, e in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = e
+        for i, e in zip(marked, self._by_file([texts[i] for i in marked])):
+            out[i] = e
         return out
 
 
@@ -132,7 +148,7 @@ _encoders: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """The worker's encoder of a vocabulary file (kept from task to task)."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]
 
 

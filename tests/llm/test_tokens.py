@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from cohortforge.llm import bestfit, token_output
+from cohortforge.llm import bestfit, token_output, tokens
 from cohortforge.llm.sharding import shard
 from cohortforge.llm.spm import Pieces, decode, encode
 from cohortforge.llm.tokens import Encoder, cuts
@@ -44,6 +44,21 @@ def test_encoder_equals_the_tokenizer():
     assert encoder.ids(texts) == reference_ids(texts)
 
 
+def test_operators_give_the_ids_of_an_untouched_tokenizer(docs_of):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", " it's  <|endoftext|>\n ok", "a\0<|endoftext|>", "<|endoftext|", "plain text"]
+    want = [np.array(e.ids, "<u4").tobytes() for e in Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)]
+    assert np.frombuffer(want[0], "<u4").tolist() == [64, 220, 50256, 275]
+    assert tokens.encoder(BPE).ids(texts * 2) == want * 2
+    docs = docs_of(list(enumerate(texts)))
+    for r in bestfit.best_fit(docs, BPE).collect():
+        ids = want[r.doc_id] + b"\0\0\0\0"        # the end of a document
+        assert (r.start, 4 * r.length, r.ids_crc32) == (0, len(ids), zlib.crc32(ids))
+    for r in token_output.packed_ids(docs, BPE, width=512).collect():
+        row = np.frombuffer(bytes(r.ids), "<u4")
+        for k, d in enumerate(r.doc_ids):
+            assert row[r.cu_seqlens[k]:r.cu_seqlens[k + 1]].tobytes() == want[d] + np.array([token_output.END_ID], "<u4").tobytes()
+
+
 def test_cuts():
     assert cuts(5, 5) == [(0, 5)] and cuts(0, 5) == [] and cuts(12, 5) == [(0, 2), (2, 5), (7, 5)] and cuts(10, 5) == [(0, 5), (5, 5)]
 
