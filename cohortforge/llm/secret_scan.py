@@ -1,7 +1,9 @@
 """Secret scanning: candidate strings, and a random forest that removes false findings.
 
-A candidate is a run of 16 or more key characters with a digit in it.  A
-random forest judges each one by its length and mix of characters, the
+A candidate is a run of 16 or more key characters with a digit in it, or the
+value of an assignment to a name with a secret word in it, of 8 or more
+characters up to a quote, white space or separator.  ``=`` ends a run but as
+padding.  A random forest judges each one by its length and mix of characters, the
 transitions between them, how much of it dictionary words cover, path and
 separator marks, and the words around it.  The forest is fitted by Spark ML on
 labelled findings and then written out as a SQL expression, so that scanning
@@ -9,7 +11,7 @@ is one pass of built-in functions over the texts: no shuffle, no Python.
 
 Labelled findings: ``TRAIN_ROWS`` rows made from the templates below, each a
 spelling of a secret or of something that looks like one, between words of
-prose.
+prose, cut by the same expression as the texts.
 """
 
 from __future__ import annotations
@@ -28,7 +30,13 @@ TREES, DEPTH = 15, 5
 SURE = 0.5              # least share of the trees' votes
 MARK = "[SECRET]"
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=.~-])(?=[A-Za-z+/_=.~-]*+[0-9])[A-Za-z0-9+/_=.~-]{16,}+"
+SECRET_WORD = "token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private"
+_ASSIGNED = r"[\"'`]?[\x20\t]{0,2}(?:=>|[=:])[\x20\t]{0,2}[\"'`]?"
+_NAME = "(?i:token|secret|passw|passphrase|pwd|api[_-]?key|access[_-]?key|auth(?!or(?!iz))|credential|private)[A-Za-z0-9_-]{0,24}"
+_VALUE = "[A-Za-z0-9+/_.~@#$%^&*!?-]"
+# the value of an assignment to such a name; or a long run with a digit
+CANDIDATE = (rf"(?<!{_VALUE})(?={_VALUE}{{8}})(?<=[=:>][\x20\t]{{0,2}}[\"'`]?)(?<={_NAME}{_ASSIGNED}){_VALUE}{{8,}}+={{0,2}}+"
+             r"|(?<![A-Za-z0-9+/_.~-])(?=[A-Za-z+/_.~-]*+[0-9])[A-Za-z0-9+/_.~-]{16,}+(?:={1,2}+(?![A-Za-z0-9+/_.~-]))?")
 
 # fixed: words that cover parts of harmless strings
 DICTIONARY = (
@@ -52,7 +60,7 @@ PAIRS = ("th he in er an re on at en nd ti es or te of ed is it al ar st to nt n
          "ce li ch ll be ma si om ur ie ge un ei au sc ht qu ai eu la ci el").split()
 
 FEATURES = ("size", "digits", "upper", "lower", "distinct", "changes", "pairs", "covered", "path", "joints", "hexadecimal", "known_start",
-            "secret_word", "assigned", "quoted", "other_word", "repeats")
+            "secret_word", "assigned", "quoted", "other_word", "repeats", "password_name", "marks")
 
 
 def features(c: Column, before: Column, after: Column) -> list[Column]:
@@ -73,10 +81,10 @@ def features(c: Column, before: Column, after: Column) -> list[Column]:
         1 - F.length(F.regexp_replace(low, "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))), "")) / n,
         count("[/.]"), count("[-_]"), flag(c.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$")),
         flag(c.rlike("^(?:AKIA|ASIA|gh[pousr]_|xox[abps]-|sk[-_]|pk_live|AIza|eyJ|glpat-|npm_)")),
-        flag(near.rlike("token|secret|passw|pwd|api.?key|access.?key|auth|bearer|credential|private")),
+        flag(near.rlike(SECRET_WORD)),
         flag(before.rlike("[=:]\\s*[\"'`]?$")), flag(before.rlike("[\"'`]$") & after.rlike("^[\"'`]")),
         flag(near.rlike("sha|md5|commit|checksum|digest|hash|uuid|guid|version|http|href|src|image|revision|isbn|order|phone|file|path")),
-        flag(c.rlike("(.)\\1{5}")))]
+        flag(c.rlike("(.)\\1{5}")), flag(near.rlike(f"(?:passw|passphrase|pwd)[a-z0-9_-]*{_ASSIGNED}$")), count("[@#$%^&*!?]"))]
 
 
 # ---------------------------------------------------------------- training
@@ -97,7 +105,19 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
     word2 = pick(6, *DICTIONARY)
     digits = F.regexp_replace(h, "[a-f]", "7")
     upper = F.upper(F.regexp_replace(b64, "[^A-Za-z0-9]", "Q"))
+    phrase = pick(6, "password", "PASSWORD", "DB_PASSWORD", "passwd", "db_pwd", "passphrase", "\"password\"", "user_password")
+    setting = pick(7, "GITHUB_TOKEN", "AWS_ACCESS_KEY_ID", "API_TOKEN", "CLIENT_SECRET", "export AUTH_TOKEN")
+    long_word = pick(8, "required", "optional", "undefined", "disabled", "forgotten", "generated", "protected", "environment", "incorrect")
+    word3 = pick(9, *DICTIONARY)
+    mixed = F.translate(F.concat(F.initcap(word), word2), "oae", "043")
     secrets = [
+        (F.concat(prose, phrase, sign), F.concat_ws("-", word, word2, word3, pick(10, "horse", "staple", "river", "copper")), end),
+        (F.concat(prose, phrase, sign), F.concat(mixed, pick(10, "&", "!", "#", "@", "$"), F.substring(digits, 1, 2)), end),
+        (F.concat(prose, phrase, sign), F.concat(F.lit("hunter"), F.substring(digits, 1, 2), word), end),
+        (F.concat(prose, phrase, sign), F.concat(word, F.substring(digits, 1, 1), word2, word3), end),
+        (F.concat(setting, F.lit("=")), F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), F.lit("\n")),
+        (F.concat(setting, F.lit("=")), F.concat(F.lit("ghp_"), F.regexp_replace(F.substring(b64, 1, 36), "[^A-Za-z0-9]", "k")), F.lit("\n")),
+        (F.concat(setting, F.lit("=")), F.substring(g, 1, 40), F.lit("\n")),
         (F.concat(prose, name, sign), F.substring(h, 1, 40), end), (F.concat(prose, name, sign), F.upper(F.substring(h, 1, 40)), end),
         (F.concat(prose, name, sign), F.substring(h, 1, 32), end), (F.concat(prose, name, sign), b64, end),
         (F.concat(prose, name, sign), F.concat(F.regexp_replace(F.substring(b64, 1, 24), "[^A-Za-z0-9]", "x"), F.lit("4")), end),
@@ -105,6 +125,10 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
         (F.concat(prose, name, sign), F.concat(F.lit("sk-"), F.substring(g, 1, 40)), end),
         (F.concat(prose, name, sign), F.concat(word, F.lit("-"), F.substring(b64, 1, 18), F.lit("9")), end)]
     others = [
+        (F.concat(prose, phrase, pick(10, ": ", " = ", "=")), long_word, pick(11, " ", "\n", ", ")),
+        (F.concat(prose, name, sign), F.concat(word, F.lit("."), word2, F.lit("."), word3), end),
+        (F.concat(prose, phrase, sign), F.concat(word, F.lit("_"), word2, F.lit("_"), word3), end),
+        (F.concat(prose, name, sign), long_word, end),
         (F.concat(prose, pick(7, "commit ", "sha256:", "sha1 ", "md5: ", "checksum = ", "digest: ", "hash ", "revision ")), F.substring(h, 1, 40), pick(8, " ", "\n", ".", ",")),
         (F.concat(prose, pick(9, "uuid ", "id: ", "", "guid=")), F.regexp_replace(F.substring(h, 1, 32), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"), pick(8, " ", "\n", ".", ",")),
         (prose, F.concat(word, F.lit("/"), word2, F.lit("/2024/"), word, F.lit(".html")), F.lit(" ")),
@@ -119,7 +143,13 @@ def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
     kinds = [(F.struct(b.alias("before"), c.alias("candidate"), a.alias("after"), F.lit(float(label)).alias("label")))
              for label, some in ((1, secrets), (0, others)) for b, c, a in some]
     chosen = reduce(lambda e, x: F.when(F.col("id") % len(kinds) == x[0], x[1]).otherwise(e), list(enumerate(kinds))[1:], kinds[0])
-    return spark.range(0, rows, 1, 4).select(chosen.alias("f")).select("f.*")
+    made = spark.range(0, rows, 1, 4).select(chosen.alias("f")).select("f.*")
+    # cut as the scan cuts: what it would not find is not learned
+    cut = made.select("candidate", "label", _cut(F.concat("before", "candidate", "after")).alias("cut"))
+    found = cut.select("label", "cut", F.col("candidate").alias("whole"), F.posexplode("cut").alias("i", "candidate")).where("i % 2 = 1")
+    hit = F.col("whole").contains(F.col("candidate")) | F.col("candidate").contains(F.col("whole"))
+    return found.select(F.get("cut", F.col("i") - 1).alias("before"), "candidate", F.get("cut", F.col("i") + 1).alias("after"),
+                        F.when(hit, F.col("label")).otherwise(0.0).alias("label"))
 
 
 def train(spark: SparkSession, rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> RandomForestClassificationModel:
@@ -153,10 +183,14 @@ def _plain(text: Column) -> Column:
     return F.replace(F.replace(text, F.lit("\u0002)"), F.lit("\u0001")), F.lit("\u0002("), F.lit("\u0002"))
 
 
+def _cut(text: Column) -> Column:
+    return F.split(F.regexp_replace(_spelled(text), CANDIDATE, "\u0001$0\u0001"), "\u0001")
+
+
 def scan(docs: DataFrame, model: RandomForestClassificationModel, text_col: str = "text", sure: float = SURE) -> DataFrame:
     """``docs`` with ``_parts``: the text in pieces, each with ``vote`` (null: not a candidate) and ``text``."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    cut = docs.withColumn("_cut", F.split(F.regexp_replace(_spelled(text), CANDIDATE, "\u0001$0\u0001"), "\u0001"))
+    cut = docs.withColumn("_cut", _cut(text))
     cut = cut.withColumn("_parts", F.transform("_cut", lambda p, i: F.struct(
         p.alias("text"),
         F.when(i % 2 == 1, F.array(*features(p, F.get("_cut", i - 1), F.get("_cut", i + 1)))).alias("f"))))
