@@ -91,6 +91,14 @@ def test_filter_quality(docs_of, corpus):
     assert quality.filter_quality(docs_of([])).count() == 0
 
 
+def test_prose_does_not_depend_on_the_neighbours():
+    text = b"w " * 19 + b"w"
+    for rows in ([text], [text, text, b"", text], [b"x", text], [b" ", text + b" ", text]):
+        offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+        got = quality.looks_like_prose(np.frombuffer(b"".join(rows), np.uint8), offsets)
+        assert got.tolist() == [len(r.split()) >= 20 for r in rows]
+
+
 def test_quality_rejects_text_of_another_language(spark):
     docs = spark.read.parquet(SF.replace("sf0.001", "sf0.01") + "/documents.parquet")
     clean = quality.quality(docs).where("kept").select("doc_id").join(docs, "doc_id").where("n_chars > 300")
