@@ -6,17 +6,19 @@ characters up to a quote, white space or separator.  ``=`` ends a run but as
 padding.  A random forest judges each one by its length and mix of characters, the
 transitions between them, how much of it dictionary words cover, path and
 separator marks, and the words around it.  The forest is fitted by Spark ML on
-labelled findings and then written out as a SQL expression, so that scanning
-is one pass of built-in functions over the texts: no shuffle, no Python.
+labelled findings and then laid out in literal arrays that an expression walks,
+so that scanning is one pass of built-in functions over the texts: no shuffle, no Python.
 
 Labelled findings: ``TRAIN_ROWS`` rows made from the templates below, each a
-spelling of a secret or of something that looks like one, between words of
-prose, cut by the same expression as the texts.
+random spelling of a secret or of something that looks like one, between words
+of prose, cut by the same expression as the texts.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+import random
+import string
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -89,67 +91,68 @@ def features(c: Column, before: Column, after: Column) -> list[Column]:
 
 # ---------------------------------------------------------------- training
 
-def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS) -> DataFrame:
-    """(``before``, ``candidate``, ``after``, ``label``): made from templates, the same on every run."""
-    def pick(salt: int, *choices: str) -> Column:
-        return F.element_at(F.array(*[F.lit(c) for c in choices]), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(choices))) + 1).cast("int"))
-
-    h = F.sha2(F.concat(F.lit("a"), F.col("id")), 256)
-    g = F.sha2(F.concat(F.lit("b"), F.col("id")), 256)
-    b64 = F.base64(F.unhex(h))
-    name = pick(1, "token", "secret", "api_key", "API_KEY", "password", "TOKEN", "access_key", "auth_token", "client_secret", "Bearer", "credential")
-    sign = pick(2, " = \"", "=", ": ", ": \"", " = '", "=\"", " := \"")
-    end = pick(3, "\"", "\"!!", "\" ", "\";", "'", "\n", "\",", "\"###", " ")
-    prose = pick(4, "and the end of ", "in der ", "le ", "x ", "see. ", "", "the following ", "| ")
-    word = pick(5, *DICTIONARY)
-    word2 = pick(6, *DICTIONARY)
-    digits = F.regexp_replace(h, "[a-f]", "7")
-    upper = F.upper(F.regexp_replace(b64, "[^A-Za-z0-9]", "Q"))
-    phrase = pick(6, "password", "PASSWORD", "DB_PASSWORD", "passwd", "db_pwd", "passphrase", "\"password\"", "user_password")
-    setting = pick(7, "GITHUB_TOKEN", "AWS_ACCESS_KEY_ID", "API_TOKEN", "CLIENT_SECRET", "export AUTH_TOKEN")
-    long_word = pick(8, "required", "optional", "undefined", "disabled", "forgotten", "generated", "protected", "environment", "incorrect")
-    word3 = pick(9, *DICTIONARY)
-    mixed = F.translate(F.concat(F.initcap(word), word2), "oae", "043")
+def _spellings(pick: random.Random) -> tuple[list, list]:
+    """One (before, candidate, after) of every kind of secret, and of every kind of harmless string."""
+    def of(alphabet: str, n: int) -> str:
+        return "".join(pick.choice(alphabet) for _ in range(n))
+
+    def made() -> str:          # a word of no dictionary
+        return "".join(of("bcdfghklmnprstvwz", 1) + of("aeiou", 1) for _ in range(pick.randint(2, 3))) + pick.choice(["", "n", "r", "st"])
+
+    hexadecimal, letters, base64 = "0123456789abcdef", string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/"
+    word = lambda: pick.choice(DICTIONARY)
+    either = lambda: pick.choice([word, made])()
+    name = pick.choice(["token", "secret", "api_key", "API_KEY", "password", "TOKEN", "access_key", "auth_token", "client_secret", "Bearer", "credential"])
+    phrase = pick.choice(["password", "PASSWORD", "DB_PASSWORD", "passwd", "db_pwd", "passphrase", "\"password\"", "user_password"])
+    setting = pick.choice(["GITHUB_TOKEN", "AWS_ACCESS_KEY_ID", "API_TOKEN", "CLIENT_SECRET", "export AUTH_TOKEN"]) + "="
+    sign = pick.choice([" = \"", "=", ": ", ": \"", " = '", "=\"", " := \""])
+    end = pick.choice(["\"", "\"!!", "\" ", "\";", "'", "\n", "\",", "\"###", " "])
+    stop = pick.choice([" ", "\n", ".", ","])
+    prose = pick.choice(["and the end of ", "in der ", "le ", "x ", "see. ", "", "the following ", "| "])
+    status = pick.choice(["required", "optional", "undefined", "disabled", "forgotten", "generated", "protected", "environment", "incorrect"])
+    swapped = str.translate(either().capitalize() + either(), str.maketrans(dict(pick.sample([("o", "0"), ("a", "4"), ("e", "3"), ("i", "1"), ("s", "5")], 3))))
+    named, worded = prose + name + sign, prose + phrase + sign
+    h40, h32 = of(hexadecimal, 40), of(hexadecimal, 32)
+    b64 = of(base64, 43) + "="
     secrets = [
-        (F.concat(prose, phrase, sign), F.concat_ws("-", word, word2, word3, pick(10, "horse", "staple", "river", "copper")), end),
-        (F.concat(prose, phrase, sign), F.concat(mixed, pick(10, "&", "!", "#", "@", "$"), F.substring(digits, 1, 2)), end),
-        (F.concat(prose, phrase, sign), F.concat(F.lit("hunter"), F.substring(digits, 1, 2), word), end),
-        (F.concat(prose, phrase, sign), F.concat(word, F.substring(digits, 1, 1), word2, word3), end),
-        (F.concat(setting, F.lit("=")), F.concat(F.lit("AKIA"), F.substring(upper, 1, 16)), F.lit("\n")),
-        (F.concat(setting, F.lit("=")), F.concat(F.lit("ghp_"), F.regexp_replace(F.substring(b64, 1, 36), "[^A-Za-z0-9]", "k")), F.lit("\n")),
-        (F.concat(setting, F.lit("=")), F.substring(g, 1, 40), F.lit("\n")),
-        (F.concat(prose, name, sign), F.substring(h, 1, 40), end), (F.concat(prose, name, sign), F.upper(F.substring(h, 1, 40)), end),
-        (F.concat(prose, name, sign), F.substring(h, 1, 32), end), (F.concat(prose, name, sign), b64, end),
-        (F.concat(prose, name, sign), F.concat(F.regexp_replace(F.substring(b64, 1, 24), "[^A-Za-z0-9]", "x"), F.lit("4")), end),
-        (prose, F.concat(F.lit("AKIA"), F.substring(upper, 1, 15), F.lit("2")), end), (prose, F.concat(F.lit("ghp_"), F.regexp_replace(F.substring(b64, 1, 36), "[^A-Za-z0-9]", "k")), end),
-        (F.concat(prose, name, sign), F.concat(F.lit("sk-"), F.substring(g, 1, 40)), end),
-        (F.concat(prose, name, sign), F.concat(word, F.lit("-"), F.substring(b64, 1, 18), F.lit("9")), end)]
+        (worded, "-".join([either(), made(), *[either() for _ in range(pick.randint(1, 2))]]), end),
+        (worded, "-".join(either() for _ in range(4)), end),
+        (worded, swapped + pick.choice("&!#@$") + of(string.digits, pick.randint(1, 2)), end),
+        (worded, made() + of(string.digits, pick.randint(1, 2)) + word(), end),
+        (worded, word() + of(string.digits, 1) + word() + word(), end),
+        (setting, "AKIA" + of(string.ascii_uppercase + string.digits, 16), "\n"), (setting, "ghp_" + of(letters, 36), "\n"), (setting, h40, "\n"),
+        (named, h40, end), (named, h40.upper(), end), (named, h32, end), (named, b64, end), (named, of(letters, 24) + "4", end),
+        (prose, "AKIA" + of(string.ascii_uppercase, 15) + "2", end), (prose, "ghp_" + of(letters, 36), end),
+        (named, "sk-" + h40, end), (named, word() + "-" + of(letters, 18) + "9", end)]
     others = [
-        (F.concat(prose, phrase, pick(10, ": ", " = ", "=")), long_word, pick(11, " ", "\n", ", ")),
-        (F.concat(prose, name, sign), F.concat(word, F.lit("."), word2, F.lit("."), word3), end),
-        (F.concat(prose, phrase, sign), F.concat(word, F.lit("_"), word2, F.lit("_"), word3), end),
-        (F.concat(prose, name, sign), long_word, end),
-        (F.concat(prose, pick(7, "commit ", "sha256:", "sha1 ", "md5: ", "checksum = ", "digest: ", "hash ", "revision ")), F.substring(h, 1, 40), pick(8, " ", "\n", ".", ",")),
-        (F.concat(prose, pick(9, "uuid ", "id: ", "", "guid=")), F.regexp_replace(F.substring(h, 1, 32), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"), pick(8, " ", "\n", ".", ",")),
-        (prose, F.concat(word, F.lit("/"), word2, F.lit("/2024/"), word, F.lit(".html")), F.lit(" ")),
-        (F.concat(prose, F.lit("https:")), F.concat(F.lit("//www."), word, F.lit(".com/"), word2, F.lit("/"), F.substring(digits, 1, 6)), F.lit(" ")),
-        (prose, F.substring(digits, 1, 17), F.lit(" ")), (F.concat(prose, pick(10, "", "card ", "number: ", "order = ")), F.substring(digits, 1, 16), F.lit(" ")),
-        (prose, F.concat(word, F.lit("_"), word2, F.lit("_"), word, F.lit("_"), F.substring(digits, 1, 2)), F.lit(" ")),
-        (F.concat(prose, name, sign), F.concat(word, F.lit("_"), word2, F.lit("_"), word, F.lit("_1")), end),
-        (F.concat(prose, name, sign), F.lit("xxxxxxxxxxxxxxxxxxxxxxxx1"), end), (F.concat(prose, name, sign), F.lit("00000000000000000000000000000000"), end),
-        (F.concat(prose, F.lit("<img src=\"data:image/png;base64,")), F.concat(b64, b64), F.lit("\"")),
-        (prose, F.concat(F.lit("2024-05-"), F.substring(digits, 1, 2), F.lit("-"), word, F.lit("-"), word2), F.lit(" ")),
-        (prose, F.concat(word, F.lit("."), F.substring(digits, 1, 2), F.lit("-"), word2, F.lit("."), word, F.lit(".com")), F.lit(" "))]
-    kinds = [(F.struct(b.alias("before"), c.alias("candidate"), a.alias("after"), F.lit(float(label)).alias("label")))
-             for label, some in ((1, secrets), (0, others)) for b, c, a in some]
-    chosen = reduce(lambda e, x: F.when(F.col("id") % len(kinds) == x[0], x[1]).otherwise(e), list(enumerate(kinds))[1:], kinds[0])
-    made = spark.range(0, rows, 1, 4).select(chosen.alias("f")).select("f.*")
-    # cut as the scan cuts: what it would not find is not learned
-    cut = made.select("candidate", "label", _cut(F.concat("before", "candidate", "after")).alias("cut"))
-    found = cut.select("label", "cut", F.col("candidate").alias("whole"), F.posexplode("cut").alias("i", "candidate")).where("i % 2 = 1")
+        (prose + phrase + pick.choice([": ", " = ", "="]), status, pick.choice([" ", "\n", ", "])),
+        (named, ".".join([word(), word(), word()]), end), (worded, "_".join([word(), word(), word()]), end), (named, status, end),
+        (prose + pick.choice(["commit ", "sha256:", "sha1 ", "md5: ", "checksum = ", "digest: ", "hash ", "revision "]), h40, stop),
+        (prose + pick.choice(["uuid ", "id: ", "", "guid="]), "-".join([h32[:8], h32[8:12], h32[12:16], h32[16:20], h32[20:]]), stop),
+        (prose, f"{word()}/{word()}/2024/{word()}.html", " "), (prose + "https:", f"//www.{word()}.com/{word()}/{of(string.digits, 6)}", " "),
+        (prose, of(string.digits, 17), " "), (prose + pick.choice(["", "card ", "number: ", "order = "]), of(string.digits, 16), " "),
+        (prose, f"{word()}_{word()}_{word()}_{of(string.digits, 2)}", " "), (named, f"{word()}_{word()}_{word()}_1", end),
+        (named, "x" * 24 + "1", end), (named, "0" * 32, end), (prose + "<img src=\"data:image/png;base64,", of(base64, 88), "\""),
+        (prose, f"2024-05-{of(string.digits, 2)}-{word()}-{word()}", " "), (prose, f"{word()}.{of(string.digits, 2)}-{word()}.{word()}.com", " ")]
+    return secrets, others
+
+
+def labelled_findings(spark: SparkSession, rows: int = TRAIN_ROWS, seed: int = 5) -> DataFrame:
+    """(``before``, ``candidate``, ``after``, ``label``, ``kind``): made from templates, the same for the same seed.
+
+    The rows are a literal of the plan; they are cut by the scan's own
+    expression, so what the scan would not find is not learned.
+    """
+    pick, made = random.Random(seed), []
+    while len(made) < rows:
+        for label, some in zip((1.0, 0.0), _spellings(pick)):
+            made += [{"text": b + c + a, "whole": c, "label": label, "kind": k} for k, (b, c, a) in enumerate(some)]
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(made[:rows])), "array<struct<text:string,whole:string,label:double,kind:int>>")))
+    cut = table.select("whole", "label", "kind", _cut(F.col("text")).alias("cut"))
+    found = cut.select("label", "kind", "cut", "whole", F.posexplode("cut").alias("i", "candidate")).where("i % 2 = 1")
     hit = F.col("whole").contains(F.col("candidate")) | F.col("candidate").contains(F.col("whole"))
     return found.select(F.get("cut", F.col("i") - 1).alias("before"), "candidate", F.get("cut", F.col("i") + 1).alias("after"),
-                        F.when(hit, F.col("label")).otherwise(0.0).alias("label"))
+                        F.when(hit, F.col("label")).otherwise(0.0).alias("label"), "kind")
 
 
 def train(spark: SparkSession, rows: int = TRAIN_ROWS, trees: int = TREES, depth: int = DEPTH) -> RandomForestClassificationModel:
@@ -161,15 +164,41 @@ def train(spark: SparkSession, rows: int = TRAIN_ROWS, trees: int = TREES, depth
 
 
 def votes(model: RandomForestClassificationModel, at: Column) -> Column:
-    """The share of trees that call a candidate a secret, as an expression over an array of its features."""
-    def walk(node) -> Column:
-        if node.subtreeDepth() == 0:
-            return F.lit(float(node.prediction()))
-        split = node.split()
-        return F.when(F.get(at, F.lit(split.featureIndex())) <= split.threshold(), walk(node.leftChild())).otherwise(walk(node.rightChild()))
-
-    trees = [walk(tree._java_obj.rootNode()) for tree in model.trees]
-    return reduce(lambda a, b: a + b, trees) / len(trees)
+    """The share of trees that call a candidate a secret, as an expression over an array of its features.
+
+    Every tree is laid out as a full binary tree in literal arrays: node i's
+    children are 2i + 1 and 2i + 2, and a leaf above the last level hands its
+    answer down.  A walk takes as many steps as the deepest tree has levels.
+    """
+    trees = [tree._java_obj.rootNode() for tree in model.trees]
+    depth = max(t.subtreeDepth() for t in trees)
+    inner, leaves = (1 << depth) - 1, 1 << depth
+    feature, threshold, answer = [0] * (inner * len(trees)), [0.0] * (inner * len(trees)), [0.0] * (leaves * len(trees))
+
+    def lay(t: int, node, i: int, level: int) -> None:
+        if level == depth:
+            answer[t * leaves + i - inner] = float(node.prediction())
+        elif node.subtreeDepth() == 0:
+            lay(t, node, 2 * i + 1, level + 1)
+            lay(t, node, 2 * i + 2, level + 1)
+        else:
+            feature[t * inner + i], threshold[t * inner + i] = node.split().featureIndex(), node.split().threshold()
+            lay(t, node.leftChild(), 2 * i + 1, level + 1)
+            lay(t, node.rightChild(), 2 * i + 2, level + 1)
+
+    for t, root in enumerate(trees):
+        lay(t, root, 0, 0)
+    features_at, thresholds, answers = (F.expr(f"array({', '.join(x)})") for x in (
+        map(str, feature), (f"{x!r}D" for x in threshold), (f"{x!r}D" for x in answer)))
+
+    def walk(t: Column) -> Column:
+        def step(i: Column, _level: Column) -> Column:
+            here = t * inner + i
+            return 2 * i + F.when(F.get(at, F.get(features_at, here)) <= F.get(thresholds, here), 1).otherwise(2)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))) if depth else F.array().cast("array<int>"), F.lit(0), step)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(len(trees) - 1)), F.lit(0.0),
+                       lambda s, t: s + F.get(answers, t * leaves + walk(t) - inner)) / len(trees)
 
 
 # ---------------------------------------------------------------- scanning

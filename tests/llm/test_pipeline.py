@@ -24,7 +24,7 @@ def test_stages(spark):
                 best[r.text or ""] = max(best.get(r.text or "", -1), r.doc_id)
             assert sorted(r.doc_id for r in docs.collect()) == sorted(best.values())
         elif name == "near dedup":
-            kept = minhash_dedup.near_duplicates(before).where("kept").collect()
+            kept = minhash_dedup.near_duplicates(before, percent=corpus_pipeline.SIMILAR).where("kept").collect()
             assert sorted(r.doc_id for r in docs.collect()) == sorted(r.doc_id for r in kept)
         elif name == "secret scan":
             for r in docs.collect():

@@ -288,3 +288,11 @@ def test_short_and_unquoted_secrets(docs_of, forest):
     for r in secret_scan.findings(docs_of(list(enumerate(texts))), forest).collect():
         text = texts[r.doc_id]
         assert [text[s.start:s.end] for s in r.secrets] == ([found[text]] if text in found else []), text
+
+
+def test_held_out_findings(spark, forest):
+    """Spellings from another seed, whose made-up words the forest has not seen."""
+    values = secret_scan.features(F.col("candidate"), F.col("before"), F.col("after"))
+    rows = secret_scan.labelled_findings(spark, 3000, seed=77).select("label", secret_scan.votes(forest, F.array(*values)).alias("v")).collect()
+    called = [r.label == 1 for r in rows if r.v >= secret_scan.SURE]
+    assert np.mean(called) > 0.98 and sum(called) > 0.95 * sum(r.label == 1 for r in rows)
