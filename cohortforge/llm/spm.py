@@ -223,6 +223,7 @@ class Pieces:
         self.index: dict[str, int] = {"": 0}
         self.best: list[bytes] = [b""]
         self.rest: list[bytes] = [b""] * (self.n_best - 1)      # the other N - 1 of each chunk
+        self.sound = np.ones(1, bool)                           # the best ids spell the very chunk
         self.score = np.zeros(1)
         self.loss = np.full((1, self.n_best - 1), np.inf)       # what they give away
 
@@ -231,7 +232,7 @@ class Pieces:
         for c in chunks:
             by_length.setdefault(len(c), []).append(c)
         top = self.n_best
-        totals = [np.zeros((0, top))]
+        totals, sound = [np.zeros((0, top))], [np.zeros(0, bool)]
         for n, some in by_length.items():
             for i in range(0, len(some), ROWS):
                 part = some[i:i + ROWS]
@@ -245,10 +246,12 @@ class Pieces:
                         found += [b for _, b in hits] + [b""] * (top - len(hits))
                 self.index.update(zip(part, range(len(self.best), len(self.best) + len(part))))
                 self.best += found[::top]
+                sound.append([self.spelled(b) == c.encode("utf-8", "surrogatepass") for b, c in zip(found[::top], part)])
                 del found[::top]
                 self.rest += found
                 totals.append(total)
         total = np.concatenate(totals)
+        self.sound = np.concatenate([self.sound, *sound])
         self.score = np.concatenate([self.score, total[:, 0]])
         self.loss = np.concatenate([self.loss, total[:, :1] - total[:, 1:]])
 
@@ -279,8 +282,8 @@ class Pieces:
                 parts[x] = self.best[int(at[x])]
         return out
 
-    def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
-        """For each text its N best (score, ids as little-endian unsigned 32-bit bytes); an empty text has no ids."""
+    def numbers(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text the numbers of its chunks; new chunks are learned."""
         split = []
         for t in texts:
             if not t:
@@ -302,11 +305,18 @@ class Pieces:
             missing = set().union(*split)
         self.learn(missing)
         number = self.index.__getitem__
-        return [self.n_best_of(np.fromiter(map(number, s), np.int64, len(s))) for s in split]
+        return [np.fromiter(map(number, s), np.int64, len(s)) for s in split]
+
+    def encode(self, texts: list[str]) -> list[list[tuple[float, bytes]]]:
+        """For each text its N best (score, ids as little-endian unsigned 32-bit bytes); an empty text has no ids."""
+        return [self.n_best_of(at) for at in self.numbers(texts)]
+
+    def spelled(self, ids: bytes) -> bytes:
+        return b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def decode(self, ids: bytes) -> str:
         """The text of some ids, without the space that encoding puts before it."""
-        text = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        text = self.spelled(ids).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
@@ -336,14 +346,17 @@ def encode(docs: DataFrame, path: str, n_best: int = N_BEST, id_col: str = "doc_
         for batch in batches:
             for a, b in steps(utf8(batch.column(1))[1]):
                 texts = [t or "" for t in batch.column(1).slice(a, b - a).to_pylist()]
-                found = vocabulary.encode(texts)
+                chunks = vocabulary.numbers(texts)
+                found = [vocabulary.n_best_of(at) for at in chunks]
+                # a text is the sum of its chunks, and so are the bytes of its best ids
+                spelled = [bool(vocabulary.sound[at].all()) or vocabulary.decode(f[0][1]) == t for at, f, t in zip(chunks, found, texts)]
                 cuts = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
                 flat = [x for f in found for x in f]
                 entries = pa.StructArray.from_arrays([pa.array([s for s, _ in flat], pa.float64()), pa.array([i for _, i in flat], pa.binary())],
                                                      names=["score", "ids"])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(pa.array(cuts), entries),
-                     pa.array([vocabulary.decode(f[0][1]) == t for f, t in zip(found, texts)])], names=["_id", "n_best", "round_trip"])
+                     pa.array(spelled, pa.bool_())], names=["_id", "n_best", "round_trip"])
 
     return (docs.select(F.col(f"`{id_col}`").cast("long").alias("_id"), F.col(f"`{text_col}`").alias("_text"))
             .mapInArrow(run, "_id long, n_best array<struct<score:double,ids:binary>>, round_trip boolean").withColumnRenamed("_id", id_col))
