@@ -17,6 +17,7 @@ from .secret_scan import findings
 from .sharding import shard
 from .spm import encode
 from .token_output import packed_ids
+from .variants import spelling_variants, word_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -102,3 +103,8 @@ def op9(spark, sf_dir):
 @query("op10_perplexity_bands")
 def op10(spark, sf_dir):
     return quality(documents(spark, sf_dir))
+
+
+@query("op11_frequency_vector_trie")
+def op11(spark, sf_dir):
+    return spelling_variants(word_counts(documents(spark, sf_dir)))
