@@ -1,16 +1,19 @@
 """Spelling variants: words of a vocabulary that differ by one code point, and the usual form of each.
 
-A word's letters fall into ``GROUPS`` groups by their code points, and a word
-is written as the vector of its counts per group.  One inserted, deleted or
-replaced code point changes that vector by one surplus letter, one missing
-letter, or one of each.  A trie holds the words by the successive counts of
-their vectors; a depth-first search from a word may take one branch with a
-surplus and one with a deficit, and every word of a leaf that it reaches is
+A word's letters fall into groups by their code points, first into ``COARSE``
+groups and then, within those, into ``FINE`` ones, and a word is written as
+the vector of its counts per group.  One inserted, deleted or replaced code
+point changes the coarse counts, and likewise the fine ones, by one surplus
+letter, one missing letter, or one of each.  A trie holds the words by the
+successive counts of their vectors; a depth-first search from a word may take
+one branch with a surplus and one with a deficit among the coarse counts and
+as much among the fine ones, and every word of a leaf that it reaches is
 verified letter by letter.
 
 The trie is spread over the tasks.  Its upper levels are the key by which
 words and searches meet: as many levels as leave ``NODE_WORDS`` words or fewer
-below each node.  A search goes to the nodes that its budget can reach and
+below each node.  A search goes to its own node and to those that its budget
+can reach upwards (the pairs downwards are found from the other word), and
 takes what is left of the budget along.  A node with more words than that
 (equal in all counts) is cut into blocks that every search of it visits, and a
 node with more than ``NODE_SEARCHES`` searches is repeated for blocks of them,
@@ -28,8 +31,8 @@ from pyspark.sql import functions as F
 
 from .common import frozen, partitions
 
-GROUPS = 12             # a letter's group is its code point modulo this
-NODE_WORDS = 4096
+COARSE, FINE = 4, 12    # a letter's group is its code point modulo these; a fine group lies in one coarse group
+NODE_WORDS = 16384
 NODE_SEARCHES = 1 << 16
 RATIO = 5               # a form is at least this many times as frequent
 LEAST, OFTEN = 6, 5     # code points and occurrences of a word
@@ -61,10 +64,25 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .where((F.col("n") >= often) & (F.length("word") >= least)))
 
 
-def group_counts(word: Column, groups: int = GROUPS) -> Column:
-    """How many letters of each group a word has."""
-    codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: F.ascii(c) % groups)
-    return F.array(*[F.size(F.filter(codes, lambda g: g == k)) for k in range(groups)])
+LEVELS = FINE           # the fine counts of the last groups follow from the coarse ones
+
+
+def group_counts(word: Column) -> Column:
+    """How many letters of each coarse group a word has, then of each fine group but those that follow from them."""
+    codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: F.ascii(c) % FINE)
+    return F.array(*[F.size(F.filter(codes, lambda g: g % COARSE == k)) for k in range(COARSE)],
+                   *[F.size(F.filter(codes, lambda g: g == k)) for k in range(FINE - COARSE)])
+
+
+def _changes(depth: int) -> list[tuple[list[int], int, int]]:
+    """(change of the upper counts, surplus and deficit that are left) of all ways through them, in order of the changes."""
+    def layer(n: int) -> list[tuple[list[int], int, int]]:
+        return [([(i == up) - (i == down) for i in range(n)], int(up < 0), int(down < 0))
+                for up in range(-1, n) for down in range(-1, n) if up < 0 or up != down]
+
+    if depth < COARSE:
+        return sorted(layer(depth))
+    return sorted((a + b, more, less) for a, _, _ in layer(COARSE) for b, more, less in layer(depth - COARSE))
 
 
 def one_edit(a: str, b: str) -> bool:
@@ -79,22 +97,30 @@ def one_edit(a: str, b: str) -> bool:
     return True
 
 
-def _search(trie: dict, rest: list[int], surplus: int, deficit: int, word: str) -> Iterator[tuple[str, int]]:
-    """The verified words of all leaves within the budget."""
+def _search(trie, rest: list[int], surplus: int, deficit: int, word: str) -> Iterator[tuple[str, int]]:
+    """The verified words of all leaves within the budget; the fine counts begin with a new one."""
+    levels, fine = len(rest), len(rest) - (LEVELS - COARSE)
     stack = [(trie, 0, surplus, deficit)]
     while stack:
         node, level, more, less = stack.pop()
-        if level == len(rest):
-            yield from ((w, n) for w, n in node if one_edit(word, w))
+        if level == levels:
+            for w, n in node:
+                if one_edit(word, w):
+                    yield w, n
             continue
+        if level == fine:
+            more = less = 1
         c = rest[level]
-        for step, ok in ((0, True), (1, more), (-1, less)):
-            if ok and c + step in node:
-                stack.append((node[c + step], level + 1, more - (step > 0), less - (step < 0)))
+        if c in node:
+            stack.append((node[c], level + 1, more, less))
+        if more and c + 1 in node:
+            stack.append((node[c + 1], level + 1, 0, less))
+        if less and c - 1 in node:
+            stack.append((node[c - 1], level + 1, more, 0))
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come cell by cell, a cell's words before its searches."""
+    """Rows come cell by cell, a cell's words before its searches; pairs leave in both orders."""
     cell, trie = None, None
     out: list[tuple] = []
 
@@ -105,7 +131,11 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           names=["word", "near", "near_n"])
 
     for b in batches:
-        for node, wb, qb, kind, word, n, rest, surplus, deficit in zip(*(c.to_pylist() for c in b.columns)):
+        *columns, rests = b.columns
+        if not len(rests):
+            continue
+        rests = rests.flatten().to_numpy().reshape(len(rests), -1).tolist()     # of one length
+        for node, wb, qb, kind, word, n, own, surplus, deficit, rest in zip(*(c.to_pylist() for c in columns), rests):
             if (node, wb, qb) != cell:
                 cell, trie = (node, wb, qb), ({} if rest else [])
             if kind == 0:
@@ -114,39 +144,40 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     at = at.setdefault(c, {} if level + 1 < len(rest) else [])
                 at.append((word, n))
             elif trie:
-                out += [(word, w, m) for w, m in _search(trie, rest, surplus, deficit, word)]
+                for w, m in _search(trie, rest, surplus, deficit, word):
+                    if not own or w < word:         # within a node both words search
+                        out += [(word, w, m), (w, word, n)]
         if len(out) >= 10_000:
             yield batch()
     yield batch()
 
 
-def near_pairs(words: DataFrame, groups: int = GROUPS, node_words: int = NODE_WORDS, node_searches: int = NODE_SEARCHES) -> DataFrame:
+def near_pairs(words: DataFrame, node_words: int = NODE_WORDS, node_searches: int = NODE_SEARCHES) -> DataFrame:
     """(``word``, ``near``, ``near_n``) for every ordered pair of different words one edit apart; ``words``: distinct ``word`` with ``n``."""
-    spark = words.sparkSession
-    words = frozen(words.select("word", "n", group_counts(F.col("word"), groups).alias("vec")))
+    words = frozen(words.select("word", "n", group_counts(F.col("word")).alias("vec")))
     leaves = frozen(words.groupBy("vec").agg(F.count(F.lit(1)).alias("c")))
     depth = 1
-    while depth < groups and (leaves.groupBy(F.slice("vec", 1, depth)).agg(F.sum("c").alias("c")).agg(F.max("c")).first()[0] or 0) > node_words:
+    while depth < LEVELS and (leaves.groupBy(F.slice("vec", 1, depth)).agg(F.sum("c").alias("c")).agg(F.max("c")).first()[0] or 0) > node_words:
         depth += 1
-    rest = F.slice("vec", depth + 1, groups)
-    node = lambda prefix: F.concat_ws(",", prefix.cast("array<string>"))
-    index = words.select(node(F.slice("vec", 1, depth)).alias("node"), "word", "n", rest.alias("rest"))
-    # every change of the upper counts by at most one surplus and at most one deficit
-    changes = [([(i == up) - (i == down) for i in range(depth)], up, down)
-               for up in range(-1, depth) for down in range(-1, depth) if up < 0 or up != down]
-    literal = F.expr("array(" + ", ".join(f"named_struct('d', array({', '.join(map(str, d))}), 'surplus', {int(up < 0)}, 'deficit', {int(down < 0)})"
-                                          for d, up, down in changes) + ")")
-    prefix = F.zip_with(F.slice("vec", 1, depth), F.col("c.d"), lambda x, y: x + y)
-    searches = (words.select("word", "n", "vec", F.explode(literal).alias("c")).select("word", "n", rest.alias("rest"), prefix.alias("p"), "c.surplus", "c.deficit")
-                .where(F.forall("p", lambda x: x >= 0)).select(node(F.col("p")).alias("node"), "word", "n", "rest", "surplus", "deficit"))
-    load = frozen(index.groupBy("node").agg(F.count(F.lit(1)).alias("w")).join(searches.groupBy("node").agg(F.count(F.lit(1)).alias("q")), "node")
-                  .select("node", F.ceil(F.col("w") / node_words).cast("int").alias("w"), F.ceil(F.col("q") / node_searches).cast("int").alias("q")))
+    upper, rest = F.slice("vec", 1, depth), F.slice("vec", depth + 1, LEVELS).alias("rest")
+    changes = [c for c in _changes(depth) if c[0] >= [0] * depth]
+    literal = F.explode(F.expr("array(" + ", ".join(
+        f"named_struct('d', array({', '.join(map(str, d))}), 'own', {int(not any(d))}, 'surplus', {more}, 'deficit', {less})" for d, more, less in changes) + ")"))
+    moved = F.zip_with("node", F.col("c.d"), lambda x, y: x + y).alias("node")
+    nodes = leaves.groupBy(upper.alias("node")).agg(F.sum("c").alias("c"))
+    visits = nodes.select("node", F.col("c").alias("w"), literal.alias("c")).select(moved, "w").groupBy("node").agg(F.sum("w").alias("q"))
+    load = frozen(nodes.join(visits, "node").select("node", F.ceil(F.col("c") / node_words).cast("int").alias("w"),
+                                                    F.ceil(F.col("q") / node_searches).cast("int").alias("q")))
     own = F.xxhash64("word")
-    index = index.join(load, "node").select("node", F.pmod(own, F.col("w")).cast("int").alias("wb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"),
-                                            F.lit(0).alias("kind"), "word", "n", "rest", F.lit(0).alias("surplus"), F.lit(0).alias("deficit"))
-    searches = searches.join(load, "node").select("node", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("wb"), F.pmod(own, F.col("q")).cast("int").alias("qb"),
-                                                  F.lit(1).alias("kind"), "word", "n", "rest", "surplus", "deficit")
-    cells = index.unionByName(searches).repartition(partitions(spark), "node", "wb", "qb").sortWithinPartitions("node", "wb", "qb", "kind")
+    index = words.select(upper.alias("node"), "word", "n", rest).join(load, "node").select(
+        "node", F.pmod(own, F.col("w")).cast("int").alias("wb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"), F.lit(0).alias("kind"),
+        "word", "n", F.lit(0).alias("own"), F.lit(0).alias("surplus"), F.lit(0).alias("deficit"), "rest")
+    searches = words.select(upper.alias("node"), "word", "n", rest, literal.alias("c")).select(moved, "word", "n", "rest", "c.own", "c.surplus", "c.deficit")
+    searches = searches.join(load, "node").select(
+        "node", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("wb"), F.pmod(own, F.col("q")).cast("int").alias("qb"), F.lit(1).alias("kind"),
+        "word", "n", "own", "surplus", "deficit", "rest")
+    cells = (index.unionByName(searches).withColumn("node", F.concat_ws(",", F.col("node").cast("array<string>")))
+             .repartition(partitions(words.sparkSession), "node", "wb", "qb").sortWithinPartitions("node", "wb", "qb", "kind"))
     return cells.mapInArrow(_meet, "word string, near string, near_n long")
 
 
