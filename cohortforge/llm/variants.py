@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,11 +68,36 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 LEVELS = FINE           # the fine counts of the last groups follow from the coarse ones
 
 
-def group_counts(word: Column) -> Column:
+def group_counts(word: str) -> list[int]:
     """How many letters of each coarse group a word has, then of each fine group but those that follow from them."""
-    codes = F.transform(F.filter(F.split(word, ""), lambda c: c != ""), lambda c: F.ascii(c) % FINE)
-    return F.array(*[F.size(F.filter(codes, lambda g: g % COARSE == k)) for k in range(COARSE)],
-                   *[F.size(F.filter(codes, lambda g: g == k)) for k in range(FINE - COARSE)])
+    coarse, fine = [0] * COARSE, [0] * FINE
+    for c in map(ord, word):
+        coarse[c % COARSE] += 1
+        fine[c % FINE] += 1
+    return coarse + fine[:FINE - COARSE]
+
+
+def parities(word: str) -> tuple[int, int]:
+    """One bit per letter (code point modulo 61), and one per pair of neighbours, set if the word has it an odd number of times.
+
+    One edit turns at most two of the letters' bits and four of the pairs'.
+    """
+    letters = pairs = before = 0
+    for c in map(ord, word):
+        letters ^= 1 << c % 61
+        if before:
+            pairs ^= 1 << (before * 31 + c) % 61
+        before = c
+    return letters, pairs
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        words = b.column(0).to_pylist()
+        both = [parities(w) for w in words]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array([group_counts(w) for w in words], pa.list_(pa.int32())),
+                                          pa.array([x for x, _ in both], pa.int64()), pa.array([x for _, x in both], pa.int64())],
+                                         names=["word", "n", "vec", "letters", "pairs"])
 
 
 def _changes(depth: int) -> list[tuple[list[int], int, int]]:
@@ -97,16 +123,32 @@ def one_edit(a: str, b: str) -> bool:
     return True
 
 
-def _search(trie, rest: list[int], surplus: int, deficit: int, word: str) -> Iterator[tuple[str, int]]:
-    """The verified words of all leaves within the budget; the fine counts begin with a new one."""
-    levels, fine = len(rest), len(rest) - (LEVELS - COARSE)
+class Leaf:
+    """Words with equal counts."""
+
+    def __init__(self):
+        self.words, self.n, self.letters, self.pairs, self.arrays = [], [], [], [], None
+
+    def add(self, word: str, n: int, letters: int, pairs: int) -> None:
+        self.words.append(word)
+        self.n.append(n)
+        self.letters.append(letters)
+        self.pairs.append(pairs)
+
+    def packed(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.arrays is None:
+            self.arrays = np.array(self.letters), np.array(self.pairs)
+        return self.arrays
+
+
+def _leaves(trie, rest: list[int], surplus: int, deficit: int) -> list[Leaf]:
+    """Depth-first, all leaves within the budget; the fine counts begin with a new one."""
+    levels, fine, found = len(rest), len(rest) - (LEVELS - COARSE), []
     stack = [(trie, 0, surplus, deficit)]
     while stack:
         node, level, more, less = stack.pop()
         if level == levels:
-            for w, n in node:
-                if one_edit(word, w):
-                    yield w, n
+            found.append(node)
             continue
         if level == fine:
             more = less = 1
@@ -117,11 +159,33 @@ def _search(trie, rest: list[int], surplus: int, deficit: int, word: str) -> Ite
             stack.append((node[c + 1], level + 1, 0, less))
         if less and c - 1 in node:
             stack.append((node[c - 1], level + 1, more, 0))
+    return found
+
+
+def _verified(searching: Leaf, leaves: list[Leaf]) -> Iterator[tuple[str, int, str, int]]:
+    """(word, n, near, near_n): the pairs of a searching word and a leaf's word that are one edit apart."""
+    words, n = [w for x in leaves for w in x.words], [m for x in leaves for m in x.n]
+    letters, pairs = (np.concatenate(x) for x in zip(*(x.packed() for x in leaves)))
+    own_letters, own_pairs = searching.packed()
+    step = max(1, 1_000_000 // len(words))
+    for a in range(0, len(own_letters), step):
+        near = np.bitwise_count(own_letters[a:a + step, None] ^ letters) < 3
+        near &= np.bitwise_count(own_pairs[a:a + step, None] ^ pairs) < 5
+        for i, j in zip(*(x.tolist() for x in np.nonzero(near))):
+            if one_edit(searching.words[a + i], words[j]):
+                yield searching.words[a + i], searching.n[a + i], words[j], n[j]
+
+
+SEARCHED_AT_ONCE = 1024
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come cell by cell, a cell's words before its searches; pairs leave in both orders."""
-    cell, trie = None, None
+    """Rows come cell by cell, a cell's words before its searches, and words with equal counts side by side.
+
+    One search serves up to ``SEARCHED_AT_ONCE`` words with equal counts.  Pairs leave in both orders.
+    """
+    cell = trie = place = None
+    waiting = Leaf()
     out: list[tuple] = []
 
     def batch() -> pa.RecordBatch:
@@ -130,31 +194,43 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())],
                                           names=["word", "near", "near_n"])
 
+    def search() -> None:
+        own, surplus, deficit = map(int, place[1:4])
+        leaves = [x for x in _leaves(trie, [int(x) for x in place[4:].split(",") if x], surplus, deficit) if x.words]
+        if leaves:
+            for word, n, w, m in _verified(waiting, leaves):
+                if not own or w < word:         # within a node both words search
+                    out.extend([(word, w, m), (w, word, n)])
+
+    def add_to_trie(*row) -> None:
+        rest = place[4:].split(",") if place[4:] else []
+        at = trie
+        for level, c in enumerate(rest):
+            at = at.setdefault(int(c), {} if level + 1 < len(rest) else Leaf())
+        at.add(*row)
+
     for b in batches:
-        *columns, rests = b.columns
-        if not len(rests):
-            continue
-        rests = rests.flatten().to_numpy().reshape(len(rests), -1).tolist()     # of one length
-        for node, wb, qb, kind, word, n, own, surplus, deficit, rest in zip(*(c.to_pylist() for c in columns), rests):
-            if (node, wb, qb) != cell:
-                cell, trie = (node, wb, qb), ({} if rest else [])
-            if kind == 0:
-                at = trie
-                for level, c in enumerate(rest):
-                    at = at.setdefault(c, {} if level + 1 < len(rest) else [])
-                at.append((word, n))
-            elif trie:
-                for w, m in _search(trie, rest, surplus, deficit, word):
-                    if not own or w < word:         # within a node both words search
-                        out += [(word, w, m), (w, word, n)]
+        for here, spot, *row in zip(*(c.to_pylist() for c in b.columns)):
+            if waiting.words and (here != cell or spot != place or len(waiting.words) == SEARCHED_AT_ONCE):
+                search()
+                waiting = Leaf()
+            if here != cell:
+                cell, trie = here, ({} if spot[4:] else Leaf())
+            place = spot
+            if spot[0] == "0":
+                add_to_trie(*row)
+            else:
+                waiting.add(*row)
         if len(out) >= 10_000:
             yield batch()
+    if waiting.words:
+        search()
     yield batch()
 
 
 def near_pairs(words: DataFrame, node_words: int = NODE_WORDS, node_searches: int = NODE_SEARCHES) -> DataFrame:
     """(``word``, ``near``, ``near_n``) for every ordered pair of different words one edit apart; ``words``: distinct ``word`` with ``n``."""
-    words = frozen(words.select("word", "n", group_counts(F.col("word")).alias("vec")))
+    words = frozen(words.select("word", F.col("n").cast("long")).mapInArrow(_signed, "word string, n long, vec array<int>, letters long, pairs long"))
     leaves = frozen(words.groupBy("vec").agg(F.count(F.lit(1)).alias("c")))
     depth = 1
     while depth < LEVELS and (leaves.groupBy(F.slice("vec", 1, depth)).agg(F.sum("c").alias("c")).agg(F.max("c")).first()[0] or 0) > node_words:
@@ -168,16 +244,20 @@ def near_pairs(words: DataFrame, node_words: int = NODE_WORDS, node_searches: in
     visits = nodes.select("node", F.col("c").alias("w"), literal.alias("c")).select(moved, "w").groupBy("node").agg(F.sum("w").alias("q"))
     load = frozen(nodes.join(visits, "node").select("node", F.ceil(F.col("c") / node_words).cast("int").alias("w"),
                                                     F.ceil(F.col("q") / node_searches).cast("int").alias("q")))
-    own = F.xxhash64("word")
-    index = words.select(upper.alias("node"), "word", "n", rest).join(load, "node").select(
-        "node", F.pmod(own, F.col("w")).cast("int").alias("wb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"), F.lit(0).alias("kind"),
-        "word", "n", F.lit(0).alias("own"), F.lit(0).alias("surplus"), F.lit(0).alias("deficit"), "rest")
-    searches = words.select(upper.alias("node"), "word", "n", rest, literal.alias("c")).select(moved, "word", "n", "rest", "c.own", "c.surplus", "c.deficit")
+    own, signs = F.xxhash64("word"), ["word", "n", "letters", "pairs"]
+
+    def text(array: Column) -> Column:
+        return F.concat_ws(",", array.cast("array<string>"))
+
+    index = words.select(upper.alias("node"), rest, *signs).join(load, "node").select(
+        "node", F.pmod(own, F.col("w")).alias("wb"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qb"),
+        F.concat(F.lit("0000"), text(F.col("rest"))).alias("place"), *signs)
+    searches = words.select(upper.alias("node"), rest, *signs, literal.alias("c")).select(moved, "rest", "c", *signs)
     searches = searches.join(load, "node").select(
-        "node", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("wb"), F.pmod(own, F.col("q")).cast("int").alias("qb"), F.lit(1).alias("kind"),
-        "word", "n", "own", "surplus", "deficit", "rest")
-    cells = (index.unionByName(searches).withColumn("node", F.concat_ws(",", F.col("node").cast("array<string>")))
-             .repartition(partitions(words.sparkSession), "node", "wb", "qb").sortWithinPartitions("node", "wb", "qb", "kind"))
+        "node", F.explode(F.sequence(F.lit(0), F.col("w") - 1)).alias("wb"), F.pmod(own, F.col("q")).alias("qb"),
+        F.concat(F.lit("1"), F.col("c.own"), F.col("c.surplus"), F.col("c.deficit"), text(F.col("rest"))).alias("place"), *signs)
+    cells = index.unionByName(searches).select(F.concat_ws(" ", text(F.col("node")), F.col("wb").cast("string"), F.col("qb").cast("string")).alias("cell"), "place", *signs)
+    cells = cells.repartition(partitions(words.sparkSession), "cell").sortWithinPartitions("cell", "place")
     return cells.mapInArrow(_meet, "word string, near string, near_n long")
 
 
