@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align
 from .bestfit import best_fit
 from .exact_dedup import exact_dedup
 from .language import detect, held_out, train
@@ -108,3 +109,8 @@ def op10(spark, sf_dir):
 @query("op11_frequency_vector_trie")
 def op11(spark, sf_dir):
     return spelling_variants(word_counts(documents(spark, sf_dir)))
+
+
+@query("op12_incidence_alignment")
+def op12(spark, sf_dir):
+    return align(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest=True).withColumnRenamed("groups", "groups_sha256")
