@@ -34,22 +34,10 @@ from .sparse import Rows
 from .tokens import Encoder
 
 BLOCK_BYTES = 8 << 20
-CACHE = 200_000         # chunks kept in a worker; then the cache starts anew
+CACHE = 400_000         # chunks that a worker keeps from block to block
 KINDS = ("end", "overlap", "group")
 
 
-class Entry:
-    """The alignment of one chunk: token and group counts, its groups as text, and its links as id pairs with multiplicities."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "groups", "keys", "times")
-
-    def __init__(self, n_a, n_b, n_groups, groups, keys, times):
-        self.n_a, self.n_b, self.n_groups, self.groups, self.keys, self.times = n_a, n_b, n_groups, groups, keys, times
-
-
-NOTHING = Entry(0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-
 def spans_of(a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[tuple, np.ndarray, np.ndarray, np.ndarray]:
     """(overlap links, which of them end together, group of each A token, group of each B token) of sequences over the same bytes."""
     a, b = Rows.of_runs(a_sizes), Rows.of_runs(b_sizes)
@@ -77,21 +65,41 @@ class Aligner:
         self.b_bytes = [bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
                         for i in range(self.b.get_piece_size())]
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.cache: dict[str, Entry | None] = {}        # None: can't stand by itself
+        self.clear()
+
+    def clear(self) -> None:
+        """No chunk is known.  Entry i: ``stats[i]`` (tokens of A and B, groups, links), ``groups[i]``, its links from ``starts[i]`` on."""
+        self.index: dict[str, int] = {}         # a chunk's entry; -1: it can't stand by itself
+        self.groups: list[str] = []
+        self._stats, self._keys, self._times = [np.zeros((0, 5), np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
 
-    def align(self, chunks: list[str]) -> list[Entry | None]:
-        """The entries of chunks, each a space and a text; None where either tokens' bytes are not the chunk's."""
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(``stats``, ``starts``, link keys, their multiplicities) of all entries."""
+        self._stats, self._keys, self._times = ([np.concatenate(x)] if len(x) > 1 else x for x in (self._stats, self._keys, self._times))
+        stats = self._stats[0]
+        return stats[:, :4], np.concatenate([[0], np.cumsum(stats[:, 4])]).astype(np.int64), self._keys[0], self._times[0]
+
+    def _tokens(self, ids: np.ndarray, table: list[bytes]) -> bytes:
+        return b"".join(map(table.__getitem__, ids.tolist()))
+
+    def add(self, chunks: list[str]) -> list[int]:
+        """The entries of chunks, each a space and a text; -1 where either tokens' bytes are not the chunk's."""
         if not chunks:
             return []
-        a_ids = [np.frombuffer(x, "<u4") for x in (self.a._encode(chunks) if not self.a.taken else self.a.ids(chunks))]
-        b_ids = [np.array(x, np.int64) for x in self.b.encode([c[1:] for c in chunks], num_threads=1)]
-        out: list[Entry | None] = [None] * len(chunks)
-        good = [i for i, c in enumerate(chunks) if len(a_ids[i]) and len(b_ids[i])
-                and b"".join(map(self.a_bytes.__getitem__, a_ids[i].tolist())) == c.encode() == b"".join(map(self.b_bytes.__getitem__, b_ids[i].tolist()))]
-        if not good:
-            return out
-        a, b = np.concatenate([a_ids[i] for i in good]).astype(np.int64), np.concatenate([b_ids[i] for i in good])
-        a_from, b_from = (np.concatenate([[0], np.cumsum([len(x[i]) for i in good])]) for x in (a_ids, b_ids))
+        a_ids = self.a._encode(chunks) if not self.a.taken else self.a.ids(chunks)
+        b_ids = self.b.encode([c[1:] for c in chunks], num_threads=1)
+        a, b = np.frombuffer(b"".join(a_ids), "<u4").astype(np.int64), np.array([x for ids in b_ids for x in ids], np.int64)
+        a_from, b_from = (np.concatenate([[0], np.cumsum(x)]).astype(np.int64) for x in ([len(x) // 4 for x in a_ids], list(map(len, b_ids))))
+        raw = [c.encode() for c in chunks]
+        ends = np.cumsum(list(map(len, raw)))
+        a_end, b_end = (np.concatenate([[0], np.cumsum(size[x])])[f[1:]] for size, x, f in ((self.a_size, a, a_from), (self.b_size, b, b_from)))
+        if not (np.array_equal(a_end, ends) and np.array_equal(b_end, ends) and self._tokens(a, self.a_bytes) == b"".join(raw) == self._tokens(b, self.b_bytes)):
+            good = [i for i, c in enumerate(raw) if self._tokens(a[a_from[i]:a_from[i + 1]], self.a_bytes) == c == self._tokens(b[b_from[i]:b_from[i + 1]], self.b_bytes)]
+            if len(good) < len(chunks):
+                out = [-1] * len(chunks)
+                for i, e in zip(good, self.add([chunks[i] for i in good])):
+                    out[i] = e
+                return out
         links, together, a_group, b_group = spans_of(self.a_size[a], self.b_size[b])
         rows, columns = links[0], links[1]
         if self.kind == "end":
@@ -100,48 +108,41 @@ class Aligner:
             n = int(a_group[-1]) + 1
             rows, columns, _ = Rows.of_members(a_group, n).product(Rows.of_members(b_group, n).transposed())
         chunk = np.searchsorted(a_from, rows, "right") - 1
-        order = np.lexsort((keys := a[rows] << 32 | b[columns], chunk))
+        keys = a[rows] << 32 | b[columns]
+        order = np.lexsort((keys, chunk))
         keys, chunk = keys[order], chunk[order]
         first = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (chunk[1:] != chunk[:-1])]))
-        times = np.diff(np.concatenate([first, [len(keys)]]))
-        keys, link_from = keys[first], np.searchsorted(chunk[first], np.arange(len(good) + 1))
         # the groups as text, group by group
-        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
         a_cut, b_cut = (np.concatenate([np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]])), [len(g)]]).tolist() for g in (a_group, b_group))
-        groups = [f"{','.join(names_a[p:q])}|{','.join(names_b[r:s])}" for p, q, r, s in zip(a_cut, a_cut[1:], b_cut, b_cut[1:])]
-        group_from = np.concatenate([a_group[a_from[:-1]], [len(groups)]]).tolist()
-        for k, i in enumerate(good):
-            lo, hi = link_from[k], link_from[k + 1]
-            out[i] = Entry(len(a_ids[i]), len(b_ids[i]), group_from[k + 1] - group_from[k], ";".join(groups[group_from[k]:group_from[k + 1]]), keys[lo:hi], times[lo:hi])
-        return out
+        names_a, names_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        groups = [f"{names_a[p] if q - p == 1 else ','.join(names_a[p:q])}|{names_b[r] if t - r == 1 else ','.join(names_b[r:t])}"
+                  for p, q, r, t in zip(a_cut, a_cut[1:], b_cut, b_cut[1:])]
+        group_from = np.concatenate([a_group[a_from[:-1]], [len(groups)]])
+        start = len(self.groups)
+        cuts = group_from.tolist()
+        self.groups += [";".join(groups[p:q]) for p, q in zip(cuts, cuts[1:])]
+        n = len(chunks)
+        self._stats.append(np.stack([np.diff(a_from), np.diff(b_from), np.diff(group_from), np.bincount(chunk, minlength=n), np.bincount(chunk[first], minlength=n)], axis=1))
+        self._keys.append(keys[first])
+        self._times.append(np.diff(np.concatenate([first, [len(keys)]])))
+        return list(range(start, start + n))
 
     def learn(self, chunks: set[str]) -> None:
-        if len(self.cache) + len(chunks) > CACHE:
-            self.cache.clear()
-        alone = [c for c in chunks if (body := c.lstrip(" ")) and not body[0].isspace() and not body[-1].isspace() and (len(c) == len(body) + 1)]
-        self.cache.update(dict.fromkeys(chunks))
-        self.cache.update(zip(alone, self.align(alone)))
-
-    def split(self, texts: list[str]) -> list[list[tuple[str, Entry]]]:
-        """For each text its chunks with their entries; a text without tokens has none."""
+        alone = [c for c in chunks if c[1:2] and not c[1].isspace() and not c[-1].isspace()]
+        self.index.update(dict.fromkeys(chunks, -1))
+        self.index.update(zip(alone, self.add(alone)))
+
+    def entries(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text the entries of its chunks; a text without tokens has none."""
         chunks = [(" " + t).replace(" ", "\0 ").split("\0")[1:] if t and "\0" not in t and not any(x in t for x in self.a.taken) else None for t in texts]
-        missing = set().union(*(c for c in chunks if c)) - self.cache.keys()
-        if len(self.cache) + len(missing) > CACHE:
-            missing = set().union(*(c for c in chunks if c))
+        missing = set().union(*(c for c in chunks if c)) - self.index.keys()
         if missing:
             self.learn(missing)
-        out, whole = [], []
-        for i, (t, some) in enumerate(zip(texts, chunks)):
-            found = list(map(self.cache.__getitem__, some)) if some else [None]
-            if None in found:
-                out.append([])
-                if t:
-                    whole.append(i)
-            else:
-                out.append(list(zip(some, found)))
-        for i, entry in zip(whole, self.align([" " + texts[i] for i in whole])):
-            if entry:
-                out[i] = [("\0" + texts[i], entry)]
+        number = self.index.__getitem__
+        out = [np.fromiter(map(number, c), np.int64, len(c)) if c else np.zeros(0, np.int64) for c in chunks]
+        whole = [i for i, (t, e) in enumerate(zip(texts, out)) if t and (not len(e) or e.min() < 0)]
+        for i, e in zip(whole, self.add([" " + texts[i] for i in whole])):
+            out[i] = np.array([e] if e >= 0 else [], np.int64)
         return out
 
 
@@ -155,47 +156,48 @@ def aligner(path_a: str, path_b: str, kind: str) -> Aligner:
 
 
 # Rows of the table in between.  kind 0: one of the block's id pairs, with its place among them and how many links
-# hold it there; kind 1: the links of the block's distinct chunks; kind 2: a document, with its distinct chunks.
+# hold it there; kind 1: the block's entries and their links; kind 2: a document, with its distinct entries.
 _TABLE = ("block long, kind int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
-          "at binary, times binary, starts binary, pos int, key long, n long")
+          "at binary, times binary, starts binary, place binary, pos int, key long, n long")
 
 
 class _Block:
-    def __init__(self, number: int):
-        self.number, self.index, self.entries, self.uses = number, {}, [], []
-
-    def place(self, chunk: str, entry: Entry) -> int:
-        found = self.index.get(chunk)
-        if found is None:
-            found = self.index[chunk] = len(self.entries)
-            self.entries.append(entry)
-            self.uses.append(0)
-        return found
-
-    def document(self, doc_id, parts: list[tuple[str, Entry]], digest: bool) -> dict:
-        at, times = np.unique(np.array([self.place(c, e) for c, e in parts], np.int32), return_counts=True)
-        totals = [0] * 4
-        for i, n in zip(at.tolist(), times.tolist()):
-            e = self.entries[i]
-            self.uses[i] += n
-            for k, x in enumerate((e.n_a, e.n_b, e.n_groups, int(e.times.sum()))):
-                totals[k] += n * x
-        groups = ";".join([e.groups for _, e in parts])
-        if digest and groups:
-            groups = hashlib.sha256(groups.encode()).hexdigest()
-        return dict(block=self.number, kind=2, doc_id=doc_id, n_a=totals[0], n_b=totals[1], n_groups=totals[2], n_links=totals[3],
-                    groups=groups, at=at.tobytes(), times=times.astype(np.int32).tobytes())
+    """Documents whose entries are numbered alike."""
+
+    def __init__(self, number: int, both: Aligner):
+        self.number, self.both, self.uses = number, both, []
+        if len(both.index) > CACHE:
+            both.clear()
+
+    def documents(self, ids: list, texts: list[str], digest: bool) -> pa.RecordBatch:
+        entries = self.both.entries(texts)
+        stats, name = self.both.tables()[0], self.both.groups.__getitem__
+        rows = []
+        for doc_id, found in zip(ids, entries):
+            at, times = np.unique(found, return_counts=True)
+            self.uses.append((at, times))
+            total = (times @ stats[at]).tolist()
+            groups = ";".join(map(name, found.tolist()))
+            if digest and groups:
+                groups = hashlib.sha256(groups.encode()).hexdigest()
+            rows.append(dict(block=self.number, kind=2, doc_id=doc_id, n_a=total[0], n_b=total[1], n_groups=total[2], n_links=total[3],
+                             groups=groups, at=at.astype(np.int32).tobytes(), times=times.astype(np.int32).tobytes()))
+        return _batch(rows)
 
     def rows(self) -> list[pa.RecordBatch]:
-        keys = np.concatenate([e.keys for e in self.entries] or [NOTHING.keys])
-        times = np.concatenate([e.times for e in self.entries] or [NOTHING.times])
-        sizes = np.array([len(e.keys) for e in self.entries], np.int64)
-        uses = np.repeat(np.array(self.uses, np.int64), sizes)
-        distinct, place = np.unique(keys, return_inverse=True)
+        stats, starts, keys, times = self.both.tables()
+        uses = np.zeros(len(stats), np.int64)
+        for at, n in self.uses:
+            uses[at] += n
+        used = np.flatnonzero(uses)
+        sizes = starts[used + 1] - starts[used]
+        own = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+        here = np.arange(own[-1]) + np.repeat(starts[used] - own[:-1], sizes)
+        distinct, place = np.unique(keys[here], return_inverse=True)
         n = np.zeros(len(distinct), np.int64)
-        np.add.at(n, place, times * uses)
-        starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        return [_batch([dict(block=self.number, kind=1, at=place.astype(np.int32).tobytes(), times=times.astype(np.int32).tobytes(), starts=starts.tobytes())]),
+        np.add.at(n, place, times[here] * np.repeat(uses[used], sizes))
+        return [_batch([dict(block=self.number, kind=1, at=used.astype(np.int32).tobytes(), times=times[here].astype(np.int32).tobytes(),
+                             starts=own.tobytes(), place=place.astype(np.int32).tobytes())]),
                 _columns(len(distinct), block=np.full(len(distinct), self.number), kind=np.zeros(len(distinct), np.int32),
                          pos=np.arange(len(distinct), dtype=np.int32), key=distinct, n=n)]
 
@@ -214,7 +216,7 @@ def _columns(rows: int, **given: np.ndarray) -> pa.RecordBatch:
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with ``n_best`` and ``count_sum``; of a block, the pairs come first (kind 0), then the chunks (1), then the documents (2)."""
-    block, best, total = None, None, None
+    block, used, best, total = None, None, None, None
     pairs: list[tuple] = []
     for b in batches:
         found = []
@@ -229,12 +231,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 table = np.zeros((2, len(pairs)), np.int64)
                 for pos, count, top in pairs:
                     table[:, pos] = count, top
-                place, times, starts = (np.frombuffer(r[c], t) for c, t in (("at", np.int32), ("times", np.int32), ("starts", np.int64)))
+                used, place, times, starts = (np.frombuffer(r[c], t) for c, t in (("at", np.int32), ("place", np.int32), ("times", np.int32), ("starts", np.int64)))
                 sums = np.zeros((2, len(place) + 1), np.int64)
                 np.cumsum(table[:, place] * times, axis=1, out=sums[:, 1:])
                 total, best = sums[:, starts[1:]] - sums[:, starts[:-1]]
             else:
-                at, times = np.frombuffer(r["at"], np.int32), np.frombuffer(r["times"], np.int32).astype(np.int64)
+                at, times = np.searchsorted(used, np.frombuffer(r["at"], np.int32)), np.frombuffer(r["times"], np.int32).astype(np.int64)
                 found.append([r[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")] + [int((best[at] * times).sum()), int((total[at] * times).sum()), r["groups"]])
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string() if k == 7 else pa.int64()) for k, c in enumerate(zip(*found))],
@@ -244,17 +246,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _table(docs: DataFrame, path_a: str, path_b: str, kind: str, digest: bool, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(path_a, path_b, kind)
-        number = TaskContext.get().partitionId() << 32
-        block, size = _Block(number), 0
+        block, size = _Block(TaskContext.get().partitionId() << 32, both), 0
         for batch in batches:
             offsets = utf8(batch.column(1))[1]
             for a, b in steps(offsets):
                 ids, texts = batch.column(0).slice(a, b - a).to_pylist(), batch.column(1).slice(a, b - a).to_pylist()
-                yield _batch([block.document(i, parts, digest) for i, parts in zip(ids, both.split([t or "" for t in texts]))])
+                yield block.documents(ids, [t or "" for t in texts], digest)
                 size += int(offsets[b] - offsets[a])
                 if size >= BLOCK_BYTES:
                     yield from block.rows()
-                    block, size = _Block(block.number + 1), 0
+                    block, size = _Block(block.number + 1, both), 0
         yield from block.rows()
 
     return written(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text")).mapInArrow(run, _TABLE))
@@ -294,7 +295,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, kind: str = "end", digest:
     """
     table = _table(docs, path_a, path_b, kind, digest, id_col, text_col)
     pairs = table.where("kind = 0").select("block", "kind", "pos", "key").join(_counts(table), "key").drop("key")
-    rest = table.where("kind > 0").select("block", "kind", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "at", "times", "starts")
+    rest = table.where("kind > 0").select("block", "kind", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "at", "times", "starts", "place")
     rows = pairs.unionByName(rest, allowMissingColumns=True)
     rows = rows.repartition(partitions(docs.sparkSession), "block").sortWithinPartitions("block", "kind")
     return rows.mapInArrow(_counted, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
