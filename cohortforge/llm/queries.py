@@ -17,6 +17,7 @@ from .quality import quality
 from .secret_scan import findings
 from .sharding import shard
 from .spm import encode
+from .substrings import drop_copied_passages
 from .token_output import packed_ids
 from .variants import spelling_variants, word_counts
 
@@ -114,3 +115,8 @@ def op11(spark, sf_dir):
 @query("op12_incidence_alignment")
 def op12(spark, sf_dir):
     return align(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_suffix_automata_dedup")
+def op13(spark, sf_dir):
+    return drop_copied_passages(documents(spark, sf_dir), digest=True).select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
