@@ -111,7 +111,7 @@ def _by_block(least: int, digest: bool):
                     if seg is None or place < least_place:      # documents come in the order of their ids; rows of one id in any
                         seg, made = made, made + 1
                         known[content] = seg, place
-                        out.append(dict(block=block, kind=1, doc=NO_ID if doc is None else doc, seg=seg, at=p - int(first[r]), anchor=x, content=content, words=raw))
+                        out.append(dict(block=block, kind=1, doc=NO_ID if doc is None else doc, seg=seg, at=p - int(first[r]), anchor=x, content=content, words=raw, n_words=m + least - 1))
                     segs[r].append((seg, p - int(first[r]), m))
             for (doc, text, _), some, n in zip(step, segs, np.diff(first).tolist()):
                 if some:
@@ -206,14 +206,17 @@ def _sharded(least: int):
         def work() -> pa.RecordBatch:
             reference = Automaton()
             split = [(content, doc, at, raw.split()) for content, (doc, at, raw) in found.items()]
-            for _, doc, at, some in split:
+            n = 0               # words are numbered as they come, that is in the order of their places
+            for *_, some in split:
                 reference.begin()
-                for k, word in enumerate(some):
-                    reference.extend(word, (doc, at + k))
-            masks = []
-            for _, doc, at, some in split:
+                for word in some:
+                    reference.extend(word, n)
+                    n += 1
+            masks, n = [], 0
+            for *_, some in split:
                 ends = list(reference.statistics(some, least))[least - 1:]
-                masks.append(bytes(e < (doc, at + least - 1 + k) for k, e in enumerate(ends)))
+                masks.append(bytes(e < k for k, e in enumerate(ends, n + least - 1)))
+                n += len(some)
             return pa.RecordBatch.from_arrays([pa.array([x[0] for x in split], pa.binary()), pa.array([x[1] for x in split], pa.int64()),
                                                pa.array([x[2] for x in split], pa.int64()), pa.array(masks, pa.binary())], names=["content", "doc", "at", "mask"])
 
@@ -253,7 +256,7 @@ def _first_places(found: DataFrame, least: int, shard_words: int, anchor_segment
     """(``content``, ``doc``, ``at``, ``mask``) of each distinct segment: its first place, and which of its windows occur before that."""
     rows = found.where("kind = 1").select("anchor", "content", "doc", "at", "words")
     loads = frozen(rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > anchor_segments).select("anchor"))
-    total = rows.agg(F.sum(F.size(F.split(F.col("words").cast("string"), " ")))).first()[0] or 0
+    total = found.where("kind = 1").agg(F.sum("n_words")).first()[0] or 0
     shards = max(1, -(-total // shard_words))
     many = F.broadcast(loads) if loads.count() <= BROADCAST_KEYS else loads
     cold = rows.join(many, "anchor", "left_anti").select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "content", "doc", "at", "words")
