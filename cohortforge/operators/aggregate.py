@@ -16,6 +16,7 @@ Group rules (those of the source tables' engine):
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,12 +127,16 @@ def latest_struct(order_col, value_cols: Sequence[str], tiebreak: Sequence[str])
 
 
 def latest_by(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str],
-              tiebreak: Sequence[str] | None = None) -> DataFrame:
+              tiebreak: Sequence[str] | None = None, row_id: str | None = None) -> DataFrame:
     """One row per key: the row with the latest ``order_col`` (top-1 per group).
 
-    Built as a ``max_by`` aggregate, so it is partially aggregated on the map
-    side and never sorts a whole group.
+    With a ``row_id`` (see ``latest_rows``) hash aggregates and a join back.
+    Without one, ties need a total order over the ``tiebreak`` columns, which
+    takes a ``max_by`` aggregate over structs: partially aggregated on the map
+    side, but by sorting.
     """
+    if row_id is not None:
+        return latest_rows(df, key, order_col, value_cols, row_id)
     if tiebreak is None:
         tiebreak = [c for c in df.columns if c not in (key, order_col)]
     return (df.filter(F.col(key).isNotNull() & F.col(order_col).isNotNull())
@@ -140,6 +145,45 @@ def latest_by(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str]
               .select(key, *[F.col(f"_latest.{v}").alias(v) for v in value_cols]))
 
 
+_INTEGRAL = ("byte", "short", "integer", "long")
+
+
+def packed_order(order_col: str, row_id: str) -> Column:
+    """An integral order column and an integral row id in one decimal that sorts like the pair: ``max`` of it has a fixed-width buffer."""
+    half = F.lit(Decimal(1 << 63))
+    low = F.coalesce(F.col(row_id).cast("decimal(20,0)"), -half) + half
+    return (F.col(order_col).cast("decimal(18,0)") * F.lit(Decimal(1 << 64))).cast("decimal(38,0)") + low
+
+
+def is_integral(df: DataFrame, *cols: str) -> bool:
+    return all(df.schema[c].dataType.typeName() in _INTEGRAL for c in cols)
+
+
+def latest_rows(df: DataFrame, key: str, order_col: str, value_cols: Sequence[str], row_id: str) -> DataFrame:
+    """One row per key: the row with the latest ``order_col`` and, among those, the largest ``row_id``.
+
+    ``row_id`` must tell the rows of a key with one order value apart (a place
+    in file order does, negated for "first").  Hash aggregates over fixed-width
+    buffers find the winners, and a join back reads their values, so that no
+    text is aggregated or sorted.  Integral columns take one aggregate over
+    both in one decimal; others take one for the order column and one over
+    what it leaves.  Rows without a key or an order value are skipped; a
+    missing row id comes last.
+    """
+    wanted = list(dict.fromkeys(value_cols))
+    rows = df.filter(F.col(key).isNotNull() & F.col(order_col).isNotNull())
+    if is_integral(df, order_col, row_id):
+        rows = rows.select(F.col(key), packed_order(order_col, row_id).alias("__o"), *[F.col(c).alias(f"__v_{c}") for c in wanted])
+        steps = ["__o"]
+    else:
+        rows = rows.select(F.col(key), F.col(order_col).alias("__o"), F.col(row_id).alias("__i"), *[F.col(c).alias(f"__v_{c}") for c in wanted])
+        steps = ["__o", "__i"]
+    for c in steps:
+        best = rows.groupBy(key).agg(F.max(c).alias("__best")).withColumnRenamed(key, "__k")
+        rows = rows.join(best, (F.col(key) == F.col("__k")) & F.col(c).eqNullSafe(F.col("__best")), "inner").drop("__k", "__best")
+    return rows.select(key, *[F.col(f"__v_{c}").alias(c) for c in value_cols])
+
+
 def group_by_key(df: DataFrame, key: str, exprs: Sequence[Column]) -> DataFrame:
     """``groupBy(key).agg(exprs)`` over rows whose key is present."""
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*exprs)

@@ -179,22 +179,23 @@ def load_codes(spark: SparkSession, path: str) -> DataFrame:
 def mode_codes(df: DataFrame, key: str, cols: Sequence[str], missing: str = NULL_TOKEN) -> DataFrame:
     """Per key, the sorted code of the modal category of each column, as text.
 
-    Missing is the category ``missing``; ties go to the lowest code.  The
-    mode is taken over the category text (codes keep text order, so the
-    lowest text is the lowest code) and mapped to codes after the
-    aggregation, on one row per key.
+    Missing is the category ``missing``; ties go to the lowest code.  Rows are
+    counted per (key, column, value), the codes come from the values of those
+    counts, and the mode is the ``max`` of count and mirrored code in one
+    long: hash aggregates with fixed-width buffers throughout.  A value that
+    a third of all rows hold is combined before each shuffle, and the code
+    table is joined to the counts, not to the rows.
     """
-    from cohortforge.operators.aggregate import mode_value
     cols = list(cols)
-    agg = (df.filter(F.col(key).isNotNull()).groupBy(key)
-             .agg(*[mode_value(F.coalesce(F.col(c), F.lit(missing))).alias(c) for c in cols]))
-    table = shared(code_table(df, cols, missing))
-    for c in cols:
-        codes = table.filter(F.col("column") == c).select(
-            F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))
-        agg = (agg.join(codes, F.col(c) == F.col("__mv"), "left")
-                  .withColumn(c, F.col("__mc")).drop("__mv", "__mc"))
-    return agg.select(key, *cols)
+    pairs = F.array(*[F.struct(F.lit(i).alias("__c"), category_value(c, missing).cast("string").alias("__v")) for i, c in enumerate(cols)])
+    counts = df.select(F.col(key), F.inline(pairs)).groupBy(key, "__c", "__v").agg(F.count(F.lit(1)).alias("__n"))
+    table = shared(ordered_position(shared(counts.select("__c", "__v").distinct()), ["__c"], ["__v"], "__code"))
+    mask = (1 << 31) - 1
+    table = table.select(F.col("__c").alias("__tc"), F.col("__v").alias("__tv"), (F.lit(mask) - F.col("__code")).alias("__m"))
+    joined = counts.filter(F.col(key).isNotNull()).join(table, (F.col("__c") == F.col("__tc")) & (F.col("__v") == F.col("__tv")))
+    packed = F.col("__n") * (mask + 1) + F.col("__m")
+    best = joined.groupBy(key).agg(*[F.max(F.when(F.col("__c") == i, packed)).alias(c) for i, c in enumerate(cols)])
+    return best.select(key, *[(F.lit(mask) - F.col(c) % (mask + 1)).cast("string").alias(c) for c in cols])
 
 
 def one_hot_label(label: str, n_classes: int = 2) -> Column:

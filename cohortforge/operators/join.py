@@ -9,6 +9,7 @@ right column gets the suffix only when the name already exists on the left.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,6 +72,17 @@ def release() -> None:
         _kept.pop().unpersist()
 
 
+@contextmanager
+def kept_tables():
+    """Frees, at its end, the tables that ``shared`` has kept since its start."""
+    before = len(_kept)
+    try:
+        yield
+    finally:
+        while len(_kept) > before:
+            _kept.pop().unpersist()
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, value: str, out: str,
            table_key: str | None = None) -> DataFrame:
     """Map ``df[key]`` through a (key -> value) table; unknown keys give NULL."""

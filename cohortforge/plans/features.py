@@ -1,19 +1,22 @@
 """The wide feature table: application rows enriched from every history table.
 
-Plan shape (one shuffle per history table, one per application side):
+Plan shape (one wide aggregate per history table, by its key):
 
     app  --derived columns-->  app'
-    prev      --groupBy(key)--> totals + means + modal categories
-    card      --groupBy(key)--> weighted means + mean/sum block + latest categories + count
+    prev      --groupBy(key)--> totals + means;  counts per (key, value) --> modal categories
+    card      --groupBy(key)--> weighted means + mean/sum block + latest order + count, latest row's categories joined back
     bureau    --groupBy(key)--> means + std block + count  --join latest balance row on mean id-->
-    pos       --groupBy(key)--> weighted means + latest categories + count
+    pos       --groupBy(key)--> weighted means + latest order + count, latest row's categories joined back
     instal    --groupBy(key)--> means + std block + count
     app' LEFT JOIN each aggregate ON key
 
-Each history table is read once and reduced with a single ``groupBy`` that
-holds all of its blocks; the aggregates are hash-partitioned on the key, so
-the left joins add no further exchange for them.  Column names follow the
-merge order of the source job (suffix on clash), tracked by ``MergeNames``.
+All buffers are of fixed width (hash aggregates) where a table names a row id
+(``FeatureConfig.*_row_id``); a table without one orders equal months by all
+its columns, which sorts.  Histories with latest or modal categories are read
+a second time, with the columns for these alone; balance rows are reduced for
+the mean ids alone.  The aggregates are hash-partitioned on the key, so the
+left joins add no further exchange for them.  Column names follow the merge
+order of the source job (suffix on clash), tracked by ``MergeNames``.
 """
 
 from __future__ import annotations
@@ -26,11 +29,11 @@ from pyspark.sql import functions as F
 from cohortforge.functions.rowwise import row_mean, row_sum, with_row_kurtosis, with_row_std
 from cohortforge.functions.semantics import ratio
 from cohortforge.operators.aggregate import (
-    AGGREGATES, agg_name, group_median, latest_struct, mode_value, numeric_columns,
-    string_columns, weighted_mean,
+    AGGREGATES, agg_name, group_median, is_integral, latest_by, latest_struct, numeric_columns,
+    packed_order, string_columns, weighted_mean,
 )
-from cohortforge.operators.encode import NULL_TOKEN, code_table
-from cohortforge.operators.join import lookup, shared
+from cohortforge.operators.encode import mode_codes
+from cohortforge.operators.join import lookup
 from cohortforge.plans.naming import MergeNames
 
 # ---------------------------------------------------------------------------
@@ -108,6 +111,10 @@ class FeatureConfig:
     bb_month: str = "MONTHS_BALANCE"
     pos_key: str = "SK_ID_CURR"
     pos_month: str = "MONTHS_BALANCE"
+    # integral columns that tell rows of one key and month apart (None: a total order over all columns, by sorting)
+    cc_row_id: str | None = None
+    bb_row_id: str | None = None
+    pos_row_id: str | None = None
     pos_wm: list = field(default_factory=lambda: list(REFERENCE_POS_WM))
     ins_key: str = "SK_ID_CURR"
     ins_std: list = field(default_factory=lambda: list(REFERENCE_INS_STD))
@@ -189,18 +196,10 @@ def _rekey(df: DataFrame, child_key: str, key: str) -> DataFrame:
     return df if child_key == key else df.withColumnRenamed(child_key, key)
 
 
-def _mode_codes(agg: DataFrame, child: DataFrame, cats: list[str], temps: list[str],
-                cfg: FeatureConfig) -> DataFrame:
-    """Map modal category texts to their sorted codes, as text."""
-    if not cats:
-        return agg
-    small = shared(code_table(child, cats, NULL_TOKEN))
-    for c, t in zip(cats, temps):
-        codes = small.filter(F.col("column") == c).select(
-            F.col("value").alias("__mv"), F.col("code").cast("string").alias("__mc"))
-        agg = (agg.join(codes, F.col(t) == F.col("__mv"), "left")
-                  .withColumn(t, F.col("__mc")).drop("__mv", "__mc"))
-    return agg
+def _with_latest(agg: DataFrame, child: DataFrame, key: str, month: str, cats: list[str], row_id: str, packed: str, prefix: str) -> DataFrame:
+    """The latest row's categories by the packed order that the aggregate has found."""
+    rows = child.select(F.col(key).alias("__lk"), packed_order(month, row_id).alias("__lo"), *[F.col(x).alias(f"{prefix}{x}") for x in cats])
+    return agg.join(rows, (F.col(key) == F.col("__lk")) & (F.col(packed) == F.col("__lo")), "left").drop("__lk", "__lo", packed)
 
 
 def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: DataFrame,
@@ -219,10 +218,11 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
     pb.part([(n, AGGREGATES[fn](F.col(c))) for n, c, fn in cfg.prev_totals], None)
     pb.part([(c, AGGREGATES["mean"](F.col(c))) for c in numeric_columns(p, [k])], sx["prev_mean"])
     p_cats = string_columns(p, [k])
-    pb.part([(c, mode_value(F.coalesce(F.col(c), F.lit(NULL_TOKEN)))) for c in p_cats],
-            sx["prev_mode"])
     p_agg = p.filter(F.col(k).isNotNull()).groupBy(k).agg(*pb.exprs)
-    p_agg = _mode_codes(p_agg, p, p_cats, pb.parts[2][0], cfg)
+    pb.parts.append(([f"__pm_{c}" for c in p_cats], p_cats, sx["prev_mode"]))
+    if p_cats:
+        modes = mode_codes(p, k, p_cats)
+        p_agg = p_agg.join(modes.select(F.col(k).alias("__mk"), *[F.col(c).alias(f"__pm_{c}") for c in p_cats]), F.col(k) == F.col("__mk"), "left").drop("__mk")
     aggs.append((p_agg, pb.parts))
 
     # card balance: weighted means, mean/sum block, latest categories, count
@@ -234,13 +234,15 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
              for x in cfg.cc_mean_sum for a in ("mean", "sum")], None)
     c_cats = string_columns(c, [k])
     c_tie = [x for x in c.columns if x not in (k, cfg.cc_month)]
+    c_packed = cfg.cc_row_id is not None and is_integral(c, cfg.cc_month, cfg.cc_row_id)
     if c_cats:
-        cb.part([("__latest", latest_struct(cfg.cc_month, c_cats, c_tie))], None)
+        cb.part([("__latest", F.max(packed_order(cfg.cc_month, cfg.cc_row_id)) if c_packed
+                  else latest_struct(cfg.cc_month, c_cats, c_tie))], None)
     cb.part([(k, F.count(F.lit(1)))], sx["cnt_cc"])
     c_agg = c.filter(F.col(k).isNotNull()).groupBy(k).agg(*cb.exprs)
     if c_cats:
         latest_t = cb.parts[2][0][0]
-        c_agg = c_agg.select("*", *[F.col(f"{latest_t}.{x}").alias(f"__cl_{x}") for x in c_cats]
+        c_agg = _with_latest(c_agg, c, k, cfg.cc_month, c_cats, cfg.cc_row_id, latest_t, "__cl_") if c_packed else c_agg.select("*", *[F.col(f"{latest_t}.{x}").alias(f"__cl_{x}") for x in c_cats]
                              ).drop(latest_t)
         cb.parts[2] = ([f"__cl_{x}" for x in c_cats], c_cats, sx["cc_latest"])
     aggs.append((c_agg, cb.parts))
@@ -256,12 +258,13 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
     b_agg = b.filter(F.col(k).isNotNull()).groupBy(k).agg(*bbk.exprs)
     mean_id_temp = bbk.parts[0][0][b_num.index(cfg.bureau_id)]
     bb_cols = [x for x in bb.columns if x != cfg.bb_id]
-    latest_bb = (bb.filter(F.col(cfg.bb_id).isNotNull() & F.col(cfg.bb_month).isNotNull())
-                   .groupBy(cfg.bb_id)
-                   .agg(latest_struct(cfg.bb_month, bb_cols, bb_cols).alias("__lb"))
+    # only balance rows of ids that are some customer's mean id are reduced
+    mean_ids = b_agg.select(F.col(mean_id_temp).alias("__m")).filter("__m = floor(__m)").select(F.col("__m").cast("long").alias("__id")).distinct()
+    wanted = bb.join(mean_ids, F.col(cfg.bb_id) == F.col("__id"), "left_semi")
+    latest_bb = (latest_by(wanted, cfg.bb_id, cfg.bb_month, bb_cols, bb_cols, cfg.bb_row_id)
                    .select(F.col(cfg.bb_id).cast("double").alias("__bbk"),
                            F.col(cfg.bb_id).alias("__bbid"),
-                           *[F.col(f"__lb.{x}").alias(f"__bl_{x}") for x in bb_cols]))
+                           *[F.col(x).alias(f"__bl_{x}") for x in bb_cols]))
     b_agg = b_agg.join(latest_bb, F.col(mean_id_temp) == F.col("__bbk"), "left").drop("__bbk")
     aggs.append((b_agg, bbk.parts))
     bb_part = (["__bbid"] + [f"__bl_{x}" for x in bb_cols], [cfg.bb_id] + bb_cols, sx["bb_latest"])
@@ -272,13 +275,15 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
     qb.part([(x, weighted_mean(x, cfg.pos_month)) for x in cfg.pos_wm], sx["pos_wm"])
     q_cats = string_columns(q, [k])
     q_tie = [x for x in q.columns if x not in (k, cfg.pos_month)]
+    q_packed = cfg.pos_row_id is not None and is_integral(q, cfg.pos_month, cfg.pos_row_id)
     if q_cats:
-        qb.part([("__latest", latest_struct(cfg.pos_month, q_cats, q_tie))], None)
+        qb.part([("__latest", F.max(packed_order(cfg.pos_month, cfg.pos_row_id)) if q_packed
+                  else latest_struct(cfg.pos_month, q_cats, q_tie))], None)
     qb.part([(k, F.count(F.lit(1)))], sx["cnt_pos"])
     q_agg = q.filter(F.col(k).isNotNull()).groupBy(k).agg(*qb.exprs)
     if q_cats:
         latest_t = qb.parts[1][0][0]
-        q_agg = q_agg.select("*", *[F.col(f"{latest_t}.{x}").alias(f"__ql_{x}") for x in q_cats]
+        q_agg = _with_latest(q_agg, q, k, cfg.pos_month, q_cats, cfg.pos_row_id, latest_t, "__ql_") if q_packed else q_agg.select("*", *[F.col(f"{latest_t}.{x}").alias(f"__ql_{x}") for x in q_cats]
                              ).drop(latest_t)
         qb.parts[1] = ([f"__ql_{x}" for x in q_cats], q_cats, sx["pos_latest"])
     aggs.append((q_agg, qb.parts))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortforge.operators.encode import label_encode, save_codes
 from cohortforge.operators.folds import hash_folds, stratified_folds
+from cohortforge.operators.join import kept_tables
 from cohortforge.operators.metrics import auc_exact
 from cohortforge.operators.model import ensemble_mean, fit_folds, load_models, score_folds
 from cohortforge.operators.profile import (
@@ -103,9 +104,10 @@ def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int =
     if sample_size is not None:     # n training rows, and n test rows: 2n in all
         features = sample_scan(features.filter("is_train"), sample_size, key).unionByName(
             sample_scan(features.filter("not is_train"), sample_size, key))
-    df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"))
     checkpoint_dir(spark)
-    df = df.checkpoint(eager=True)                 # one materialised copy for all fits
+    with kept_tables():
+        df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"))
+        df = df.checkpoint(eager=True)             # one materialised copy for all fits
     write_table(df.filter(~F.col("is_train")).drop(label), os.path.join(out_dir, "test_matrix"))
     tr = df.filter(F.col("is_train"))
     tr = (stratified_folds(tr, label, key, k) if stratified else hash_folds(tr, key, k, 2018))

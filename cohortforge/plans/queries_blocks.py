@@ -222,8 +222,8 @@ FROM customer c LEFT JOIN l ON c.c_custkey = l.user_id LEFT JOIN v ON c.c_custke
 def latest_category(spark, d):
     a = S.app(spark, d).select("c_custkey", "c_acctbal")
     e = S.balance(spark, d)
-    by_month = latest_by(e, "user_id", "MONTHS_BALANCE", ["event_type"])
-    by_value = latest_by(e, "user_id", "value", ["event_type"])
+    by_month = latest_by(e, "user_id", "MONTHS_BALANCE", ["event_type"], row_id="event_id")
+    by_value = latest_by(e, "user_id", "value", ["event_type"], row_id="event_id")
     out = left_join_suffix(a, by_month, "c_custkey", "user_id", "_CCAVG")
     return rounded(left_join_suffix(out, by_value, "c_custkey", "user_id", "_CAVG"))
 
@@ -248,7 +248,9 @@ def latest_on_mean_key(spark, d):
     o = S.bureau(spark, d)
     m = group_by_key(o, "o_custkey", [F.avg("o_orderkey").alias("o_orderkey")])
     bb = S.bureau_balance(spark, d)
-    latest = latest_by(bb, "l_orderkey", "MONTHS_BALANCE", _BB_COLS, tiebreak=_BB_COLS)
+    ids = m.filter("o_orderkey = floor(o_orderkey)").select(F.col("o_orderkey").cast("long").alias("__id")).distinct()
+    bb = bb.join(ids, F.col("l_orderkey") == F.col("__id"), "left_semi")
+    latest = latest_by(bb, "l_orderkey", "MONTHS_BALANCE", _BB_COLS, row_id="l_linenumber")
     latest = latest.withColumn("__k", F.col("l_orderkey").cast("double"))
     m = left_join_suffix(m, latest, "o_orderkey", "__k", "_B_B")
     return rounded(left_join_suffix(a, m, "c_custkey", "o_custkey"))

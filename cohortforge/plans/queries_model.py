@@ -10,6 +10,7 @@ from cohortforge.operators import encode as E
 from cohortforge.operators import profile as P
 from cohortforge.operators.folds import hash32, hash_folds, stratified_folds
 from cohortforge.operators.metrics import auc_exact, losses
+from cohortforge.operators.aggregate import latest_by
 from cohortforge.operators.model import ensemble_mean, fit_folds, score_folds
 from cohortforge.plans import standins as S
 from cohortforge.session import checkpoint_dir
@@ -393,6 +394,45 @@ def sample_scan_q(spark, d):
     return rounded(sample_scan(o, 1000, "o_orderkey"))
 
 
+# --- S2 W1 W3 P10 in file order ---------------------------------------------------
+def _first_row_sql(col: str, table: str) -> str:
+    return (f"(SELECT v, CAST(row_number() OVER (ORDER BY f) - 1 AS INTEGER) AS code FROM "
+            f"(SELECT {col} AS v, min(r) AS f FROM {table} WHERE {col} IS NOT NULL GROUP BY 1))")
+
+
+@register("file_order_codes", f"""
+WITH e AS (SELECT row_number() OVER () - 1 AS r, * FROM events)
+SELECT e.event_id, e.r AS file_row, t.code AS event_type, u.code AS user_id
+FROM e LEFT JOIN {_first_row_sql('event_type', 'e')} t ON e.event_type = t.v
+       LEFT JOIN {_first_row_sql('user_id', 'e')} u ON e.user_id = u.v
+""")
+def file_order_codes(spark, d):
+    e = S.table(spark, d, "events", row="file_row").select("event_id", "file_row", "event_type", "user_id")
+    return E.factorize(e, ["event_type", "user_id"], ["file_row"])
+
+
+@register("file_order_sample", """
+SELECT event_id, user_id, event_type, round(value, 4) AS value
+FROM (SELECT row_number() OVER () - 1 AS r, * FROM events) WHERE r < 500
+""")
+def file_order_sample(spark, d):
+    e = S.table(spark, d, "events", row="file_row")
+    return rounded(sample_scan(e, 500, "file_row").select("event_id", "user_id", "event_type", "value"))
+
+
+@register("file_order_latest", f"""
+WITH e AS (SELECT row_number() OVER () - 1 AS r, * FROM events),
+b AS (SELECT r, user_id, event_type, value,
+             CAST(-(date_diff('day', CAST(ts AS DATE), DATE '{S.EVENTS_END}') // 7 + 1) AS BIGINT) AS m FROM e)
+SELECT user_id, event_type, round(value, 4) AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY m DESC, r) AS k FROM b WHERE user_id IS NOT NULL AND m IS NOT NULL) WHERE k = 1
+""")
+def file_order_latest(spark, d):
+    e = S.table(spark, d, "events", row="file_row").select(
+        "user_id", "event_type", "value", (-F.col("file_row")).alias("first"), S.month_offset("ts", S.EVENTS_END, 7).alias("m"))
+    return rounded(latest_by(e, "user_id", "m", ["event_type", "value"], row_id="first"))
+
+
 # --- E7 E13 E14 E15 E18 E19 E20 F11 M11 -----------------------------------------
 _NB_FEATURES = ["amount", "days"]
 

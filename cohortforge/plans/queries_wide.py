@@ -26,6 +26,7 @@ STANDIN_CONFIG = FeatureConfig(
     bb_id="l_orderkey",
     pos_key="user_id", pos_wm=["value"],
     ins_key="o_custkey", ins_std=["AMT_INSTALMENT", "AMT_PAYMENT"],
+    cc_row_id="event_id", pos_row_id="event_id", bb_row_id="l_linenumber",
 )
 
 

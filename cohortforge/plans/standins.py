@@ -28,8 +28,8 @@ ORDERS_END = "2001-12-01"
 MISSING_PRIORITY = "4-NOT SPECIFIED"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, row: str | None = None) -> DataFrame:
+    return read_table(spark, f"{sf_dir}/{name}.parquet", row=row)
 
 
 def month_offset(ts: str, end: str, days: int):

@@ -7,6 +7,8 @@
 * The sample scan takes the first ``n`` rows in the order of the key and then
   of all other columns: the same rows whatever the partitioning, and a top-k
   (``TakeOrderedAndProject``) rather than a full sort.
+* With ``row``, a scan numbers its rows in file order, for rules that take the
+  first row or the first value that a file holds.
 * Sinks write Parquet/CSV with overwrite; the submission sink joins scores
   onto the template by key (never by row position).
 """
@@ -16,7 +18,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -51,8 +53,24 @@ def bound_schema(names: Sequence[str], schema: StructType | None) -> StructType:
     return StructType([StructField(n, declared.get(n, schemas.other_type(n))) for n in names])
 
 
+_FILE, _BLOCK, _AT = "__file", "__block", "__at"
+
+
+def _numbered(df: DataFrame, row: str) -> DataFrame:
+    """``df`` with its ``_FILE``, ``_BLOCK`` and ``_AT`` turned into ``row``, 0-based: files by path, their splits by start, rows as they stand.
+
+    The rows of each split are counted (a pass that reads no column), the
+    counts before it added up, and the place inside the split is added.
+    """
+    splits = df.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias("__n"), F.min(_AT).alias("__from"))
+    earlier = Window.orderBy(_FILE, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)       # one row per split, in one task
+    before = splits.select(F.col(_FILE).alias("__f"), F.col(_BLOCK).alias("__b"), "__from", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    out = df.join(before, (F.col(_FILE) == F.col("__f")) & (F.col(_BLOCK) == F.col("__b")), "left")
+    return out.withColumn(row, F.col("__before") + F.col(_AT) - F.col("__from")).drop(_FILE, _BLOCK, _AT, "__f", "__b", "__from", "__before")
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
-               fmt: str | None = None) -> DataFrame:
+               fmt: str | None = None, row: str | None = None) -> DataFrame:
     """Scan one table.  CSV (plain or .gz) needs a header row; Parquet carries
     its own schema.  Without ``fmt``, names ending in .csv / .csv.gz are CSV,
     everything else (files or folders written by Spark) is Parquet.
@@ -60,6 +78,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     CSV columns are bound by name: the file may hold them in any order, and
     more of them than ``schema`` declares.  Declared columns that it lacks
     follow as NULL.
+
+    ``row`` adds a column of that name with each row's place in file order
+    (0-based, files by path): the same numbers however the files are split.
+    Parquet keeps a row's place in its file; in CSV a split's rows come in
+    order within one task, so the splits are counted and their counts added.
     """
     if fmt is None:
         p = path.rstrip("/").lower()
@@ -71,12 +94,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
         text = StructType([StructField(f.name, StringType()) if f.name in longs else f for f in types])
         df = (spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False).option("nanValue", "nan")
               .schema(text).csv(path))
-        df = df.select(*[whole_number(F.col(f"`{n}`")).alias(n) if n in longs else F.col(f"`{n}`") for n in names])
+        place = [F.col("_metadata.file_path").alias(_FILE), F.col("_metadata.file_block_start").alias(_BLOCK), F.monotonically_increasing_id().alias(_AT)]
+        df = df.select(*[whole_number(F.col(f"`{n}`")).alias(n) if n in longs else F.col(f"`{n}`") for n in names], *(place if row else []))
         missing = [f for f in (schema.fields if schema else []) if f.name not in set(names)]
         df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
     else:
         df = spark.read.format(fmt).load(path)
-    return clean_nan(df)
+        if row and fmt != "parquet":
+            raise ValueError(f"no file order for {fmt}")
+        if row:
+            df = df.select("*", F.col("_metadata.file_path").alias(_FILE), F.lit(0).alias(_BLOCK), F.col("_metadata.row_index").alias(_AT))
+    return clean_nan(_numbered(df, row) if row else df)
 
 
 def _there(spark: SparkSession, path: str) -> bool:

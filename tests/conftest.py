@@ -12,3 +12,10 @@ SF001 = "/root/testdata/sf0.001"
 def spark():
     from cohortforge.session import get_spark
     return get_spark("local[4]", 8, app_name="cohortforge-tests")
+
+
+@pytest.fixture(autouse=True)
+def _kept():
+    from cohortforge.operators.join import kept_tables
+    with kept_tables():
+        yield

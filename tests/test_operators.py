@@ -172,3 +172,27 @@ def test_every_row_gets_a_fold(spark):
     for n in (1, 9):
         rows = stratified_folds(df, "y", "id", 5, n_ranges=n).collect()
         assert len(rows) == 40 and {r.fold for r in rows} == {0, 1, 2, 3, 4}
+
+
+def test_latest_rows_against_the_total_order(spark):
+    rows = [(k, m, None if i % 11 == 0 else i, v, f"t{i % 4}") for i, (k, m, v) in enumerate(
+        (k, m, v) for k in (1, 2, 3, None) for m in (-5, -1, -1, None, -3) for v in (2.5, -1.0, None))]
+    df = spark.createDataFrame(rows, "k int, m int, i long, v double, t string")
+    for order in ("m", "v"):
+        want = {}
+        for r in rows:
+            o = r[1] if order == "m" else r[3]
+            if r[0] is not None and o is not None:
+                rank = (o, -1 if r[2] is None else r[2])
+                if r[0] not in want or rank > want[r[0]][0]:
+                    want[r[0]] = rank, r[4]
+        got = {r.k: r.t for r in latest_by(df, "k", order, ["t"], row_id="i").collect()}
+        assert got == {k: t for k, (_, t) in want.items()}
+
+
+def test_mode_codes_ties_and_missing(spark):
+    df = spark.createDataFrame([(1, "b", None), (1, "a", None), (1, None, "x"), (2, None, "z"), (2, None, "z"), (2, "b", "y"), (None, "0", "0")],
+                               "k int, a string, b string")
+    got = {r.k: (r.a, r.b) for r in mode_codes(df, "k", ["a", "b"]).collect()}
+    # sorted values: a: 0, NULL, a, b; b: 0, NULL, x, y, z
+    assert got == {1: ("1", "1"), 2: ("1", "4")}

@@ -35,3 +35,16 @@ def test_wide_plan_shuffles_a_history_once_by_its_key(spark):
     by_user = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
     # card and POS balance: one aggregate each on the customer key
     assert plan.count("MONTHS_BALANCE") and by_user.count("c_custkey") <= 8
+
+
+@pytest.mark.parametrize("name", ["latest_category", "latest_on_mean_key", "prev_mode", "wide_features"])
+def test_histories_are_not_aggregated_by_sorting(spark, name):
+    """Latest rows and modal categories use hash aggregates with fixed-width buffers."""
+    plan = _plan(QUERIES[name](spark, SF001)).split("InMemoryRelation")[0]
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.mark.parametrize("name", ["latest_on_mean_key", "wide_features"])
+def test_balance_rows_are_reduced_for_the_mean_ids_alone(spark, name):
+    plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (l_orderkey" in plan[plan.index("Aggregate [l_orderkey"):]

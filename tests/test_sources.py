@@ -8,6 +8,12 @@ import pytest
 from cohortforge.plans import jobs
 from cohortforge.plans.features import FeatureConfig, application_features
 from cohortforge.sources import schemas
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from cohortforge.operators.aggregate import latest_by
+from cohortforge.operators.encode import factorize
+from cohortforge.sources import io
 from cohortforge.sources.io import read_table, sample_scan
 
 
@@ -60,3 +66,52 @@ def test_encoder_list_is_checked(spark):
     df = spark.createDataFrame([(1, 0, "a")], "SK_ID_CURR long, TARGET int, STATUS string")
     with pytest.raises(ValueError, match="ORGANIZATION_TYPE"):
         jobs.prepare(df)
+
+
+def _rows(n):
+    return [(i * 7919 % 1009, f"v{i % 13}", i % 5) for i in range(n)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_file_order_does_not_depend_on_the_splits(spark, tmp_path, fmt):
+    rows = _rows(3000)
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType()), StructField("g", LongType())])
+    path = str(tmp_path / f"t.{fmt}")
+    if fmt == "csv":
+        with open(path, "w") as f:
+            f.write("k,v,g\n" + "".join(f"{k},{v},{g}\n" for k, v, g in rows))
+    else:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        pq.write_table(pa.table(dict(zip("kvg", map(list, zip(*rows))))), path, row_group_size=60)
+    keep = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    found = []
+    try:
+        for size in ("128m", "600"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "1")
+            t = io.read_table(spark, path, schema if fmt == "csv" else None, row="n")
+            got = t.select(F.col("k").cast("int"), "v", F.col("g").cast("int"), "n").orderBy("n").collect()
+            codes = factorize(t, ["v"], ["n"]).select("n", "v").collect()
+            last = latest_by(t.select(F.col("g").cast("int").alias("g"), "k", (-F.col("n")).alias("first"), (F.col("n") % 3).alias("m")), "g", "m", ["k"], row_id="first")
+            sample = io.sample_scan(t, 17, "n").collect()
+            found.append((got, sorted(codes), sorted(last.collect()), sample))
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    assert found[0] == found[1]
+    assert [(r.k, r.v, r.g, r.n) for r in found[0][0]] == [(*r, i) for i, r in enumerate(rows)]
+    assert all(int(r.v) == r.n % 13 for r in found[0][1])
+    first = {g: min((i for i, r in enumerate(rows) if r[2] == g and i % 3 == 2), default=None) for g in range(5)}
+    assert {r.g: int(r.k) for r in found[0][2]} == {g: rows[i][0] for g, i in first.items()}
+    assert [r.n for r in found[0][3]] == list(range(17))
+
+
+def test_file_order_over_several_files(spark, tmp_path):
+    path = str(tmp_path / "many.parquet")
+    spark.range(0, 500, 1, 9).write.parquet(path)
+    got = [r.id for r in io.read_table(spark, path, row="n").orderBy("n").collect()]
+    assert got == list(range(500))
+    empty = str(tmp_path / "none.parquet")
+    spark.range(0).write.parquet(empty)
+    assert io.read_table(spark, empty, row="n").columns == ["id", "n"] and io.read_table(spark, empty, row="n").count() == 0
