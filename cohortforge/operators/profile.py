@@ -53,27 +53,54 @@ def replace_inf_all(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
                        for c in df.columns])
 
 
-def distinct_with_missing(c: str) -> Column:
-    """Distinct values of a column, a missing value counting as one more."""
+def _as_key(df: DataFrame, c: str) -> Column:
+    """A column's value as text, equal exactly where the values are (negative zero is zero)."""
     col = F.col(f"`{c}`")
-    return F.count_distinct(col) + F.max(col.isNull().cast("int"))
+    return (col + F.lit(0.0).cast(df.schema[c].dataType) if df.schema[c].dataType.typeName() in ("double", "float") else col).cast("string")
 
 
 def cardinalities(df: DataFrame, cols: Sequence[str] | None = None,
                   approximate: bool = False) -> DataFrame:
     """(column_name, n_distinct) for each column, missing counted as a value.
 
-    ``approximate=True`` uses HyperLogLog sketches (bounded memory).
+    Exact: every (column, value) once by a hash aggregate, then the pairs of
+    each column counted by another; both combine before their shuffle, so a
+    frequent value is one row per task.  ``approximate=True`` merges sketches
+    (see ``cardinality_sketches``) of bounded size instead.
     """
     cols = list(cols or df.columns)
     if approximate:
-        exprs = [(F.approx_count_distinct(F.col(f"`{c}`"))
-                  + F.max(F.col(f"`{c}`").isNull().cast("int"))).alias(c) for c in cols]
-    else:
-        exprs = [distinct_with_missing(c).alias(c) for c in cols]
-    row = df.agg(*exprs)
-    return _long_form(row, cols, "n_distinct").withColumn(
-        "n_distinct", F.col("n_distinct").cast("bigint"))
+        return sketch_estimates(cardinality_sketches(df, cols))
+    pairs = F.array(*[F.struct(F.lit(i).alias("__c"), _as_key(df, c).alias("__v")) for i, c in enumerate(cols)])
+    counts = df.select(F.inline(pairs)).distinct().groupBy("__c").agg(F.count(F.lit(1)).alias("n_distinct"))
+    names = df.sparkSession.range(1).select(F.inline(F.array(*[F.struct(F.lit(i).alias("__i"), F.lit(c).alias("column_name")) for i, c in enumerate(cols)])))
+    return names.join(counts, F.col("__i") == F.col("__c"), "left").select("column_name", F.coalesce("n_distinct", F.lit(0)).cast("bigint").alias("n_distinct"))
+
+
+SKETCH_LOG_SIZE = 14                    # 2**14 registers per column
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LOG_SIZE / 2)        # relative standard error of an estimate
+
+
+def cardinality_sketches(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, sketch, has_missing): one row per column, of bounded size, to be saved and merged with other runs' rows."""
+    cols = list(cols or df.columns)
+    row = df.agg(*[F.struct(F.hll_sketch_agg(_as_key(df, c), F.lit(SKETCH_LOG_SIZE)).alias("sketch"),
+                            F.coalesce(F.max(F.col(f"`{c}`").isNull().cast("int")), F.lit(0)).alias("has_missing")).alias(f"s{i}") for i, c in enumerate(cols)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"s{i}.sketch").alias("sketch"), F.col(f"s{i}.has_missing").alias("has_missing"))
+                                         for i, c in enumerate(cols)])))
+
+
+def merge_sketches(*runs: DataFrame) -> DataFrame:
+    """The sketches of several runs' rows together."""
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return out.groupBy("column_name").agg(F.hll_union_agg("sketch").alias("sketch"), F.max("has_missing").alias("has_missing"))
+
+
+def sketch_estimates(sketches: DataFrame) -> DataFrame:
+    """(column_name, n_distinct) of sketches; a relative standard error of ``SKETCH_ERROR``, missing counted as a value."""
+    return sketches.select("column_name", (F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0)) + F.col("has_missing")).cast("bigint").alias("n_distinct"))
 
 
 def embedding_width(n: Column, cap: int = 100) -> Column:

@@ -214,6 +214,19 @@ def cardinality_profile(spark, d):
         "column_name", "n_distinct", "position", "kind", "is_small", "width")
 
 
+# --- P11 A16 A17: sketches of two runs, merged; the exact count lies within four standard errors
+@register("cardinality_sketch", f"""
+WITH p AS {S.SQL_PREV}
+{' UNION ALL '.join(f"SELECT '{c}' AS column_name, CAST(count(DISTINCT {c}) + max(CAST({c} IS NULL AS INTEGER)) AS BIGINT) AS n_distinct, TRUE AS within_bound FROM p" for c in _CARD_COLS)}
+""")
+def cardinality_sketch(spark, d):
+    p = S.prev(spark, d)
+    runs = [P.cardinality_sketches(p.where(F.col("o_orderkey") % 2 == r)) for r in (0, 1)]
+    estimate = P.sketch_estimates(P.merge_sketches(*runs)).withColumnRenamed("n_distinct", "e")
+    off = F.abs(F.col("e") - F.col("n_distinct")) <= F.greatest(F.lit(1.0), 4 * P.SKETCH_ERROR * F.col("n_distinct"))
+    return P.cardinalities(p).join(estimate, "column_name").select("column_name", "n_distinct", off.alias("within_bound"))
+
+
 # --- U1 U2 F10 F13 A18 A19 ----------------------------------------------------
 def _train_test(spark, d):
     o = S.table(spark, d, "orders")

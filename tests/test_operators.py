@@ -14,6 +14,7 @@ from cohortforge.operators.encode import (
 from cohortforge.operators.folds import hash_folds, stratified_folds
 from cohortforge.operators.join import left_join_suffix, suffix_names
 from cohortforge.operators.metrics import auc_evaluator, auc_exact, losses
+from cohortforge.operators import profile
 from cohortforge.operators.profile import (
     cardinalities, fill_missing, null_shares, prune_null_columns, standardise,
 )
@@ -196,3 +197,17 @@ def test_mode_codes_ties_and_missing(spark):
     got = {r.k: (r.a, r.b) for r in mode_codes(df, "k", ["a", "b"]).collect()}
     # sorted values: a: 0, NULL, a, b; b: 0, NULL, x, y, z
     assert got == {1: ("1", "1"), 2: ("1", "4")}
+
+
+def test_cardinalities_and_merged_sketches(spark, tmp_path):
+    rows = [(i, f"v{i % 700}", None if i % 3 else float(i % 50) * (-1) ** i) for i in range(20000)]
+    df = spark.createDataFrame(rows, "i long, t string, x double")
+    exact = {r.column_name: r.n_distinct for r in cardinalities(df).collect()}
+    assert exact == {"i": 20000, "t": 700, "x": len({r[2] for r in rows})}
+    assert {r.column_name: r.n_distinct for r in cardinalities(df.limit(0)).collect()} == {"i": 0, "t": 0, "x": 0}
+    paths = [str(tmp_path / str(k)) for k in range(3)]
+    for k, p in enumerate(paths):
+        profile.cardinality_sketches(df.where(F.col("i") % 3 == k)).write.parquet(p)
+    merged = profile.merge_sketches(*[spark.read.parquet(p) for p in paths])
+    for r in profile.sketch_estimates(merged).collect():
+        assert abs(r.n_distinct - exact[r.column_name]) <= max(1, 4 * profile.SKETCH_ERROR * exact[r.column_name])

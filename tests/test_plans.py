@@ -48,3 +48,8 @@ def test_histories_are_not_aggregated_by_sorting(spark, name):
 def test_balance_rows_are_reduced_for_the_mean_ids_alone(spark, name):
     plan = QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi, (l_orderkey" in plan[plan.index("Aggregate [l_orderkey"):]
+
+
+def test_cardinalities_without_expand(spark):
+    plan = _plan(QUERIES["cardinality_profile"](spark, SF001))
+    assert "HashAggregate" in plan and "Expand" not in plan
