@@ -50,3 +50,13 @@ def losses(df: DataFrame, label: str, prob: str, by: Sequence[str] = (),
         F.avg(F.pow(y - F.col(prob), 2)).alias("mse"),
         F.avg((y == F.round(F.col(prob))).cast("double")).alias("accuracy"),
         F.count(F.lit(1)).alias("n"))
+
+
+def categorical_losses(df: DataFrame, label_class: str, probabilities: str, by: Sequence[str] = (),
+                       eps: float = 1e-7) -> DataFrame:
+    """Categorical cross-entropy and accuracy of class probability arrays; rows without a class are skipped."""
+    p = F.col(probabilities)
+    own = F.least(F.greatest(F.get(p, F.col(label_class)), F.lit(eps)), F.lit(1 - eps))
+    right = F.array_position(p, F.array_max(p)) - 1 == F.col(label_class)
+    return (df.filter(F.col(label_class).isNotNull()).groupBy(*by)
+              .agg(F.avg(-F.ln(own)).alias("cross_entropy"), F.avg(right.cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n")))

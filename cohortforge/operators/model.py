@@ -24,13 +24,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortforge.operators.bayes import class_table
+
 # Hidden layers of the two network shapes of the source job.
 HIDDEN_SIGMOID = [80, 80, 40]
 HIDDEN_SOFTMAX = [160, 128, 64]
 
 
 def make_classifier(kind: str, n_features: int | None = None, max_iter: int = 50,
-                    seed: int = 2, hidden: Sequence[int] = HIDDEN_SIGMOID):
+                    seed: int = 2, hidden: Sequence[int] = HIDDEN_SIGMOID, n_classes: int = 2):
     if kind == "logistic":
         return LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter)
     if kind == "gbt":
@@ -41,7 +43,7 @@ def make_classifier(kind: str, n_features: int | None = None, max_iter: int = 50
         if n_features is None:
             raise ValueError("mlp needs n_features")
         return MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
-                                              layers=[n_features, *hidden, 2],
+                                              layers=[n_features, *hidden, n_classes],
                                               maxIter=max_iter, seed=seed, blockSize=256)
     raise ValueError(kind)
 
@@ -63,22 +65,20 @@ def probability_of_one(df: DataFrame, out: str = "score") -> DataFrame:
     return df.withColumn(out, vector_to_array("probability")[1])
 
 
-def encode_label(df: DataFrame, label: str, out: str = "label") -> DataFrame:
-    """The label as class numbers 0, 1, ... in value order; a missing one stays missing.
-
-    Two classes at most are expected, so the values are read from two ends.
-    """
-    low, high = df.agg(F.min(label), F.max(label)).first()
-    code = F.when(F.col(label) == F.lit(low), 0.0).when(F.col(label) == F.lit(high), 1.0)
-    known = F.col(label).isNull() | code.isNotNull()
-    return df.withColumn(out, F.when(known, code).otherwise(F.raise_error(F.lit(f"{label} has more than two values")).cast("double")))
+def encode_label(df: DataFrame, label: str, out: str = "label", table: DataFrame | None = None) -> DataFrame:
+    """The label as class numbers 0, 1, ... in value order (``table``: from ``class_table``); a missing one stays missing."""
+    table = class_table(df, label) if table is None else table
+    table = table.select(F.col(label).alias("__value"), F.col("class").cast("double").alias("__class"))
+    return df.join(table, F.col(label) == F.col("__value"), "left").withColumn(out, F.col("__class")).drop("__value", "__class")
 
 
 def fit_folds(df: DataFrame, id_col: str, numeric: Sequence[str], categorical: Sequence[str],
               label: str, fold_col: str = "fold", k: int = 5, kind: str = "logistic",
               max_iter: int = 50, model_dir: str | None = None):
     """k-fold fit; returns ``(oof, models)`` where ``oof`` holds one
-    out-of-fold score per training row: (id, fold, label, score).
+    out-of-fold score per training row: (id, fold, label, score); with more
+    than two classes (id, fold, label, probabilities, predicted), by class in
+    value order.
 
     Every model holds the shared encoder's stages and its own classifier.
     Rows without a label or a fold are an error: they would be neither
@@ -86,7 +86,9 @@ def fit_folds(df: DataFrame, id_col: str, numeric: Sequence[str], categorical: S
     """
     df = df.withColumn(fold_col, F.when(F.col(fold_col).isNull() | F.col(label).isNull(),
                                         F.raise_error(F.lit("a row without a fold or a label")).cast("int")).otherwise(F.col(fold_col)))
-    data = (encode_label(df.select(id_col, fold_col, *numeric, *categorical, label), label, "__label")
+    classes = class_table(df, label)
+    n_classes = max(2, classes.count())
+    data = (encode_label(df.select(id_col, fold_col, *numeric, *categorical, label), label, "__label", classes)
               .withColumnRenamed(label, "__own").withColumnRenamed("__label", "label")
               .persist(StorageLevel.MEMORY_AND_DISK))
     encoder = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
@@ -94,13 +96,15 @@ def fit_folds(df: DataFrame, id_col: str, numeric: Sequence[str], categorical: S
     width = encoded.schema["features"].metadata.get("ml_attr", {}).get("num_attrs") or len(encoded.first()["features"])
     models, parts = [], []
     for f in range(k):
-        classifier = make_classifier(kind, width, max_iter).fit(encoded.filter(F.col(fold_col) != f))
+        classifier = make_classifier(kind, width, max_iter, n_classes=n_classes).fit(encoded.filter(F.col(fold_col) != f))
         model = PipelineModel([*encoder.stages, classifier])
         if model_dir:
             model.write().overwrite().save(f"{model_dir}/fold_{f}")
         models.append(model)
-        scored = probability_of_one(classifier.transform(encoded.filter(F.col(fold_col) == f)))
-        parts.append(scored.select(id_col, fold_col, F.col("__own").alias(label), "score"))
+        scored = classifier.transform(encoded.filter(F.col(fold_col) == f))
+        scores = [vector_to_array("probability")[1].alias("score")] if n_classes == 2 else [
+            vector_to_array("probability").alias("probabilities"), F.col("prediction").cast("int").alias("predicted")]
+        parts.append(scored.select(id_col, fold_col, F.col("__own").alias(label), *scores))
     oof = parts[0]
     for p in parts[1:]:
         oof = oof.unionByName(p)

@@ -27,9 +27,8 @@ from cohortforge.operators.folds import hash_folds, stratified_folds
 from cohortforge.operators.join import kept_tables
 from cohortforge.operators.metrics import auc_exact
 from cohortforge.operators.model import ensemble_mean, fit_folds, load_models, score_folds
-from cohortforge.operators.profile import (
-    fill_missing, prune_null_columns, replace_inf_all, standardise,
-)
+from cohortforge.operators.profile import fill_missing, prune_null_columns, replace_inf_all
+from cohortforge.operators.stages import CategoryEncoder, ColumnScaler
 from cohortforge.plans.features import FeatureConfig, feature_engineering
 from cohortforge.session import checkpoint_dir
 from cohortforge.sources.io import (
@@ -72,9 +71,12 @@ def build_features(spark: SparkSession, input_dir: str, out: str | None = None,
 
 
 def prepare(features: DataFrame, label: str = "TARGET", key: str = "SK_ID_CURR",
-            null_threshold: float = 0.8, encode: Sequence[str] = ENCODER_COLUMNS, codes_path: str | None = None):
+            null_threshold: float = 0.8, encode: Sequence[str] = ENCODER_COLUMNS, codes_path: str | None = None,
+            fit_on: str | None = None):
     """Encode text columns and those named in ``encode`` (one that is not there is an error), prune
-    mostly-missing columns, fill, cap infinities, scale.  ``codes_path``: where the encoder's dictionary goes."""
+    mostly-missing columns, fill, cap infinities, scale.  ``codes_path``: where the encoder's dictionary goes.
+    ``fit_on``: a condition on the rows (``"is_train"``) that encoder and scaler learn from, instead of all;
+    values that the encoder did not learn get the code after the last."""
     absent = [c for c in encode if c not in features.columns]
     if absent:
         raise ValueError(f"columns to encode that the features lack: {', '.join(absent)}")
@@ -82,21 +84,25 @@ def prepare(features: DataFrame, label: str = "TARGET", key: str = "SK_ID_CURR",
     df = features.drop(*meta)
     text = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
     text += [c for c in encode if c not in text]
-    df, cats, codes = label_encode(df, text, missing="nan", as_string=True)
+    if fit_on and text:
+        encoder = CategoryEncoder(cols=text, fitOn=fit_on, missing="nan", asText=True).fit(df)
+        df, cats, codes = encoder.transform(df), text, encoder.table
+    else:
+        df, cats, codes = label_encode(df, text, missing="nan", as_string=True)
     if codes_path and codes is not None:
         save_codes(codes, codes_path)
     df, dropped = prune_null_columns(df, null_threshold, protect=[key, label, "is_train"])
     cats = [c for c in cats if c not in dropped]
     df = replace_inf_all(fill_missing(df, 0, [c for c in df.columns if c not in (label,)]))
     numeric = [c for c in df.columns if c not in set(cats) | {key, label, "is_train"}]
-    df = standardise(df, numeric)
+    df = ColumnScaler(cols=numeric, fitOn=fit_on or "").fit(df).transform(df)
     return df, numeric, cats, dropped
 
 
 def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int = 5,
           kind: str = "mlp", max_iter: int = 30, stratified: bool = True,
           key: str = "SK_ID_CURR", label: str = "TARGET", sample_size: int | None = None,
-          encode: Sequence[str] = ENCODER_COLUMNS):
+          encode: Sequence[str] = ENCODER_COLUMNS, fit_on: str | None = None):
     """k-fold training; returns (oof_scores, fold_auc, overall_auc)."""
     out_dir = output_dir(out_dir, sample_size)
     if isinstance(features, str):
@@ -106,7 +112,7 @@ def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int =
             sample_scan(features.filter("not is_train"), sample_size, key))
     checkpoint_dir(spark)
     with kept_tables():
-        df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"))
+        df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"), fit_on=fit_on)
         df = df.checkpoint(eager=True)             # one materialised copy for all fits
     write_table(df.filter(~F.col("is_train")).drop(label), os.path.join(out_dir, "test_matrix"))
     tr = df.filter(F.col("is_train"))

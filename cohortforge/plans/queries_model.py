@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from cohortforge.operators import encode as E
 from cohortforge.operators import profile as P
 from cohortforge.operators.folds import hash32, hash_folds, stratified_folds
-from cohortforge.operators.metrics import auc_exact, losses
+from cohortforge.operators.bayes import out_of_fold, predicted_class
+from cohortforge.operators.metrics import auc_exact, categorical_losses, losses
 from cohortforge.operators.aggregate import latest_by
-from cohortforge.operators.model import ensemble_mean, fit_folds, score_folds
+from cohortforge.operators.model import ensemble_mean, feature_stages, fit_folds, make_classifier, probability_of_one, score_folds
+from cohortforge.operators.stages import CategoryEncoder, ColumnScaler
 from cohortforge.plans import standins as S
 from cohortforge.session import checkpoint_dir
 from cohortforge.plans.registry import register, rounded
@@ -481,8 +484,46 @@ p AS (SELECT o_orderkey, fold, truth, model,
 SELECT o_orderkey, fold, truth AS answer, round(score, 4) AS score FROM p WHERE model = fold
 """)
 def oof_naive_bayes(spark, d):
-    """k-fold fit and out-of-fold class-1 probability of a text label."""
-    return rounded(fit_folds(_nb_frame(spark, d), "o_orderkey", _NB_FEATURES, [], "answer", "fold", 5, kind="gaussian_nb")[0])
+    """All folds fitted from one aggregate; out-of-fold class-1 probability of a text label."""
+    oof, _ = out_of_fold(_nb_frame(spark, d), "o_orderkey", _NB_FEATURES, "answer", "fold", 5)
+    return rounded(oof.select("o_orderkey", "fold", "answer", F.get("probabilities", F.lit(1)).alias("score")))
+
+
+# three classes: the order status
+_NB3_SQL = _NB_SQL.replace("CASE WHEN o_orderstatus = 'F' THEN 'yes' ELSE 'no' END", "o_orderstatus").split("p AS (")[0].rstrip().rstrip(",") + """,
+e AS (SELECT o_orderkey, fold, truth, answer, exp(ll - max(ll) OVER (PARTITION BY o_orderkey)) AS e FROM l WHERE model = fold),
+q AS (SELECT o_orderkey, fold, truth AS answer, coalesce(sum(e) FILTER (WHERE answer = 'F'), 0) / sum(e) AS f,
+             coalesce(sum(e) FILTER (WHERE answer = 'O'), 0) / sum(e) AS o, coalesce(sum(e) FILTER (WHERE answer = 'P'), 0) / sum(e) AS p
+      FROM e GROUP BY 1, 2, 3)
+"""
+
+
+def _three_classes(spark, d):
+    frame = _nb_frame(spark, d).drop("answer").join(
+        S.table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("answer")), F.col("o_orderkey") == F.col("k")).drop("k")
+    return out_of_fold(frame, "o_orderkey", _NB_FEATURES, "answer", "fold", 5)
+
+
+@register("oof_naive_bayes_classes", _NB3_SQL + """
+SELECT o_orderkey, fold, answer, round(f, 4) AS p_f, round(o, 4) AS p_o, round(p, 4) AS p_p FROM q
+""")
+def oof_naive_bayes_classes(spark, d):
+    """Out-of-fold probabilities of a label with three values."""
+    p = F.col("probabilities")
+    return rounded(_three_classes(spark, d)[0].select("o_orderkey", "fold", "answer", *[F.get(p, F.lit(i)).alias(n) for i, n in enumerate(("p_f", "p_o", "p_p"))]))
+
+
+@register("categorical_losses", _NB3_SQL + """
+SELECT fold, round(avg(-ln(least(greatest(CASE answer WHEN 'F' THEN f WHEN 'O' THEN o ELSE p END, 1e-7), 1 - 1e-7))), 4) AS cross_entropy,
+       round(avg(CAST(CASE WHEN f >= o AND f >= p THEN 'F' WHEN o >= p THEN 'O' ELSE 'P' END = answer AS DOUBLE)), 4) AS accuracy, count(*) AS n
+FROM q GROUP BY 1
+""")
+def categorical_losses_q(spark, d):
+    """Categorical cross-entropy and accuracy per fold; the class numbers come from the fold's model."""
+    oof, models = _three_classes(spark, d)
+    own = models.select(F.col("model").alias("__m"), F.col("answer").alias("__a"), "class")
+    oof = oof.join(own, (F.col("fold") == F.col("__m")) & (F.col("answer") == F.col("__a")), "left")
+    return rounded(categorical_losses(oof, "class", "probabilities", ["fold"]))
 
 
 @register("naive_bayes_ensemble", _NB_SQL + """
@@ -495,6 +536,51 @@ def naive_bayes_ensemble(spark, d):
     return rounded(ensemble_mean(score_folds(models, data, "o_orderkey"), "o_orderkey"))
 
 
+# --- S7 E1 E6 E9 F6: fitted stages, saved and loaded -------------------------------
+_FIT_SQL = """
+WITH x AS (SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, o_totalprice AS price, o_orderkey % 3 = 0 AS is_train,
+                  o_orderstatus = 'F' AS y FROM orders),
+v AS (SELECT day, CAST(row_number() OVER (ORDER BY day) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT day FROM x WHERE is_train)),
+m AS (SELECT avg(price) AS a, stddev_pop(price) AS s FROM x WHERE is_train),
+t AS (SELECT o_orderkey, is_train, y, coalesce(v.code, (SELECT CAST(count(*) AS INTEGER) FROM v)) AS day, (price - m.a) / m.s AS price
+      FROM x LEFT JOIN v ON x.day = v.day CROSS JOIN m)
+"""
+
+
+def _fit_frame(spark, d):
+    return S.table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("day"), F.col("o_totalprice").alias("price"),
+        (F.col("o_orderkey") % 3 == 0).alias("is_train"), (F.col("o_orderstatus") == "F").cast("double").alias("label"))
+
+
+def _fitted(spark, stages, rows):
+    """A pipeline fitted, saved to the shared folder and loaded again."""
+    path = f"{checkpoint_dir(spark)}/fitted-{uuid.uuid4().hex}"
+    Pipeline(stages=stages).fit(rows).write().save(path)
+    return PipelineModel.load(path)
+
+
+@register("fit_on_train", _FIT_SQL + "SELECT o_orderkey, is_train, day, round(price, 4) AS price FROM t")
+def fit_on_train(spark, d):
+    """Encoder and scaler fitted on the training rows alone, saved, loaded and applied to all; unseen days get the next code."""
+    rows = _fit_frame(spark, d)
+    stages = [CategoryEncoder(cols=["day"], fitOn="is_train"), ColumnScaler(cols=["price"], fitOn="is_train")]
+    return rounded(_fitted(spark, stages, rows).transform(rows).drop("label"))
+
+
+@register("saved_pipeline_scores", _FIT_SQL.replace("t AS", "raw AS") + """,
+t AS (SELECT o_orderkey, is_train, y, price, (day - avg(day) FILTER (WHERE is_train) OVER ()) / stddev_pop(day) FILTER (WHERE is_train) OVER () AS day FROM raw),
+g AS (SELECT y, count(*) AS n, avg(day) AS md, var_pop(day) AS vd, avg(price) AS mp, var_pop(price) AS vp FROM t WHERE is_train GROUP BY 1),
+l AS (SELECT o_orderkey, g.y, ln(n) - 0.5 * (ln(2 * pi() * vd) + pow(day - md, 2) / vd) - 0.5 * (ln(2 * pi() * vp) + pow(price - mp, 2) / vp) AS ll FROM t CROSS JOIN g)
+SELECT o_orderkey, round(1 / (1 + exp(max(ll) FILTER (WHERE NOT y) - max(ll) FILTER (WHERE y))), 4) AS score FROM l GROUP BY 1
+""")
+def saved_pipeline_scores(spark, d):
+    """One saved pipeline encodes, scales and scores raw rows."""
+    rows = _fit_frame(spark, d)
+    stages = [CategoryEncoder(cols=["day"]), ColumnScaler(cols=["day", "price"]), *feature_stages(["day", "price"], []), make_classifier("gaussian_nb")]
+    return rounded(probability_of_one(_fitted(spark, stages, rows.filter("is_train")).transform(rows)).select("o_orderkey", "score"))
+
+
 # --- with a classifier that has no closed form ----------------------------------
 def _oof_frame(spark, d):
     p = S.prev_with_credit(spark, d)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cohortforge.functions.rowwise import row_mean, row_sum, with_row_kurtosis, with_row_std
 from cohortforge.functions.semantics import ratio, replace_inf, sentinel_to_null
 from cohortforge.operators.aggregate import group_median
+from cohortforge.operators.select import median_by_rounds
 from cohortforge.operators.join import lookup
 from cohortforge.operators.profile import fill_with_mean
 from cohortforge.plans import standins as S
@@ -123,3 +124,17 @@ def group_median_lookup(spark, d):
     med = group_median(c, "c_mktsegment", "c_acctbal", "med")
     out = lookup(c, med, "c_mktsegment", "med", "NEW_BAL_BY_SEGMENT")
     return rounded(out.select("c_custkey", "c_mktsegment", "NEW_BAL_BY_SEGMENT"))
+
+
+@register("group_median_rounds", """
+SELECT o_orderstatus, round(median(l_extendedprice), 4) AS med, 'status' AS kind
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus IS NOT NULL GROUP BY 1
+UNION ALL SELECT CAST(l_suppkey AS VARCHAR), round(median(l_extendedprice), 4), 'supplier' FROM lineitem WHERE l_suppkey IS NOT NULL GROUP BY 1
+""")
+def group_median_rounds(spark, d):
+    """Medians of three large groups and of many small ones, by counting rounds."""
+    li = S.table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice")
+    o = S.table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    large = median_by_rounds(o.join(li, F.col("o_orderkey") == F.col("l_orderkey")), "o_orderstatus", "l_extendedprice", "med", small=1000)
+    many = median_by_rounds(li.withColumn("o_orderstatus", F.col("l_suppkey").cast("string")), "o_orderstatus", "l_extendedprice", "med")
+    return rounded(large.withColumn("kind", F.lit("status")).unionByName(many.withColumn("kind", F.lit("supplier"))))

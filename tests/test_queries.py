@@ -18,7 +18,8 @@ def test_entry_runs(spark):
 
 # queries that return one row per row of a table
 ROWS_OF = {"train_test_stack": "orders", "stratified_folds": "orders", "stratified_folds_text": "orders", "hash_folds": "orders",
-           "label_encode": "orders", "ensemble_mean": "orders", "oof_naive_bayes": "orders", "naive_bayes_ensemble": "orders",
+           "label_encode": "orders", "ensemble_mean": "orders", "oof_naive_bayes": "orders", "oof_naive_bayes_classes": "orders",
+           "fit_on_train": "orders", "saved_pipeline_scores": "orders", "naive_bayes_ensemble": "orders",
            "standardise": "lineitem", "label_encode_saved": "customer", "prev_mode": "customer", "application_block": "customer"}
 
 
