@@ -21,6 +21,7 @@ import hashlib
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -216,8 +217,19 @@ def reconcile(spans: list[tuple[float, Span]]) -> list[Span]:
     return out[::-1]
 
 
-def _spans(tags: np.ndarray, probability: np.ndarray, start: int, n: int, length: int) -> Iterator[tuple[float, Span]]:
-    """(weight, span) of a decoded window; one that touches an inner border belongs to the next window."""
+@dataclass
+class Piece:
+    """A decoded span as one window shows it; ``left`` and ``right``: it may go on beyond the window's border there."""
+    weight: float
+    start: int
+    kind: int
+    end: int
+    left: bool
+    right: bool
+
+
+def _pieces(tags: np.ndarray, probability: np.ndarray, start: int, n: int, length: int) -> Iterator[Piece]:
+    """The tagged runs of a decoded window, weighted by their probability and length."""
     i = 0
     while i < n:
         tag = int(tags[i])
@@ -228,16 +240,39 @@ def _spans(tags: np.ndarray, probability: np.ndarray, start: int, n: int, length
         while j < n and tags[j] == 2 + 2 * kind:
             j += 1
         sure = float(probability[i:j].mean())
-        if sure >= SURE and (i > 0 or start == 0) and (j < n or start + n == length):
-            yield sure * (j - i), (start + i, kind, start + j)
+        if sure >= SURE:
+            yield Piece(sure * (j - i), start + i, kind, start + j, i == 0 and start > 0, j == n and start + n < length)
         i = j
 
 
+def joined(pieces: list[Piece]) -> list[tuple[float, Span]]:
+    """(weight, span) of all windows of a text, in their order.
+
+    A piece that the right border cuts goes on in the next window's piece of
+    its kind, if that overlaps or touches it; so a span may be longer than any
+    window.  What no window completes is left out.
+    """
+    out: list[tuple[float, Span]] = []
+    cut: dict[int, Piece] = {}
+    for p in pieces:
+        before = cut.get(p.kind)
+        if not p.left and not p.right:
+            out.append((p.weight, (p.start, p.kind, p.end)))
+        if before and before.start <= p.start <= before.end <= p.end:
+            share = (p.end - before.end) / (p.end - p.start)
+            p = Piece(before.weight + p.weight * share, before.start, p.kind, p.end, before.left, p.right)
+            if not p.left and not p.right:
+                out.append((p.weight, (p.start, p.kind, p.end)))
+        if p.right:
+            cut[p.kind] = p
+    return out
+
+
 def find(texts: list[str], model: tagger.Tagger) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and added spans of each text."""
     base = [patterns(t) for t in texts]
     places = [(i, s) for i, t in enumerate(texts) for s in window_starts(t, base[i])]
-    found: dict[int, list[tuple[float, Span]]] = {}
+    found: dict[int, list[Piece]] = {}
     for k in range(0, len(places), BATCH):
         part = places[k:k + BATCH]
         codes = np.zeros((WINDOW, len(part)), np.int64)
@@ -248,11 +283,11 @@ def find(texts: list[str], model: tagger.Tagger) -> list[tuple[list[Span], list[
         for j, (i, s) in enumerate(part):
             n = min(WINDOW, len(texts[i]) - s)
             if tags[:n, j].any():
-                found.setdefault(i, []).extend(_spans(tags[:, j], probability[:, j], s, n, len(texts[i])))
+                found.setdefault(i, []).extend(_pieces(tags[:, j], probability[:, j], s, n, len(texts[i])))
     out = []
     for i, text in enumerate(texts):
         free = []
-        for weight, (start, kind, end) in found.get(i, ()):
+        for weight, (start, kind, end) in joined(found.get(i, [])):
             if plausible(kind, text[start:end]) and all(end <= s or start >= e for s, _, e in base[i]):
                 free.append((weight, (start, kind, end)))
         out.append((base[i], sorted(reconcile(free))))

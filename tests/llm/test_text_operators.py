@@ -212,6 +212,23 @@ def test_reconcile_and_windows():
                     any(s <= p < s + pii.WINDOW for s in starts)
 
 
+def test_spans_over_window_borders():
+    """A run that a perfect tagger marks comes out whole wherever it stands, and however many windows it spans."""
+    for length in (1, 20, 47, 48, 63, 64, 65, 100, 200, 1000):
+        for at in (0, 1, 31, 32, 33, 63, 64, 90):
+            for tail in (0, 1, 40, 200):
+                text = "a" * at + "7" * length + "b" * tail + "7"
+                if not tail:
+                    text = text[:-1]
+                pieces = []
+                for s in pii.window_starts(text, []):
+                    part = text[s:s + pii.WINDOW]
+                    tags = np.array([0 if c != "7" else 5 if s + j in (at, at + length + tail) else 6 for j, c in enumerate(part)])
+                    pieces += pii._pieces(tags, np.ones(len(tags)), s, len(part), len(text))
+                want = {(at, 2, at + length)} | ({(at + length + tail, 2, len(text))} if tail else set())
+                assert set(pii.reconcile(pii.joined(pieces))) == want, (length, at, tail)
+
+
 def test_personal_data(spark, corpus, docs_of, edge_rows):
     model = pii.train(corpus)
     rows = edge_rows + [(30, "mail a.b@c-d.example.org, ip 10.0.0.255 and 10.0.0.256, call +1 (017) 555-7713 é card 4111 1111 1111 1111"),
