@@ -50,16 +50,25 @@ def text_hash(text: Column) -> Column:
     return F.xxhash64(text.cast("string"))
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, with as many underscores after it as it takes to be no column of ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the rows whose id and text hash are in ``dropped`` (``_id``, ``_hash``), all columns as they were.
 
     The texts are not shuffled while the dropped keys are few enough to be broadcast.
     """
-    dropped = frozen(dropped.select(F.col("_id").alias("_dropped_id"), F.col("_hash").alias("_dropped_hash")).distinct())
+    names = unused(docs, "_dropped_id"), unused(docs, "_dropped_hash")
+    dropped = frozen(dropped.select(F.col("_id").alias(names[0]), F.col("_hash").alias(names[1])).distinct())
     if dropped.count() <= BROADCAST_KEYS:
         dropped = F.broadcast(dropped)
-    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_dropped_id"))
-            & (text_hash(F.col(f"`{text_col}`")) == F.col("_dropped_hash")))
+    same = (F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(names[0]))
+            & (text_hash(F.col(f"`{text_col}`")) == F.col(names[1])))
     return docs.join(dropped, same, "left_anti")
 
 

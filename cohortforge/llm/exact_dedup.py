@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import frozen, partitions, text_hash, without
+from .common import frozen, partitions, text_hash, unused, without
 
 RADIX = 16
 KEY = ("_sha", "_hash", "_len")
@@ -93,6 +93,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     once = without(docs, keys.where("not kept or n > 1"), id_col, text_col)
     if keys.where("kept and n > 1").isEmpty():
         return once
-    repeated = without(docs, keys.where("not kept or n = 1"), id_col, text_col).withColumn("_hash_", text_hash(F.col(f"`{text_col}`")))
-    place = F.row_number().over(Window.partitionBy(f"`{id_col}`", "_hash_").orderBy(F.lit(1)))
-    return once.unionByName(repeated.withColumn("_place_", place).where("_place_ = 1").drop("_place_", "_hash_"))
+    hashed, number = unused(docs, "_hash_"), unused(docs, "_place_")
+    repeated = without(docs, keys.where("not kept or n = 1"), id_col, text_col).withColumn(hashed, text_hash(F.col(f"`{text_col}`")))
+    place = F.row_number().over(Window.partitionBy(f"`{id_col}`", hashed).orderBy(F.lit(1)))
+    return once.unionByName(repeated.withColumn(number, place).where(F.col(number) == 1).drop(number, hashed))

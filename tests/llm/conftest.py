@@ -9,7 +9,7 @@ def docs_of(spark):
         df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr(
             "*", "'s' AS source", "cast(length(text) as long) AS n_chars")
         if extra:       # names that the operators use themselves
-            for c in ("_id", "_text", "kept", "class", "members", "_hash", "_parts", "label", "n", "shard", "_key", "span", "code"):
+            for c in ("_id", "_text", "kept", "class", "members", "_hash", "_parts", "label", "n", "shard", "_key", "span", "code", "_dropped_id", "_dropped_hash", "_hash_", "_place_", "_old"):
                 df = df.selectExpr("*", f"'x' AS `{c}`")
         return df
     return make
