@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.llm.bestfit import best_fit
+from cohortforge.llm.common import unused
 from cohortforge.llm.exact_dedup import drop_copies
 from cohortforge.llm.minhash_dedup import drop_near_duplicates
 from cohortforge.llm.quality import filter_quality
@@ -41,10 +42,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by a mark; ``n_chars`` follows the text."""
-    before = docs.withColumn("_old", F.col("text"))
-    after = redact(before)
-    changed = ~F.col("text").eqNullSafe(F.col("_old"))
-    return after.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    old = unused(docs, "_old")
+    after = redact(docs.withColumn(old, F.col("text")))
+    changed = ~F.col("text").eqNullSafe(F.col(old))
+    return after.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
