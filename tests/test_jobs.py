@@ -73,13 +73,13 @@ def test_build_train_submit(spark):
     assert spark.read.parquet(os.path.join(folder, "out", "encoder")).where("column = 'STATUS'").count() > 0
     assert oof.count() == 40 and fold_auc.count() == 5
     # encoder and scaler that learn from the training rows alone
-    wide = spark.read.parquet(os.path.join(folder, "features"))
-    df, numeric, cats, _ = jobs.prepare(wide, codes_path=os.path.join(folder, "train_codes"), fit_on="is_train")
+    wide = spark.read.parquet(os.path.join(folder, "features")).select("SK_ID_CURR", "TARGET", "is_train", "OCCUPATION_TYPE", "EXT_SOURCE_1", "AMT_CREDIT")
+    df, numeric, cats, _ = jobs.prepare(wide, encode=[], codes_path=os.path.join(folder, "train_codes"), fit_on="is_train")
     codes = spark.read.parquet(os.path.join(folder, "train_codes")).where("column = 'OCCUPATION_TYPE'")
     assert "only here in application_test" not in {r.value for r in codes.collect()}
-    assert df.where("SK_ID_CURR = 1000").first().OCCUPATION_TYPE == codes.count()
-    x = next(c for c in numeric if c.startswith("EXT_SOURCE"))
-    assert abs(df.where("is_train").agg({x: "avg"}).first()[0]) < 1e-9
+    rows = {r.SK_ID_CURR: r for r in df.collect()}
+    assert cats == ["OCCUPATION_TYPE"] and rows[1000].OCCUPATION_TYPE == codes.count()
+    assert abs(sum(r.AMT_CREDIT for r in rows.values() if r.is_train)) < 1e-9
     template = spark.createDataFrame([(1000 + i, 0.5) for i in range(10)], "SK_ID_CURR long, TARGET double")
     sub = jobs.submit(spark, os.path.join(folder, "out"), template, k=5)
     got = sub.collect()
