@@ -31,6 +31,7 @@ from cohortforge.operators.profile import fill_missing, prune_null_columns, repl
 from cohortforge.operators.stages import CategoryEncoder, ColumnScaler
 from cohortforge.plans.features import FeatureConfig, feature_engineering
 from cohortforge.session import checkpoint_dir
+from cohortforge.sources.layout import layout_of, read_stored, write_bucketed
 from cohortforge.sources.io import (
     output_dir, read_inputs, read_table, sample_scan, write_submission, write_table,
 )
@@ -49,9 +50,10 @@ META_COLS = ["SK_ID_CURR", "SK_ID_BUREAU", "SK_ID_PREV"]
 
 def build_features(spark: SparkSession, input_dir: str, out: str | None = None,
                    fmt: str = "csv", sample_size: int | None = None,
-                   cfg: FeatureConfig | None = None, out_fmt: str = "parquet") -> DataFrame:
+                   cfg: FeatureConfig | None = None, out_fmt: str = "parquet", buckets: int | None = None) -> DataFrame:
     """Stack train and test applications, enrich them from every history
-    table, and write the wide table (only for full runs, as the source job)."""
+    table, and write the wide table (only for full runs, as the source job),
+    in ``buckets`` buckets on the key if given."""
     cfg = cfg or FeatureConfig()
     t = read_inputs(spark, input_dir, fmt)
     k = cfg.key
@@ -66,6 +68,8 @@ def build_features(spark: SparkSession, input_dir: str, out: str | None = None,
                                hist["credit_card_balance"], hist["POS_CASH_balance"],
                                hist["previous_application"], hist["installments_payments"], cfg)
     if out and sample_size is None:
+        if buckets:
+            return write_bucketed(wide, out, k, buckets)
         write_table(wide, out, out_fmt)
     return wide
 
@@ -102,11 +106,12 @@ def prepare(features: DataFrame, label: str = "TARGET", key: str = "SK_ID_CURR",
 def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int = 5,
           kind: str = "mlp", max_iter: int = 30, stratified: bool = True,
           key: str = "SK_ID_CURR", label: str = "TARGET", sample_size: int | None = None,
-          encode: Sequence[str] = ENCODER_COLUMNS, fit_on: str | None = None):
-    """k-fold training; returns (oof_scores, fold_auc, overall_auc)."""
+          encode: Sequence[str] = ENCODER_COLUMNS, fit_on: str | None = None, buckets: int | None = None):
+    """k-fold training; returns (oof_scores, fold_auc, overall_auc).  With ``buckets`` the test matrix is
+    written in that many buckets on the key, and ``submit`` joins it to the template without an exchange."""
     out_dir = output_dir(out_dir, sample_size)
     if isinstance(features, str):
-        features = read_table(spark, features)
+        features = read_stored(spark, features)
     if sample_size is not None:     # n training rows, and n test rows: 2n in all
         features = sample_scan(features.filter("is_train"), sample_size, key).unionByName(
             sample_scan(features.filter("not is_train"), sample_size, key))
@@ -114,7 +119,11 @@ def train(spark: SparkSession, features: DataFrame | str, out_dir: str, k: int =
     with kept_tables():
         df, numeric, cats, _ = prepare(features, label, key, encode=encode, codes_path=os.path.join(out_dir, "encoder"), fit_on=fit_on)
         df = df.checkpoint(eager=True)             # one materialised copy for all fits
-    write_table(df.filter(~F.col("is_train")).drop(label), os.path.join(out_dir, "test_matrix"))
+    matrix, at = df.filter(~F.col("is_train")).drop(label), os.path.join(out_dir, "test_matrix")
+    if buckets:
+        write_bucketed(matrix, at, key, buckets)
+    else:
+        write_table(matrix, at)
     tr = df.filter(F.col("is_train"))
     tr = (stratified_folds(tr, label, key, k) if stratified else hash_folds(tr, key, k, 2018))
     oof, _ = fit_folds(tr, key, numeric, cats, label, "fold", k, kind, max_iter,
@@ -130,7 +139,10 @@ def submit(spark: SparkSession, out_dir: str, template: DataFrame, k: int = 5,
     fold and the averaged one (scores matched to the template by key)."""
     out_dir = output_dir(out_dir, sample_size)
     template = sample_scan(template, sample_size, key)
-    test = read_table(spark, os.path.join(out_dir, "test_matrix"))
+    at = os.path.join(out_dir, "test_matrix")
+    test, found = read_stored(spark, at), layout_of(spark, at)
+    if found:           # the template meets the scores k + 1 times: shuffled once, when it is stored
+        template = write_bucketed(template, os.path.join(out_dir, "template"), *found)
     scores = score_folds(load_models(os.path.join(out_dir, "models"), k), test, key)
     for f in range(k):
         write_submission(template, scores.filter(F.col("fold") == f)

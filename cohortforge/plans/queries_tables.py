@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from cohortforge.operators.join import chain_left_joins
@@ -9,6 +11,8 @@ from cohortforge.plans import blocks as B
 from cohortforge.plans import standins as S
 from cohortforge.plans.registry import register, rounded
 from cohortforge.plans.sqlgen import codes_cte, spec_select
+from cohortforge.session import checkpoint_dir
+from cohortforge.sources.layout import join_stored, store_blocks
 
 # --- A1 J1 A2 -----------------------------------------------------------------
 ROLLUP_SPEC = {
@@ -189,15 +193,30 @@ LEFT JOIN {_strip_key(CC_SQL, 'user_id', 'b5')} b5 ON c.c_custkey = b5.__k_b5
 """
 
 
-@register("feature_blocks_chain", CHAIN_SQL)
-def feature_blocks_chain(spark, d):
+def _chain_tables(spark, d):
     base = S.app(spark, d).select("c_custkey", "c_acctbal")
     blocks = [two_level_rollup_df(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
               previous_block_df(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
               pos_block_df(spark, d).withColumnRenamed("user_id", "c_custkey"),
               instalment_block_df(spark, d).withColumnRenamed("o_custkey", "c_custkey"),
               card_block_df(spark, d).withColumnRenamed("user_id", "c_custkey")]
-    return rounded(chain_left_joins(base, blocks, "c_custkey"))
+    return base, blocks
+
+
+@register("feature_blocks_chain", CHAIN_SQL)
+def feature_blocks_chain(spark, d):
+    return rounded(chain_left_joins(*_chain_tables(spark, d), "c_custkey"))
+
+
+# --- S3 S4 J18, co-partitioned -----------------------------------------------------
+@register("stored_blocks_chain", CHAIN_SQL)
+def stored_blocks_chain(spark, d):
+    """The application table and its blocks stored in buckets on the key, read back and joined without an exchange."""
+    base, blocks = _chain_tables(spark, d)
+    folder = f"{checkpoint_dir(spark)}/blocks-{uuid.uuid4().hex}"
+    names = ["bureau", "previous", "pos", "instalments", "card"]
+    store_blocks({"application": base, **dict(zip(names, blocks))}, folder, "c_custkey", int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rounded(join_stored(spark, folder, "application", names, "c_custkey"))
 
 
 # --- E10 (U1 F1 M1-M8 J16 W3 P2 E4) ---------------------------------------------

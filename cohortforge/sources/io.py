@@ -107,7 +107,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None,
     return clean_nan(_numbered(df, row) if row else df)
 
 
-def _there(spark: SparkSession, path: str) -> bool:
+def there(spark: SparkSession, path: str) -> bool:
     """Whether a path exists, in whatever file system Spark reads it from."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
@@ -120,7 +120,7 @@ def read_inputs(spark: SparkSession, input_dir: str, fmt: str = "csv",
     for name in names or schemas.TABLES:
         ext = ".parquet" if fmt == "parquet" else ".csv"
         path = f"{input_dir.rstrip('/')}/{name}{ext}"
-        if fmt == "csv" and not _there(spark, path) and _there(spark, path + ".gz"):
+        if fmt == "csv" and not there(spark, path) and there(spark, path + ".gz"):
             path += ".gz"
         out[name] = read_table(spark, path, schemas.TABLES.get(name) if fmt == "csv" else None,
                                fmt)
