@@ -168,7 +168,8 @@ def latest_rows(df: DataFrame, key: str, order_col: str, value_cols: Sequence[st
     text is aggregated or sorted.  Integral columns take one aggregate over
     both in one decimal; others take one for the order column and one over
     what it leaves.  Rows without a key or an order value are skipped; a
-    missing row id comes last.
+    missing row id comes last; rows of a key that are equal in ``value_cols``
+    count once.
     """
     wanted = list(dict.fromkeys(value_cols))
     rows = df.filter(F.col(key).isNotNull() & F.col(order_col).isNotNull())
@@ -181,7 +182,7 @@ def latest_rows(df: DataFrame, key: str, order_col: str, value_cols: Sequence[st
     for c in steps:
         best = rows.groupBy(key).agg(F.max(c).alias("__best")).withColumnRenamed(key, "__k")
         rows = rows.join(best, (F.col(key) == F.col("__k")) & F.col(c).eqNullSafe(F.col("__best")), "inner").drop("__k", "__best")
-    return rows.select(key, *[F.col(f"__v_{c}").alias(c) for c in value_cols])
+    return rows.select(key, *[F.col(f"__v_{c}").alias(c) for c in value_cols]).distinct()
 
 
 def group_by_key(df: DataFrame, key: str, exprs: Sequence[Column]) -> DataFrame:
@@ -189,6 +190,27 @@ def group_by_key(df: DataFrame, key: str, exprs: Sequence[Column]) -> DataFrame:
     return df.filter(F.col(key).isNotNull()).groupBy(key).agg(*exprs)
 
 
+def group_by_spec(df: DataFrame, key: str, spec: Mapping[str, Sequence[str]], prefix: str = "",
+                  extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per present key with the aggregates of ``spec`` and then ``extra``, in that order.
+
+    Distinct counts go their own narrow way: (key, value) pairs are made
+    distinct, then counted per key.  Inside one aggregate they would split the
+    buffers of all other columns by the distinct values.  Both sides come out
+    partitioned by the key, so that they meet without a further exchange.
+    """
+    distinct = {c: agg_name(prefix, c, "nunique") for c, aggs in spec.items() if "nunique" in aggs}
+    wide = {c: [a for a in aggs if a != "nunique"] for c, aggs in spec.items()}
+    out = group_by_key(df, key, [*agg_spec(wide, prefix), *(extra or ([] if any(wide.values()) else [F.count(F.lit(1)).alias("__rows")]))])
+    for c, name in distinct.items():
+        pairs = df.filter(F.col(key).isNotNull() & F.col(c).isNotNull()).select(F.col(key).alias("__dk"), F.col(c).alias("__dv")).distinct()
+        counts = pairs.groupBy("__dk").agg(F.count(F.lit(1)).alias("__dn"))
+        out = (out.join(counts, F.col(key) == F.col("__dk"), "left")
+                  .withColumn(name, F.coalesce(F.col("__dn"), F.lit(0))).drop("__dk", "__dn"))
+    order = [agg_name(prefix, c, a) for c, aggs in spec.items() for a in aggs]
+    return out.select(key, *order, *[c for c in out.columns if c not in {key, "__rows", *order}])
+
+
 def group_median(df: DataFrame, key: str, value: str, out: str, method: str = "exact",
                  accuracy: int = 10000) -> DataFrame:
     """Interpolated median of ``value`` per ``key`` (missing keys/values skipped).

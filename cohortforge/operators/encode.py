@@ -137,6 +137,33 @@ def factorize(df: DataFrame, cols: Sequence[str], order_cols: Sequence[str],
     return out.select(*df.columns)
 
 
+def _indicators(c: str, values: Sequence, nan_as_category: bool) -> dict[str, Column]:
+    """0/1 expressions of one column by their names: its values as sorted text, then the missing one."""
+    q = F.col(f"`{c}`")
+    out = {f"{c}_{v}": F.when(q == F.lit(v), 1).otherwise(0) for v in sorted(values, key=str)}
+    if nan_as_category:
+        out[f"{c}_nan"] = F.when(q.isNull(), 1).otherwise(0)
+    return out
+
+
+def _value_lists(df: DataFrame, cols: Sequence[str], max_values: int) -> dict[str, list | None]:
+    """The distinct values of each column, or None for a column with more than ``max_values`` of them.
+
+    One aggregate counts the distinct values of all columns as text, one row a
+    column; the lists that are read on the driver are bounded by ``max_values``.
+    """
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(cols)])
+    distinct = df.select(F.inline(pairs)).filter("v IS NOT NULL").distinct()
+    sizes = dict(distinct.groupBy("c").count().collect())
+    small = [i for i in range(len(cols)) if sizes.get(i, 0) <= max_values]
+    return {c: [r[0] for r in df.select(f"`{c}`").filter(F.col(f"`{c}`").isNotNull()).distinct().collect()] if i in small else None
+            for i, c in enumerate(cols)}
+
+
+def _text_columns(df: DataFrame, cols: Sequence[str] | None) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.typeName() == "string"] if cols is None else list(cols)
+
+
 def one_hot(df: DataFrame, cols: Sequence[str] | None = None, nan_as_category: bool = True,
             max_values: int = 10_000):
     """One 0/1 column ``{col}_{value}`` per distinct value (sorted), plus
@@ -144,26 +171,45 @@ def one_hot(df: DataFrame, cols: Sequence[str] | None = None, nan_as_category: b
     removed; new columns follow the kept ones.  Returns ``(df, new_cols)``.
 
     The value lists decide the output schema, so they are read on the
-    driver; each list is checked against ``max_values``.
+    driver; a column with more than ``max_values`` can't become columns and is
+    an error here: ``one_hot_split`` takes it, in long form.
     """
-    if cols is None:
-        cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    cols = list(cols)
-    keep = [c for c in df.columns if c not in cols]
-    new_exprs, new_cols = [], []
+    cols = _text_columns(df, cols)
+    lists = _value_lists(df, cols, max_values) if cols else {}
     for c in cols:
-        vals = df.select(c).filter(F.col(c).isNotNull()).distinct()
-        if vals.limit(max_values + 1).count() > max_values:
-            raise ValueError(f"column {c} has more than {max_values} values")
-        for (v,) in sorted(vals.collect(), key=lambda r: str(r[0])):
-            name = f"{c}_{v}"
-            new_exprs.append(F.when(F.col(c) == F.lit(v), 1).otherwise(0).alias(name))
-            new_cols.append(name)
-        if nan_as_category:
-            name = f"{c}_nan"
-            new_exprs.append(F.when(F.col(c).isNull(), 1).otherwise(0).alias(name))
-            new_cols.append(name)
-    return df.select(*keep, *new_exprs), new_cols
+        if lists[c] is None:
+            raise ValueError(f"column {c} has more than {max_values} values: use one_hot_split")
+    new = {n: e for c in cols for n, e in _indicators(c, lists[c], nan_as_category).items()}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], *[e.alias(n) for n, e in new.items()]), list(new)
+
+
+def one_hot_long(df: DataFrame, key: Sequence[str], cols: Sequence[str] | None = None, nan_as_category: bool = True) -> DataFrame:
+    """The ones of a one-hot encoding as rows ``(key..., column, feature)``, for any number of values.
+
+    ``feature`` is the name that the column would have.  A row with a missing
+    value has the feature ``{col}_nan``, or none without ``nan_as_category``.
+    Narrow: no value list, no shuffle.
+    """
+    key = list(key)
+    cols = [c for c in _text_columns(df, cols) if c not in key]
+    ones = F.array(*[F.struct(F.lit(c).alias("column"), F.concat(F.lit(f"{c}_"), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan") if nan_as_category else F.lit(None))).alias("feature"))
+                     for c in cols])
+    return df.select(*key, F.inline(ones)).filter(F.col("feature").isNotNull())
+
+
+def one_hot_split(df: DataFrame, key: Sequence[str], cols: Sequence[str] | None = None, nan_as_category: bool = True,
+                  max_values: int = 10_000):
+    """``one_hot`` for the columns with up to ``max_values`` values, ``one_hot_long`` for the others.
+
+    Returns ``(wide, new_cols, long)``; ``wide`` lacks the long columns, and
+    ``long`` (None if no column is beyond the limit) meets it on ``key``.
+    """
+    cols = _text_columns(df, cols)
+    lists = _value_lists(df, cols, max_values) if cols else {}
+    beyond = [c for c in cols if lists[c] is None]
+    new = {n: e for c in cols if c not in beyond for n, e in _indicators(c, lists[c], nan_as_category).items()}
+    wide = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in cols], *[e.alias(n) for n, e in new.items()])
+    return wide, list(new), one_hot_long(df, key, beyond, nan_as_category) if beyond else None
 
 
 def save_codes(table: DataFrame, path: str) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions.semantics import clip_positive, ratio, sentinel_to_null
-from cohortforge.operators.aggregate import agg_spec, group_by_key
+from cohortforge.operators.aggregate import agg_spec, group_by_key, group_by_spec
 from cohortforge.operators.encode import label_encode
 
 # Aggregate specs of the source job.
@@ -126,9 +126,8 @@ def installments_payments(ins: DataFrame, spec=None, key: str = "SK_ID_CURR",
               .withColumn("PAYMENT_DIFF", F.col(due) - F.col(paid))
               .withColumn("DPD", clip_positive(F.col(paid_day) - F.col(due_day)))
               .withColumn("DBD", clip_positive(F.col(due_day) - F.col(paid_day))))
-    exprs = agg_spec(_with_cat_means(spec, cats), prefix)
-    exprs.append(F.count(F.lit(1)).alias(f"{prefix}COUNT"))
-    return group_by_key(ins, key, exprs), cats
+    rows = F.count(F.lit(1)).alias(f"{prefix}COUNT")
+    return group_by_spec(ins, key, _with_cat_means(spec, cats), prefix, [rows]), cats
 
 
 def credit_card_balance(cc: DataFrame, key: str = "SK_ID_CURR", drop=("SK_ID_PREV",),

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortforge.functions.rowwise import row_mean, row_sum, with_row_kurtosis, with_row_std
-from cohortforge.functions.semantics import ratio
+from cohortforge.functions.semantics import ratio, sentinel_to_null
 from cohortforge.operators.aggregate import (
     AGGREGATES, agg_name, group_median, is_integral, latest_by, latest_struct, numeric_columns,
     packed_order, string_columns, weighted_mean,
@@ -111,10 +111,15 @@ class FeatureConfig:
     bb_month: str = "MONTHS_BALANCE"
     pos_key: str = "SK_ID_CURR"
     pos_month: str = "MONTHS_BALANCE"
-    # integral columns that tell rows of one key and month apart (None: a total order over all columns, by sorting)
+    # integral columns that tell rows of one key and month apart; bb_row_id is a feature too unless it starts with __ (None: a total order over all columns, by sorting)
     cc_row_id: str | None = None
     bb_row_id: str | None = None
     pos_row_id: str | None = None
+    # the latest balance row of the customer's records, instead of the one whose id is the mean of the customer's ids
+    bb_by_record: bool = False
+    # columns whose sentinel day count becomes missing before anything is derived from them
+    app_sentinels: list = field(default_factory=list)
+    prev_sentinels: list = field(default_factory=list)
     pos_wm: list = field(default_factory=lambda: list(REFERENCE_POS_WM))
     ins_key: str = "SK_ID_CURR"
     ins_std: list = field(default_factory=lambda: list(REFERENCE_INS_STD))
@@ -192,6 +197,10 @@ class _Block:
         self.parts.append((temps, bases, suffix))
 
 
+def _without_sentinels(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: sentinel_to_null(c) for c in cols}) if cols else df
+
+
 def _rekey(df: DataFrame, child_key: str, key: str) -> DataFrame:
     return df if child_key == key else df.withColumnRenamed(child_key, key)
 
@@ -202,18 +211,38 @@ def _with_latest(agg: DataFrame, child: DataFrame, key: str, month: str, cats: l
     return agg.join(rows, (F.col(key) == F.col("__lk")) & (F.col(packed) == F.col("__lo")), "left").drop("__lk", "__lo", packed)
 
 
+def balance_columns(bb: DataFrame, bb_id: str, row_id: str | None) -> list[str]:
+    """The balance columns that become features: all but the id, and but a row id named with a leading ``__``."""
+    return [c for c in bb.columns if c != bb_id and not (c == row_id and c.startswith("__"))]
+
+
+def latest_of_records(bureau: DataFrame, bb: DataFrame, key: str, bureau_id: str, bb_id: str, month: str,
+                      row_id: str | None = None) -> DataFrame:
+    """Per customer, the latest balance row of all its bureau records: ``(key, bb_id, other balance columns)``.
+
+    Each record is reduced to its latest row first, then the customer's
+    records to the one with the latest month (ties: the largest record id).
+    Customers without balance rows have no row.
+    """
+    cols = balance_columns(bb, bb_id, row_id)
+    per_record = latest_by(bb, bb_id, month, cols, cols, row_id)
+    owners = bureau.select(F.col(key), F.col(bureau_id).alias("__owned")).filter(F.col(key).isNotNull()).distinct()
+    rows = owners.join(per_record, F.col("__owned") == F.col(bb_id)).drop("__owned")
+    return latest_by(rows, key, month, [bb_id, *cols], row_id=bb_id)
+
+
 def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: DataFrame,
                         pos: DataFrame, prev: DataFrame, ins: DataFrame,
                         cfg: FeatureConfig | None = None) -> DataFrame:
     """One row per application row, with every history block joined on."""
     cfg = cfg or FeatureConfig()
     k, sx = cfg.key, cfg.suffixes
-    left = application_features(app, cfg)
+    left = application_features(_without_sentinels(app, cfg.app_sentinels), cfg)
     names = MergeNames(left.columns)
     aggs: list[tuple[DataFrame, list]] = []
 
     # previous applications: totals, means, modal category codes
-    p = _rekey(prev, cfg.prev_key, k)
+    p = _rekey(_without_sentinels(prev, cfg.prev_sentinels), cfg.prev_key, k)
     pb = _Block("p")
     pb.part([(n, AGGREGATES[fn](F.col(c))) for n, c, fn in cfg.prev_totals], None)
     pb.part([(c, AGGREGATES["mean"](F.col(c))) for c in numeric_columns(p, [k])], sx["prev_mean"])
@@ -257,15 +286,19 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
     bbk.part([(k, F.count(F.lit(1)))], sx["cnt_bureau"])
     b_agg = b.filter(F.col(k).isNotNull()).groupBy(k).agg(*bbk.exprs)
     mean_id_temp = bbk.parts[0][0][b_num.index(cfg.bureau_id)]
-    bb_cols = [x for x in bb.columns if x != cfg.bb_id]
-    # only balance rows of ids that are some customer's mean id are reduced
-    mean_ids = b_agg.select(F.col(mean_id_temp).alias("__m")).filter("__m = floor(__m)").select(F.col("__m").cast("long").alias("__id")).distinct()
-    wanted = bb.join(mean_ids, F.col(cfg.bb_id) == F.col("__id"), "left_semi")
-    latest_bb = (latest_by(wanted, cfg.bb_id, cfg.bb_month, bb_cols, bb_cols, cfg.bb_row_id)
-                   .select(F.col(cfg.bb_id).cast("double").alias("__bbk"),
-                           F.col(cfg.bb_id).alias("__bbid"),
-                           *[F.col(x).alias(f"__bl_{x}") for x in bb_cols]))
-    b_agg = b_agg.join(latest_bb, F.col(mean_id_temp) == F.col("__bbk"), "left").drop("__bbk")
+    bb_cols = balance_columns(bb, cfg.bb_id, cfg.bb_row_id)
+    if cfg.bb_by_record:
+        latest_bb = latest_of_records(b, bb, k, cfg.bureau_id, cfg.bb_id, cfg.bb_month, cfg.bb_row_id).withColumnRenamed(k, "__bbk")
+        on = F.col(k) == F.col("__bbk")
+    else:
+        # only balance rows of ids that are some customer's mean id are reduced
+        mean_ids = b_agg.select(F.col(mean_id_temp).alias("__m")).filter("__m = floor(__m)").select(F.col("__m").cast("long").alias("__id")).distinct()
+        wanted = bb.join(mean_ids, F.col(cfg.bb_id) == F.col("__id"), "left_semi")
+        latest_bb = (latest_by(wanted, cfg.bb_id, cfg.bb_month, bb_cols, bb_cols, cfg.bb_row_id)
+                     .withColumn("__bbk", F.col(cfg.bb_id).cast("double")))
+        on = F.col(mean_id_temp) == F.col("__bbk")
+    latest_bb = latest_bb.select("__bbk", F.col(cfg.bb_id).alias("__bbid"), *[F.col(x).alias(f"__bl_{x}") for x in bb_cols])
+    b_agg = b_agg.join(latest_bb, on, "left").drop("__bbk")
     aggs.append((b_agg, bbk.parts))
     bb_part = (["__bbid"] + [f"__bl_{x}" for x in bb_cols], [cfg.bb_id] + bb_cols, sx["bb_latest"])
 
@@ -316,7 +349,7 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
     # the latest balance row joins on the bureau mean id: one key column when
     # both sides use one name, both columns otherwise
     mean_id_name = dict(final)[mean_id_temp]
-    if mean_id_name == cfg.bb_id:
+    if mean_id_name == cfg.bb_id and not cfg.bb_by_record:
         take((bb_part[0][1:], bb_part[1][1:], bb_part[2]))
     else:
         take(bb_part)

@@ -11,6 +11,7 @@ from cohortforge.operators.aggregate import (
 from cohortforge.operators.encode import mode_codes
 from cohortforge.operators.join import left_join_suffix
 from cohortforge.plans import standins as S
+from cohortforge.plans.features import latest_of_records
 from cohortforge.plans.registry import register, rounded
 
 R = "round({0}, 4) AS {0}"
@@ -247,15 +248,32 @@ def latest_on_mean_key(spark, d):
     a = S.app(spark, d).select("c_custkey")
     o = S.bureau(spark, d)
     m = group_by_key(o, "o_custkey", [F.avg("o_orderkey").alias("o_orderkey")])
-    bb = S.bureau_balance(spark, d)
+    bb = S.bureau_balance_rows(spark, d)
     ids = m.filter("o_orderkey = floor(o_orderkey)").select(F.col("o_orderkey").cast("long").alias("__id")).distinct()
     bb = bb.join(ids, F.col("l_orderkey") == F.col("__id"), "left_semi")
-    latest = latest_by(bb, "l_orderkey", "MONTHS_BALANCE", _BB_COLS, row_id="l_linenumber")
+    latest = latest_by(bb, "l_orderkey", "MONTHS_BALANCE", _BB_COLS, row_id="__row")
     latest = latest.withColumn("__k", F.col("l_orderkey").cast("double"))
     m = left_join_suffix(m, latest, "o_orderkey", "__k", "_B_B")
     return rounded(left_join_suffix(a, m, "c_custkey", "o_custkey"))
 
 
+# --- J10 per record -----------------------------------------------------------
+@register("latest_of_records", f"""
+WITH bb AS {S.SQL_BB},
+l AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY MONTHS_BALANCE DESC, l_linenumber DESC,
+          l_quantity DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM bb) WHERE rn = 1),
+r AS (SELECT o_custkey, l.*, row_number() OVER (PARTITION BY o_custkey ORDER BY MONTHS_BALANCE DESC, l_orderkey DESC) AS rn
+      FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) JOIN l ON o_orderkey = l_orderkey)
+SELECT c.c_custkey, r.l_orderkey, r.l_linenumber, round(r.l_quantity, 4) AS l_quantity, r.l_returnflag, r.l_linestatus, r.MONTHS_BALANCE
+FROM customer c LEFT JOIN r ON c.c_custkey = r.o_custkey AND r.rn = 1
+""")
+def latest_of_records_q(spark, d):
+    latest = latest_of_records(S.bureau(spark, d), S.bureau_balance_rows(spark, d), "o_custkey", "o_orderkey", "l_orderkey",
+                               "MONTHS_BALANCE", "__row")
+    return rounded(left_join_suffix(S.app(spark, d).select("c_custkey"), latest, "c_custkey", "o_custkey"))
+
+
 # --- A15 J15 ------------------------------------------------------------------
 @register("child_counts", f"""
 SELECT c.c_custkey, b.n AS c_custkey_CNT_BUREAU, e.n AS c_custkey_CNT_CRED_CARD,

@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortforge.operators import encode as E
 from cohortforge.operators import profile as P
@@ -17,8 +18,9 @@ from cohortforge.operators.model import ensemble_mean, feature_stages, fit_folds
 from cohortforge.operators.stages import CategoryEncoder, ColumnScaler
 from cohortforge.plans import standins as S
 from cohortforge.session import checkpoint_dir
-from cohortforge.plans.registry import register, rounded
-from cohortforge.sources.io import sample_scan
+from cohortforge.plans.registry import ORACLE, register, rounded
+from cohortforge.sources.io import output_dir, read_table, sample_scan, write_submission, write_table
+from cohortforge.sources.layout import write_bucketed
 
 # --- E1 F5 J19 E6 -------------------------------------------------------------
 @register("label_encode", f"""
@@ -140,6 +142,22 @@ def one_hot_q(spark, d):
     return rounded(out)
 
 
+@register("one_hot_long", f"""
+WITH p AS {S.SQL_PREV},
+w AS (SELECT o_orderkey, 'day' AS "column", 'day_' || CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS feature FROM orders)
+SELECT w.o_orderkey, w."column", w.feature, CAST(coalesce(o_orderpriority = '1-URGENT', false) AS INTEGER) AS urgent,
+       CAST(o_orderpriority IS NULL AS INTEGER) AS missing
+FROM w JOIN p ON w.o_orderkey = p.o_orderkey
+""")
+def one_hot_long_q(spark, d):
+    """Priorities as columns, days (more values than the limit) as long rows, met on the key again."""
+    days = S.table(spark, d, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").cast("string").alias("day"),
+                                              F.nullif("o_orderpriority", F.lit(S.MISSING_PRIORITY)).alias("o_orderpriority"))
+    wide, _, long = E.one_hot_split(days, ["o_orderkey"], max_values=5)
+    return long.join(wide, "o_orderkey").select("o_orderkey", "column", "feature", F.col("o_orderpriority_1-URGENT").alias("urgent"),
+                                                F.col("o_orderpriority_nan").alias("missing"))
+
+
 # --- F8 F9 F3 F2 --------------------------------------------------------------
 def _profile_frame(spark, d):
     """customer with card and order blocks joined on: many missing values."""
@@ -581,6 +599,24 @@ def saved_pipeline_scores(spark, d):
     return rounded(probability_of_one(_fitted(spark, stages, rows.filter("is_train")).transform(rows)).select("o_orderkey", "score"))
 
 
+# --- S1 S3 S5 S6 S7 S8: every file of the chain ------------------------------------
+@register("submission_files", ORACLE["saved_pipeline_scores"].replace("AS score FROM l GROUP BY 1", 'AS "TARGET" FROM l WHERE o_orderkey % 3 <> 0 GROUP BY 1'))
+def submission_files(spark, d):
+    """Features to CSV and back, a saved pipeline, the test matrix and the template in buckets, the submission file read back."""
+    folder = f"{output_dir(checkpoint_dir(spark), None)}/chain-{uuid.uuid4().hex}"
+    write_table(_fit_frame(spark, d), f"{folder}/features.csv", "csv")
+    schema = StructType.fromDDL("o_orderkey long, day string, price double, is_train boolean, label double")
+    rows = read_table(spark, f"{folder}/features.csv", schema)
+    stages = [CategoryEncoder(cols=["day"]), ColumnScaler(cols=["day", "price"]), *feature_stages(["day", "price"], []), make_classifier("gaussian_nb")]
+    model = _fitted(spark, stages, rows.filter("is_train"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    matrix = write_bucketed(rows.filter("NOT is_train").drop("label"), f"{folder}/test_matrix", "o_orderkey", buckets)
+    template = write_bucketed(rows.filter("NOT is_train").select("o_orderkey", F.lit(0.5).alias("TARGET")), f"{folder}/template", "o_orderkey", buckets)
+    scores = probability_of_one(model.transform(matrix)).select("o_orderkey", F.col("score").alias("TARGET"))
+    write_submission(template, scores, "o_orderkey", f"{folder}/submission.csv")
+    return rounded(read_table(spark, f"{folder}/submission.csv", StructType.fromDDL("o_orderkey long, TARGET double")))
+
+
 # --- with a classifier that has no closed form ----------------------------------
 def _oof_frame(spark, d):
     p = S.prev_with_credit(spark, d)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from cohortforge.functions.semantics import NO_DATE_SENTINEL
 from cohortforge.plans import standins as S
 from cohortforge.plans.features import FeatureConfig, feature_engineering
 from cohortforge.plans.registry import register, rounded
@@ -26,13 +31,13 @@ STANDIN_CONFIG = FeatureConfig(
     bb_id="l_orderkey",
     pos_key="user_id", pos_wm=["value"],
     ins_key="o_custkey", ins_std=["AMT_INSTALMENT", "AMT_PAYMENT"],
-    cc_row_id="event_id", pos_row_id="event_id", bb_row_id="l_linenumber",
+    cc_row_id="event_id", pos_row_id="event_id", bb_row_id="__row",
 )
 
 
 def wide_features_df(spark, d):
     bal = S.balance(spark, d)
-    return feature_engineering(S.app(spark, d), S.bureau(spark, d), S.bureau_balance(spark, d),
+    return feature_engineering(S.app(spark, d), S.bureau(spark, d), S.bureau_balance_rows(spark, d),
                                bal, bal, S.prev(spark, d), S.instalments(spark, d),
                                STANDIN_CONFIG)
 
@@ -156,3 +161,32 @@ LEFT JOIN ia ON app.c_custkey = ia.o_custkey
 @register("wide_features", WIDE_SQL)
 def wide_features(spark, d):
     return rounded(wide_features_df(spark, d))
+
+
+# --- options of the wide build: latest balance per record, sentinel days cleaned first ----
+@register("wide_options", f"""
+WITH bb AS {S.SQL_BB}, p AS {S.SQL_PREV_CREDIT},
+l AS (SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY MONTHS_BALANCE DESC, l_linenumber DESC,
+          l_quantity DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM bb) WHERE rn = 1),
+r AS (SELECT o_custkey, l.*, row_number() OVER (PARTITION BY o_custkey ORDER BY MONTHS_BALANCE DESC, l_orderkey DESC) AS rn
+      FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) JOIN l ON o_orderkey = l_orderkey),
+pa AS (SELECT o_custkey, count(o_custkey) AS PREV_APP_COUNT, avg(DAYS_DECISION) AS DAYS_DECISION,
+              avg(nullif(DAYS_FIRST_DUE, 365243)) AS DAYS_FIRST_DUE, avg(AMT_CREDIT) AS AMT_CREDIT FROM p GROUP BY 1),
+ba AS (SELECT o_custkey, avg(o_orderkey) AS mk FROM orders GROUP BY 1)
+SELECT c.c_custkey, nullif(c.c_nationkey, 24) AS c_nationkey, pa.PREV_APP_COUNT, round(pa.DAYS_DECISION, 4) AS DAYS_DECISION,
+       round(pa.DAYS_FIRST_DUE, 4) AS DAYS_FIRST_DUE, round(pa.AMT_CREDIT, 4) AS AMT_CREDIT,
+       round(ba.mk, 4) AS o_orderkey_BAVG, r.l_orderkey, r.l_linenumber, r.l_returnflag, r.MONTHS_BALANCE AS MONTHS_BALANCE_B_B
+FROM customer c LEFT JOIN pa ON c.c_custkey = pa.o_custkey LEFT JOIN ba ON c.c_custkey = ba.o_custkey
+LEFT JOIN r ON c.c_custkey = r.o_custkey AND r.rn = 1
+""")
+def wide_options(spark, d):
+    """The wide build with ``bb_by_record`` and sentinels cleaned in both tables (the stand-in's application marker is nation 24, moved to the sentinel)."""
+    app = S.app(spark, d).withColumn("c_nationkey", F.when(F.col("c_nationkey") == 24, F.lit(NO_DATE_SENTINEL)).otherwise(F.col("c_nationkey")))
+    cfg = replace(STANDIN_CONFIG, bb_by_record=True, app_sentinels=["c_nationkey"], prev_sentinels=["DAYS_FIRST_DUE"],
+                  prev_totals=STANDIN_CONFIG.prev_totals[:1])
+    bal = S.balance(spark, d)
+    wide = feature_engineering(app, S.bureau(spark, d), S.bureau_balance_rows(spark, d), bal, bal,
+                               S.prev_with_credit(spark, d), S.instalments(spark, d), cfg)
+    return rounded(wide.select("c_custkey", F.col("c_nationkey").cast("int").alias("c_nationkey"), "PREV_APP_COUNT", "DAYS_DECISION", "DAYS_FIRST_DUE",
+                               "AMT_CREDIT", "o_orderkey_BAVG", "l_orderkey", "l_linenumber", "l_returnflag", "MONTHS_BALANCE_B_B"))

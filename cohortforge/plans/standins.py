@@ -58,6 +58,15 @@ def bureau_balance(spark, sf_dir) -> DataFrame:
         month_offset("l_shipdate", ORDERS_END, 30).alias("MONTHS_BALANCE"))
 
 
+def bureau_balance_rows(spark, sf_dir) -> DataFrame:
+    """Bureau balance with ``__row``, the order of a month's rows by line number, quantity, flag and status in one number.
+
+    The line number alone does not tell the rows of an order apart.
+    """
+    by_line = F.col("l_linenumber").cast("long") * 1_000_000 + (F.col("l_quantity") * 100).cast("long")
+    return bureau_balance(spark, sf_dir).withColumn("__row", (by_line * 256 + F.ascii("l_returnflag")) * 256 + F.ascii("l_linestatus"))
+
+
 def balance(spark, sf_dir) -> DataFrame:
     """Card and POS balance rows."""
     return table(spark, sf_dir, "events").select(
