@@ -122,3 +122,17 @@ def test_latest_of_records(spark):
     assert sorted(map(tuple, got.collect())) == [(1, 11, -1, "z"), (2, 12, -5, "q")]
     total = latest_of_records(bureau, bb.drop("__row"), "c", "b", "b", "m")
     assert sorted(map(tuple, total.collect())) == [(1, 11, -1, "z"), (2, 12, -5, "q")]
+
+
+def test_train_and_submit_over_bucketed_tables(spark, folder):
+    from cohortforge.plans import jobs
+    rows = [(i, float(i % 2) if i < 40 else None, i < 40, float(i % 7), "ab"[i % 2]) for i in range(52)]
+    features = write_bucketed(spark.createDataFrame(rows, "SK_ID_CURR long, TARGET double, is_train boolean, x double, s string"), f"{folder}/features", "SK_ID_CURR", 4)
+    assert features.count() == 52
+    oof, _, _ = jobs.train(spark, f"{folder}/features", f"{folder}/out", k=2, kind="logistic", max_iter=3, encode=[], buckets=3)
+    assert oof.count() == 40 and layout_of(spark, f"{folder}/out/test_matrix") == ("SK_ID_CURR", 3)
+    template = spark.createDataFrame([(i, 0.5) for i in range(40, 52)], "SK_ID_CURR long, TARGET double")
+    got = {r.SK_ID_CURR: r.TARGET for r in jobs.submit(spark, f"{folder}/out", template, k=2).collect()}
+    assert sorted(got) == list(range(40, 52)) and all(0 <= v <= 1 for v in got.values())
+    folds = [spark.read.option("header", True).csv(f"{folder}/out/fold_{f}_submission").count() for f in (1, 2)]
+    assert folds == [12, 12]
