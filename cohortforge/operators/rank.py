@@ -1,7 +1,7 @@
 """Running totals and row positions in a global order, without one-task windows.
 
 A window with ``orderBy`` and no (or a coarse) ``partitionBy`` sorts a whole
-partition group in one task.  Here the order column is cut into ranges at
+partition group in one task.  Here the order (one column, or several as a tuple) is cut into ranges at
 quantiles of a sample of rows: each range is a window partition of bounded size,
 per-range totals (a table of ``groups x ranges`` rows) give each range its
 starting offset, and offset + position inside the range is the exact global
@@ -22,12 +22,16 @@ from pyspark.sql import functions as F
 SAMPLED = 8     # rows looked at per range, to place the cuts; they only balance the work
 
 
-def _ranges(df: DataFrame, order: str, n_ranges: int | None) -> DataFrame:
-    """``df`` with a range number ``__r``; any type that Spark can sort, NULL in the first range."""
+def _ranges(df: DataFrame, order: Sequence[str], n_ranges: int | None) -> DataFrame:
+    """``df`` with a range number ``__r``; any types that Spark can sort, NULL first.
+
+    Several order columns are cut as one tuple, so that a first column with
+    one hot value is cut by those after it.
+    """
     n = n_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if n <= 1:
         return df.withColumn("__r", F.lit(0))
-    value = F.col(order)
+    value = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])
     hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     h = F.xxhash64(*hashed)
     # about four times as many rows as are needed leave their tasks, whatever their number
@@ -60,7 +64,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[str],
     ``order`` (a total order), within each ``by`` group.  NULL is a group of
     its own, and comes first in the order."""
     by, order, values = list(by), list(order), list(values)
-    r = _ranges(df, order[0], n_ranges)
+    r = _ranges(df, order, n_ranges)
     wi = (Window.partitionBy(*by, "__r").orderBy(*order)
                 .rowsBetween(Window.unboundedPreceding, -1))
     totals = r.groupBy(*by, "__r").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
