@@ -77,6 +77,44 @@ def test_kneser_ney_is_a_distribution_and_matches_the_formula():
         assert model.score(np.array([code], np.uint32))[0] == pytest.approx(np.log(p3), abs=1e-4)
 
 
+def test_different_trigrams_are_counted_apart(docs_of):
+    texts = ["é", "É", "ã©", " a", "\na", "\x01a", "\x00", "\x00\x00", "я", "\U0001f600", "\x7f", "ÿ", "aé", "a\tb"]
+    grams = {}
+    for t in texts:
+        raw = b"??" + t.encode()
+        codes = quality.trigram_codes(np.frombuffer(raw[2:], np.uint8), np.array([0, len(raw) - 2])).tolist()
+        for i, c in enumerate(codes):
+            gram = tuple(raw[i + k] if i + k >= 2 else None for k in range(3))      # None: before the text
+            assert grams.setdefault(c, gram) == gram
+    # a model over all bytes is a distribution, and tells é from É
+    rows = [(i, "un été déjà passé près de la forêt où le blé a levé " * 3) for i in range(5)]
+    model = quality.count_trigrams(docs_of([(*r, "fr") for r in rows]))["fr"]
+    raw = np.frombuffer("été ÉtÉ".encode(), np.uint8)
+    codes = quality.trigram_codes(raw, np.array([0, len(raw)]))
+    for c in codes.tolist():
+        every = np.array([c & ~((1 << 21) | 127) | (s & 127) | (s >> 7) << 21 for s in range(256)], np.uint32)
+        assert np.exp(model.score(every).astype(float)).sum() == pytest.approx(1, abs=1e-3)
+    scores = model.score(codes)
+    assert scores[:5].sum() > scores[6:].sum() + 2
+
+
+def test_counts_do_not_depend_on_when_they_are_added_up(spark, corpus, monkeypatch):
+    docs = corpus.where("doc_id < 60").coalesce(1)
+    whole = quality.count_trigrams(docs)
+    monkeypatch.setattr(quality, "CELLS", 500)
+    parts = quality.Counts()
+    codes = np.random.default_rng(4).integers(0, 3000, (40, 300)).astype(np.uint32)
+    for some in codes:
+        parts.add(some)
+    assert [x.tolist() for x in parts.total()] == [x.tolist() for x in np.unique(codes, return_counts=True)]
+    assert len(parts.waiting) == 1
+    texts = [r.text.encode() for r in docs.where("lang = 'en' and text is not null").collect()]
+    raw, offsets = np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    learn = np.repeat(quality.looks_like_prose(raw, offsets), np.diff(offsets))
+    want = quality.kneser_ney(*np.unique(quality.trigram_codes(raw, offsets)[learn], return_counts=True), quality.SYMBOLS)
+    assert whole["en"].keys.tolist() == want.keys.tolist() and np.allclose(whole["en"].logp, want.logp)
+
+
 def test_quality_keeps_clean_and_rejects_junk(spark, corpus):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     rows = quality.quality(corpus).join(labels, "doc_id").where("not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
