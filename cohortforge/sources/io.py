@@ -60,12 +60,14 @@ def _numbered(df: DataFrame, row: str) -> DataFrame:
     """``df`` with its ``_FILE``, ``_BLOCK`` and ``_AT`` turned into ``row``, 0-based: files by path, their splits by start, rows as they stand.
 
     The rows of each split are counted (a pass that reads no column), the
-    counts before it added up, and the place inside the split is added.
+    counts before it added up, and the place inside the split is added.  The
+    counts, one row per split, are broadcast: all rows of a file share their
+    key, and a shuffle by it would send them to one task.
     """
     splits = df.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias("__n"), F.min(_AT).alias("__from"))
     earlier = Window.orderBy(_FILE, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)       # one row per split, in one task
     before = splits.select(F.col(_FILE).alias("__f"), F.col(_BLOCK).alias("__b"), "__from", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    out = df.join(before, (F.col(_FILE) == F.col("__f")) & (F.col(_BLOCK) == F.col("__b")), "left")
+    out = df.join(F.broadcast(before), (F.col(_FILE) == F.col("__f")) & (F.col(_BLOCK) == F.col("__b")), "left")
     return out.withColumn(row, F.col("__before") + F.col(_AT) - F.col("__from")).drop(_FILE, _BLOCK, _AT, "__f", "__b", "__from", "__before")
 
 

@@ -115,3 +115,17 @@ def test_file_order_over_several_files(spark, tmp_path):
     empty = str(tmp_path / "none.parquet")
     spark.range(0).write.parquet(empty)
     assert io.read_table(spark, empty, row="n").columns == ["id", "n"] and io.read_table(spark, empty, row="n").count() == 0
+
+
+def test_file_order_shuffles_no_rows(spark, tmp_path):
+    """All rows of a file have one key: the counts of the splits are broadcast, whatever the planner takes their size to be."""
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 4000, 1, 3).selectExpr("id", "id % 7 AS g").write.parquet(path)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        t = io.read_table(spark, path, row="n")
+        plan = io.sample_scan(t, 9, "n")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
