@@ -129,3 +129,14 @@ def test_file_order_shuffles_no_rows(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_latest_in_file_order_shuffles_by_its_key_alone(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 4000, 1, 1).selectExpr("id", "id % 700 AS g", "id % 3 AS m").write.parquet(path)
+    t = io.read_table(spark, path, row="n").withColumn("first", -F.col("n"))
+    out = latest_by(t, "g", "m", ["id"], row_id="first")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    by = [x for x in plan.splitlines() if "hashpartitioning(" in x and "__file" in x]
+    assert len(by) <= 2             # the counts of the splits, once for each read of the table; never the rows
+    assert {r.g: r.id for r in out.collect()} == {g: min(i for i in range(4000) if i % 700 == g and i % 3 == max(k % 3 for k in range(4000) if k % 700 == g)) for g in range(700)}
