@@ -46,6 +46,8 @@ DEVIATIONS = 5.45       # of the estimate at the threshold: 0.15 for 0.85
 NO_ID = 2**63 - 1       # a null id: after all others
 SMALL = 32              # members of a bucket that are compared one by one
 BROADCAST_IDS = 2_000_000   # at most 32 MB
+NARROW = 100_000        # rows of a checkpoint file: of a few numbers each,
+SETS = 2_000            # or of a set each
 
 _rng = np.random.default_rng(168)
 _XOR = _rng.integers(0, 2**32, (SAMPLES, 1), dtype=np.uint32)
@@ -196,47 +198,52 @@ def _likely(percent: int) -> Column:
             & (estimate(F.col("x.sketch"), F.col("y.sketch")) >= percent / 100 - margin(percent)))
 
 
-def sets_of(some: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
-    """(``class``, ``members``): the full sets of the classes in ``some`` (``class``, distinct)."""
-    wanted = frozen(classes.select("class", "label", "s1", "s2", "n").join(some, "class"))
-    ids = wanted.select(F.col("label").alias("_id")).distinct()
-    if wanted.count() <= BROADCAST_IDS:     # 16 bytes each; beyond that, a shuffled join
+def sets_of(some: DataFrame, most: int, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(``class``, ``members``): the full sets of the classes in ``some`` (``class``, distinct, ``most`` at most)."""
+    some = frozen(some, most, NARROW)
+    wanted = frozen(classes.select("class", "label", "s1", "s2", "n").join(some, "class"), some.count(), NARROW)
+    ids, n = wanted.select(F.col("label").alias("_id")).distinct(), wanted.count()
+    if n <= BROADCAST_IDS:     # 16 bytes each; beyond that, a shuffled join
         ids = F.broadcast(ids)
     return frozen(full_sets(rows.join(ids, "_id", "left_semi")).join(wanted.select("class", "s1", "s2", "n"), ["s1", "s2", "n"])
-                  .groupBy("class").agg(F.first("members").alias("members")))
+                  .groupBy("class").agg(F.first("members").alias("members")), n, SETS)
 
 
 def confirm(pairs: DataFrame, classes: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) of classes whose full sets are similar enough."""
-    pairs = frozen(pairs)
+    """The pairs (``a``, ``b``; frozen) of classes whose full sets are similar enough."""
+    n = pairs.count()
     ends = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    sets = sets_of(ends, classes, rows)
+    sets = sets_of(ends, 2 * n, classes, rows)
     both = (pairs.join(sets.select(F.col("class").alias("a"), F.col("members").alias("_x")), "a")
             .join(sets.select(F.col("class").alias("b"), F.col("members").alias("_y")), "b"))
     common = F.size(F.array_intersect("_x", "_y"))
-    return both.where(100 * common >= percent * (F.size("_x") + F.size("_y") - common)).select("a", "b")
+    return frozen(both.where(100 * common >= percent * (F.size("_x") + F.size("_y") - common)).select("a", "b"), n)
 
 
-def rare_prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+def rare_prefix_pairs(sets: DataFrame, percent: int) -> tuple[DataFrame, int]:
     """All pairs (``a``, ``b``) of different roots that may be similar enough; ``sets``: ``class``, ``root``, ``members``, ``whole``.
 
     In the order of frequency, rarest first, two sets that are similar enough
     share a shingle within the first n - ceil(percent * n / 100) + 1 of each,
     and what follows their first common one leaves room for the overlap needed.
+    The number: of (class, shingle) rows that are joined.
     """
+    total = sets.agg(F.sum(F.size("members"))).first()[0] or 0
     shingles = sets.select("class", "root", F.size("members").alias("n"), F.explode("members").alias("t"))
     often = shingles.groupBy("t").agg(F.count(F.lit(1)).alias("f"))
     place = F.row_number().over(Window.partitionBy("class").orderBy("f", "t"))
     prefix = frozen(shingles.join(often, "t").withColumn("i", place)
-                    .where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("f") > 1)).drop("f"))
+                    .where((F.col("i") <= F.col("n") - F.ceil(percent * F.col("n") / 100) + 1) & (F.col("f") > 1)).drop("f"), total, NARROW)
+    n = prefix.count()
     mixed = prefix.groupBy("t").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("t")
     prefix = prefix.join(mixed, "t").join(sets.select("class", "whole"), "class")
     room = 1 + F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i"))
-    return (prefix.alias("x").join(prefix.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.class") < F.col("y.class"))
-                                   & (F.col("x.root") != F.col("y.root"))
-                                   & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-                                   & (room * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))) & _few_differ(percent))
-            .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
+    pairs = (prefix.alias("x").join(prefix.alias("y"), (F.col("x.t") == F.col("y.t")) & (F.col("x.class") < F.col("y.class"))
+                                    & (F.col("x.root") != F.col("y.root"))
+                                    & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
+                                    & (room * (100 + percent) >= percent * (F.col("x.n") + F.col("y.n"))) & _few_differ(percent))
+             .select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct())
+    return pairs, n
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -251,17 +258,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that repeat are of one class and get the same result.  Other columns
     are not read.  An empty table gives an empty result.
     """
-    return _grouped(docs, id_col, text_col, percent).drop("_hash")
+    return _grouped(docs, id_col, text_col, percent)[0].drop("_hash")
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """``near_duplicates`` with the text's hash."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> tuple[DataFrame, int]:
+    """``near_duplicates`` with the text's hash, and the number of rows."""
     rows = _identified(docs, id_col, text_col)
     signed = frozen(signatures(rows, percent))
+    n_rows = signed.count()
     classes = frozen(signed.where("n > 0").groupBy("s1", "s2", "n").agg(
         F.min("_id").alias("label"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
         F.first("whole").alias("whole"))
-        .withColumn("class", F.monotonically_increasing_id()))
+        .withColumn("class", F.monotonically_increasing_id()), n_rows)
     of_class = classes.select("class", "n", "sketch", "whole")
 
     def matched(pairs: DataFrame) -> DataFrame:
@@ -272,18 +280,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     def joined_with(links: DataFrame, roots: DataFrame) -> DataFrame:
         if links.isEmpty():
             return roots
-        return components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))     # stars already
+        edges = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))     # stars already
+        return components(edges, rows=edges.count())
 
     entries = classes.select("class", F.explode("bands").alias("key"))
     # one member per bucket, another one in each band: the smallest class number XOR key
     buckets = (entries.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min(F.col("class").bitwiseXOR(F.col("key"))).alias("p"))
                .where("m > 1").select("key", "m", F.col("p").bitwiseXOR(F.col("key")).alias("pivot")))
-    shared = frozen(entries.join(buckets, "key"))
+    shared = frozen(entries.join(buckets, "key"), banding(percent)[0] * n_rows, NARROW)
+    n_shared = shared.count()
     star = (shared.where("class != pivot")
             .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b")).distinct())
-    tried = frozen(matched(star))
-    links = frozen(confirm(tried, classes, rows, percent))
-    roots = components(links)
+    tried = frozen(matched(star), n_shared)
+    links = confirm(tried, classes, rows, percent)
+    roots = components(links, rows=links.count())
 
     # buckets of three or more that still hold several components
     member = (shared.where("m > 2").select("key", "m", "class")
@@ -291,18 +301,20 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
               .withColumn("root", F.coalesce("root", "class")))
     sizes = member.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     open_buckets = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max_by("root", F.struct("c", "root")).alias("largest")).where("k > 1")
-    member = frozen(member.join(open_buckets.select("key", "largest"), "key"))
+    member = frozen(member.join(open_buckets.select("key", "largest"), "key"), n_shared, NARROW)
     small = member.where(F.col("m") <= SMALL).join(of_class, "class")
     x = small.where("root != largest").alias("x")
     near = (x.join(small.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.root") != F.col("y.root")) & _likely(percent))
             .select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")))
+    size = member.count()
     large = member.where(F.col("m") > SMALL)
     if not large.isEmpty():
-        large = frozen(large.select("class", "root").distinct())
-        sets = sets_of(large.select("class"), classes, rows).join(large, "class").join(of_class.select("class", "whole"), "class")
-        near = near.unionByName(rare_prefix_pairs(sets, percent))
-    rest = near.distinct().join(tried, ["a", "b"], "left_anti")
-    joined = joined_with(frozen(confirm(rest, classes, rows, percent)), roots)
+        large = frozen(large.select("class", "root").distinct(), n_shared, NARROW)
+        sets = sets_of(large.select("class"), large.count(), classes, rows).join(large, "class").join(of_class.select("class", "whole"), "class")
+        pairs, n = rare_prefix_pairs(frozen(sets, large.count(), SETS), percent)
+        near, size = near.unionByName(pairs), size + n
+    rest = frozen(near.distinct().join(tried, ["a", "b"], "left_anti"), size)
+    joined = joined_with(confirm(rest, classes, rows, percent), roots)
 
     labels = (classes.select("class", "s1", "s2", "n", "label")
               .join(joined.select(F.col("node").alias("class"), "root"), "class", "left")
@@ -311,11 +323,11 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     found = labels.join(lowest, "root").select("s1", "s2", "n", "component_id")
     out = signed.select("_id", "_hash", "s1", "s2", "n").join(found, ["s1", "s2", "n"], "left")
     component = F.coalesce("component_id", "_id")
-    return out.select(F.nullif(F.col("_id"), F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
-                      F.nullif(component, F.lit(NO_ID)).alias("component_id"), (component == F.col("_id")).alias("kept"), "_hash")
+    return out.coalesce(1 + n_rows // 10_000).select(F.nullif(F.col("_id"), F.lit(NO_ID)).alias(id_col), F.col("n").alias("n_shingles"),
+                      F.nullif(component, F.lit(NO_ID)).alias("component_id"), (component == F.col("_id")).alias("kept"), "_hash"), n_rows
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """``docs`` without the rows that are linked to a smaller id, all columns as they were."""
-    found = _grouped(docs, id_col, text_col, percent).where("not kept")
-    return without(docs, found.select(F.col(f"`{id_col}`").alias("_id"), "_hash"), id_col, text_col)
+    found, n = _grouped(docs, id_col, text_col, percent)
+    return without(docs, found.where("not kept").select(F.col(f"`{id_col}`").alias("_id"), "_hash"), id_col, text_col, n)

@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
+from functools import cached_property
 
 import numpy as np
 
@@ -59,10 +60,7 @@ class Encoder:
 
     def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # one core per task
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not added
+        self.path, self.added = path, added
         with open(path, encoding="utf-8") as f:
             parts = json.load(f)
         pre = parts.get("pre_tokenizer") or {}
@@ -78,12 +76,23 @@ class Encoder:
 
             self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=found, special_tokens={}).encode_ordinary
 
+    @cached_property
+    def tokenizer(self):
+        """The file's own tokenizer, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.encode_special_tokens = not self.added
+        return found
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         if self.fast:
             return [array("I", self.fast(t)).tobytes() for t in texts]
         return self._by_file(texts)
 
     def _by_file(self, texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: set[str]) -> None:
