@@ -4,13 +4,15 @@ Codes come from a *code table* ``(column, value, code)`` built in one pass
 over the data: the distinct (column, value) pairs are found with a hash
 aggregate (map-side combined, so a hot value is not a hot task) and numbered
 with ``dense_rank`` per column.  The code table is the saved encoder; it is
-applied with a join that is broadcast only when its row count is checked to
-be small.  Values are sorted by code point, as text.
+applied with joins that broadcast its first codes, a bounded number, and the
+rest only when its row count is checked to be small.  Values are sorted by code point, as text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,7 @@ from cohortforge.session import checkpoint_dir
 
 NULL_TOKEN = "NULL"   # missing category token of the plain label encoder
 NAN_TOKEN = "nan"     # missing category token after a cast to text
+FEW = 10_000          # codes of a column that are broadcast without a count
 
 
 def category_value(c: str, missing: str = NULL_TOKEN, as_string: bool = False) -> Column:
@@ -52,22 +55,43 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _looked_up(df: DataFrame, codes: DataFrame, c: str, missing: str, as_string: bool, out: str, few: bool = False) -> DataFrame:
+    """``df`` with the code of column ``c`` as ``out``: missing where ``codes`` lacks the value.  ``few``: codes below ``FEW`` alone, broadcast."""
+    t = codes.filter(F.col("column") == c).select(F.col("value").alias("__v"), F.col("code").alias(out))
+    if few:
+        t = F.broadcast(t.filter(F.col(out) < FEW))
+    return (df.withColumn("__key", category_value(c, missing, as_string).cast("string"))
+              .join(t, F.col("__key") == F.col("__v"), "left").drop("__key", "__v"))
+
+
 def apply_codes(df: DataFrame, table: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
                 as_string: bool = False,
                 suffix: str = "", check_size: bool = False) -> DataFrame:
-    """Replace each column by its code (or add ``col+suffix`` when ``suffix``)."""
-    small = checked_broadcast(table) if check_size else shared(table)
+    """Replace each column by its code (or add ``col+suffix`` when ``suffix``).
+
+    The first ``FEW`` codes of a column are broadcast, so that rows with these
+    stay where they are: a join by shuffle would send all rows of a frequent
+    value to one task.  Only if a column has more codes are the rows that still
+    lack one joined with the rest of the table, by a second branch of the plan.
+    """
+    names = {c: f"__code_{i}" for i, c in enumerate(cols)}
     out = df
-    for c in cols:
-        t = (small.filter(F.col("column") == c)
-                  .select(F.col("value").alias("__v"), F.col("code").alias("__code")))
-        out = (out.withColumn("__key", category_value(c, missing, as_string).cast("string"))
-                  .join(t, F.col("__key") == F.col("__v"), "left")
-                  .withColumn(c + suffix, F.col("__code"))
-                  .drop("__key", "__v", "__code"))
-    if suffix == "":
-        out = out.select(*df.columns)
-    return out
+    if check_size:
+        small = checked_broadcast(table)
+        for c, name in names.items():
+            out = _looked_up(out, small, c, missing, as_string, name)
+    else:
+        small = shared(table)
+        more = small.agg(F.coalesce(F.max("code") >= FEW, F.lit(False))).scalar()
+        for c, name in names.items():
+            out = _looked_up(out, small, c, missing, as_string, name, few=True)
+        lacking = more & reduce(or_, [F.col(name).isNull() for name in names.values()])
+        rest = out.filter(lacking).drop(*names.values())
+        for c, name in names.items():
+            rest = _looked_up(rest, small, c, missing, as_string, name)
+        out = out.filter(~lacking).unionByName(rest)
+    out = out.withColumns({c + suffix: F.col(name) for c, name in names.items()}).drop(*names.values())
+    return out if suffix else out.select(*df.columns)
 
 
 def label_encode(df: DataFrame, cols: Sequence[str] | None = None, missing: str = NULL_TOKEN,
