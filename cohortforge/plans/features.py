@@ -294,7 +294,9 @@ def feature_engineering(app: DataFrame, bureau: DataFrame, bb: DataFrame, cc: Da
         # only balance rows of ids that are some customer's mean id are reduced
         mean_ids = b_agg.select(F.col(mean_id_temp).alias("__m")).filter("__m = floor(__m)").select(F.col("__m").cast("long").alias("__id")).distinct()
         wanted = bb.join(mean_ids, F.col(cfg.bb_id) == F.col("__id"), "left_semi")
-        latest_bb = (latest_by(wanted, cfg.bb_id, cfg.bb_month, bb_cols, bb_cols, cfg.bb_row_id)
+        # the semi join has shuffled and sorted them by that id: one aggregate over structs, where a join back would shuffle all balance rows again
+        tie = list(dict.fromkeys([*([cfg.bb_row_id] if cfg.bb_row_id else []), *bb_cols]))
+        latest_bb = (latest_by(wanted, cfg.bb_id, cfg.bb_month, bb_cols, tie)
                      .withColumn("__bbk", F.col(cfg.bb_id).cast("double")))
         on = F.col(mean_id_temp) == F.col("__bbk")
     latest_bb = latest_bb.select("__bbk", F.col(cfg.bb_id).alias("__bbid"), *[F.col(x).alias(f"__bl_{x}") for x in bb_cols])

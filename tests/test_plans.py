@@ -53,3 +53,10 @@ def test_balance_rows_are_reduced_for_the_mean_ids_alone(spark, name):
 def test_cardinalities_without_expand(spark):
     plan = _plan(QUERIES["cardinality_profile"](spark, SF001))
     assert "HashAggregate" in plan and "Expand" not in plan
+
+
+def test_wide_build_reads_the_balance_rows_of_the_mean_ids_once(spark):
+    from cohortforge.plans.registry import QUERIES
+    plan = QUERIES["wide_features"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    reads = [x for x in plan.splitlines() if "Project" in x and "l_orderkey" in x and "l_quantity" in x and "l_linestatus" in x and "l_shipdate" in x]
+    assert len(reads) == 1
