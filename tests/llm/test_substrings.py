@@ -99,3 +99,20 @@ def test_automaton():
                     key = t[max(0, k + 1 - least):k + 1]
                     places = [(d, j) for d, s in enumerate(texts) for j in range(least - 1, len(s)) if s[j + 1 - least:j + 1] == key]
                     assert e == (min(places) if len(key) == least and places else None)
+
+
+def test_written_tables_hold_passages_in_few_bytes(spark, tmp_path):
+    """Texts and passages are most of what op13 keeps on disk."""
+    import glob
+    import os
+    import random
+    from cohortforge.llm.common import written
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choice(vocabulary) for _ in range(400))) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, text string").coalesce(1)
+    df.write.option("compression", "snappy").parquet(plain := str(tmp_path / "plain"))
+    kept = written(df)
+    size = lambda files: sum(os.path.getsize(f.replace("file://", "").replace("file:", "")) for f in files)
+    assert size(kept.inputFiles()) < 0.8 * size(glob.glob(f"{plain}/*.parquet"))
+    assert sorted(map(tuple, kept.collect())) == rows
