@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortforge.functions.semantics import as_text
-from cohortforge.operators.join import checked_broadcast, shared
+from cohortforge.operators.join import BROADCAST_ROWS, checked_broadcast, shared
 from cohortforge.operators.rank import ordered_position
 from cohortforge.session import checkpoint_dir
 
@@ -37,14 +37,17 @@ def code_table(df: DataFrame, cols: Sequence[str], missing: str = NULL_TOKEN,
     """``(column, value, code)``: 0-based sorted code of every distinct value.
 
     ``cut`` writes the distinct values to the checkpoint folder now, for a
-    ``df`` whose plan is long: the ranges read them several times.
+    ``df`` whose plan is long: the ranges read them several times.  They are
+    counted, and up to ``BROADCAST_ROWS`` of them are numbered in one task.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("column"),
                                category_value(c, missing, as_string).cast("string").alias("value"))
                       for c in cols])
     distinct = df.select(F.inline(pairs)).distinct()
     distinct = _cut(distinct) if cut else shared(distinct)
-    return ordered_position(distinct, ["column"], ["value"], "code").withColumn("code", F.col("code").cast("int"))
+    few = cut and distinct.count() <= BROADCAST_ROWS
+    codes = ordered_position(distinct.coalesce(1) if few else distinct, ["column"], ["value"], "code", 1 if few else None)
+    return codes.withColumn("code", F.col("code").cast("int"))
 
 
 def _cut(df: DataFrame) -> DataFrame:

@@ -4,6 +4,11 @@ Each block label-encodes the table's text columns (missing -> ``NULL``,
 sorted codes), derives its extra columns, and reduces the table to one row
 per key with a spec ``{column: [aggregates]}``.  Specs and prefixes default
 to the source job's and can be replaced for other tables.
+
+With ``check_size`` a block counts its text values when it is built (one job a
+table) and broadcasts their codes up to a bound.  Without it building runs no
+job, but the join with the codes shuffles all rows by the category's value:
+a table of three flags is then the work of three tasks.
 """
 
 from __future__ import annotations
@@ -75,17 +80,17 @@ def _with_cat_means(spec: Mapping[str, Sequence[str]], cats: Sequence[str]) -> d
 
 def bureau_and_balance(bureau: DataFrame, bb: DataFrame, num_spec=None, key: str = "SK_ID_CURR",
                        bureau_id: str = "SK_ID_BUREAU", month: str = "MONTHS_BALANCE",
-                       prefix: str = "BURO_", bb_id: str | None = None):
+                       prefix: str = "BURO_", bb_id: str | None = None, check_size: bool = False):
     """Two-level roll-up: balance rows -> one row per bureau record (joined
     onto the record), then records -> one row per customer.
     Returns ``(aggregate, balance_category_columns)``."""
     num_spec = BUREAU_NUM_SPEC if num_spec is None else num_spec
     bb_id = bb_id or bureau_id
-    bb, bb_cat, _ = label_encode(bb, [c for c in _strings(bb) if c != bb_id])
+    bb, bb_cat, _ = label_encode(bb, [c for c in _strings(bb) if c != bb_id], check_size=check_size)
     bb_spec = _with_cat_means({month: ["min", "max", "size"]}, bb_cat)
     bb_agg = group_by_key(bb, bb_id, agg_spec(bb_spec)).withColumnRenamed(bb_id, bureau_id)
     bureau, bureau_cat, _ = label_encode(bureau, [c for c in _strings(bureau)
-                                                  if c not in (key, bureau_id)])
+                                                  if c not in (key, bureau_id)], check_size=check_size)
     bureau = bureau.join(bb_agg, bureau_id, "left").drop(bureau_id)
     spec = _with_cat_means(num_spec, list(bureau_cat) + [c + "_MEAN" for c in bb_cat])
     return group_by_key(bureau, key, agg_spec(spec, prefix)), bb_cat
@@ -93,22 +98,23 @@ def bureau_and_balance(bureau: DataFrame, bb: DataFrame, num_spec=None, key: str
 
 def previous_applications(prev: DataFrame, num_spec=None, key: str = "SK_ID_CURR",
                           sentinel_cols=None, application: str = "AMT_APPLICATION",
-                          credit: str = "AMT_CREDIT", prefix: str = "PREV_"):
+                          credit: str = "AMT_CREDIT", prefix: str = "PREV_", check_size: bool = False):
     """Previous applications per customer: sentinel days to missing, the
     asked/received ratio, numeric spec and category-code means."""
     num_spec = PREV_NUM_SPEC if num_spec is None else num_spec
     sentinel_cols = PREV_SENTINEL_COLS if sentinel_cols is None else sentinel_cols
-    prev, cats, _ = label_encode(prev, [c for c in _strings(prev) if c != key])
+    prev, cats, _ = label_encode(prev, [c for c in _strings(prev) if c != key], check_size=check_size)
     for c in sentinel_cols:
         prev = prev.withColumn(c, sentinel_to_null(c))
     prev = prev.withColumn("APP_CREDIT_PERC", ratio(application, credit))
     return group_by_key(prev, key, agg_spec(_with_cat_means(num_spec, cats), prefix)), cats
 
 
-def pos_cash(pos: DataFrame, spec=None, key: str = "SK_ID_CURR", prefix: str = "POS_"):
+def pos_cash(pos: DataFrame, spec=None, key: str = "SK_ID_CURR", prefix: str = "POS_",
+             check_size: bool = False):
     """POS balance per customer, with the row count ``POS_COUNT``."""
     spec = POS_SPEC if spec is None else spec
-    pos, cats, _ = label_encode(pos, [c for c in _strings(pos) if c != key])
+    pos, cats, _ = label_encode(pos, [c for c in _strings(pos) if c != key], check_size=check_size)
     exprs = agg_spec(_with_cat_means(spec, cats), prefix)
     exprs.append(F.count(F.lit(1)).alias(f"{prefix}COUNT"))
     return group_by_key(pos, key, exprs), cats
@@ -117,11 +123,11 @@ def pos_cash(pos: DataFrame, spec=None, key: str = "SK_ID_CURR", prefix: str = "
 def installments_payments(ins: DataFrame, spec=None, key: str = "SK_ID_CURR",
                           paid: str = "AMT_PAYMENT", due: str = "AMT_INSTALMENT",
                           paid_day: str = "DAYS_ENTRY_PAYMENT", due_day: str = "DAYS_INSTALMENT",
-                          prefix: str = "INSTAL_"):
+                          prefix: str = "INSTAL_", check_size: bool = False):
     """Instalments per customer: paid share and difference, days past/before
     due (negative -> 0), with the row count ``INSTAL_COUNT``."""
     spec = INS_SPEC if spec is None else spec
-    ins, cats, _ = label_encode(ins, [c for c in _strings(ins) if c != key])
+    ins, cats, _ = label_encode(ins, [c for c in _strings(ins) if c != key], check_size=check_size)
     ins = (ins.withColumn("PAYMENT_PERC", ratio(paid, due))
               .withColumn("PAYMENT_DIFF", F.col(due) - F.col(paid))
               .withColumn("DPD", clip_positive(F.col(paid_day) - F.col(due_day)))
@@ -131,11 +137,11 @@ def installments_payments(ins: DataFrame, spec=None, key: str = "SK_ID_CURR",
 
 
 def credit_card_balance(cc: DataFrame, key: str = "SK_ID_CURR", drop=("SK_ID_PREV",),
-                        aggs=None, prefix: str = "CC_"):
+                        aggs=None, prefix: str = "CC_", check_size: bool = False):
     """Card balance per customer: every remaining column (category codes
     included) x min/max/mean/sum/var, with the row count ``CC_COUNT``."""
     aggs = CC_AGGS if aggs is None else aggs
-    cc, cats, _ = label_encode(cc, [c for c in _strings(cc) if c != key])
+    cc, cats, _ = label_encode(cc, [c for c in _strings(cc) if c != key], check_size=check_size)
     cc = cc.drop(*[d for d in drop if d in cc.columns])
     spec = {c: list(aggs) for c in cc.columns if c != key}
     exprs = agg_spec(spec, prefix)

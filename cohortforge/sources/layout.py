@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from pyspark.sql.types import StructType
 from cohortforge.sources.io import read_table, there
 
 LAYOUT = "_layout"
+AT_ONCE = 3     # tables that are written side by side
 
 
 def _quoted(name: str) -> str:
@@ -81,9 +83,14 @@ def layout_of(spark: SparkSession, path: str) -> tuple[str, int] | None:
 
 
 def store_blocks(tables: dict[str, DataFrame], folder: str, key: str, buckets: int) -> None:
-    """Write each table (one row per ``key``) under its name, all in the same buckets.  A later call may replace some of them."""
-    for name, df in tables.items():
-        write_bucketed(df, f"{folder.rstrip('/')}/{name}", key, buckets)
+    """Write each table (one row per ``key``) under its name, all in the same buckets.  A later call may replace some of them.
+
+    The writes are jobs of their own and run side by side, ``AT_ONCE`` of them:
+    where one has few tasks left, or plans, the tasks of others fill the cores.
+    """
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        for write in [pool.submit(write_bucketed, df, f"{folder.rstrip('/')}/{name}", key, buckets) for name, df in tables.items()]:
+            write.result()
 
 
 def join_stored(spark: SparkSession, folder: str, base: str, blocks: list[str], key: str) -> DataFrame:

@@ -46,6 +46,16 @@ def test_stored_blocks_meet_without_exchange(spark, folder, no_broadcast):
     assert {r.k: r.b for r in join_stored(spark, folder, "base", ["b"], "k").collect()}[4] == 5.0
 
 
+def test_blocks_are_written_side_by_side_and_errors_are_raised(spark, folder):
+    tables = {f"t{i}": spark.range(30).select(F.col("id").alias("k"), (F.col("id") * i).alias(f"v{i}")) for i in range(5)}
+    store_blocks(tables, folder, "k", 3)
+    out = join_stored(spark, folder, "t0", [f"t{i}" for i in range(1, 5)], "k")
+    assert sorted(map(tuple, out.collect())) == [(k, *[k * i for i in range(5)]) for k in range(30)]
+    bad = spark.range(3).select(F.col("id").alias("k"), F.raise_error(F.lit("broken")).cast("int").alias("x"))
+    with pytest.raises(Exception, match="broken"):
+        store_blocks({**tables, "bad": bad}, folder, "k", 3)
+
+
 def test_other_bucket_counts_still_join_right(spark, folder):
     left = write_bucketed(spark.range(40).withColumnRenamed("id", "k"), f"{folder}/l", "k", 4)
     right = write_bucketed(spark.range(0, 40, 2).select(F.col("id").alias("k"), F.lit(1).alias("v")), f"{folder}/r", "k", 6)

@@ -1,5 +1,7 @@
 """Golden rows for aggregates, joins, encoders, folds, ranks and metrics."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +213,33 @@ def test_cardinalities_and_merged_sketches(spark, tmp_path):
     merged = profile.merge_sketches(*[spark.read.parquet(p) for p in paths])
     for r in profile.sketch_estimates(merged).collect():
         assert abs(r.n_distinct - exact[r.column_name]) <= max(1, 4 * profile.SKETCH_ERROR * exact[r.column_name])
+
+
+def test_checked_codes_leave_rows_of_a_frequent_value_in_place(spark):
+    from cohortforge.plans.blocks import pos_cash
+    rows = [(i % 7, float(i), "hot" if i % 5 else f"w{i % 9}", None if i % 11 == 0 else f"v{i % 3}") for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, x double, a string, b string").repartition(3)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out, cats = pos_cash(df, {"x": ["max"]}, "k", check_size=True)
+        joins = re.findall(r"(\w+Join) \[__key", out._jdf.queryExecution().executedPlan().toString())
+        assert joins == ["BroadcastHashJoin"] * 2
+        got = {r.k: (r.POS_a_MEAN, r.POS_b_MEAN, r.POS_COUNT) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
+    codes = [{v: i for i, v in enumerate(sorted({r[c] or "NULL" for r in rows}))} for c in (2, 3)]
+    for k in range(7):
+        mine = [r for r in rows if r[0] == k]
+        want = [sum(codes[i][r[2 + i] or "NULL"] for r in mine) / len(mine) for i in (0, 1)]
+        assert got[k][:2] == pytest.approx(want) and got[k][2] == len(mine)
+    assert cats == ["a", "b"]
+
+
+@pytest.mark.parametrize("bound", [0, 4, 100_000])
+def test_checked_code_table_is_the_lazy_one(spark, monkeypatch, bound):
+    from cohortforge.operators import encode
+    monkeypatch.setattr(encode, "BROADCAST_ROWS", bound)
+    df = spark.createDataFrame([(None if i % 11 == 0 else f"v{i % 7}", f"w{i % 9}") for i in range(99)], "a string, b string").repartition(5)
+    lazy, checked = (sorted(map(tuple, encode.code_table(df, ["a", "b"], cut=c).collect())) for c in (False, True))
+    assert checked == lazy and len(lazy) == 17
